@@ -1,0 +1,53 @@
+"""Folders shared by driver and executors, and tables that cut lineage."""
+
+from __future__ import annotations
+
+import os
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir; where it is unset, one of our own.
+
+    Without the setting a local session uses the temporary folder and a cluster the warehouse,
+    which its executors share.
+    """
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if found:
+        return found.rstrip("/")
+    if spark.sparkContext.master.startswith("local"):
+        return os.path.join(tempfile.gettempdir(), "checkpoints")
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
+
+
+def scratch_path(spark: SparkSession, tag: str) -> str:
+    """A new path in the shared folder, deleted when the driver ends."""
+    path = f"{shared_dir(spark)}/sparkloom/{tag}-{uuid.uuid4().hex}"
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def written(df: DataFrame, tag: str, path: str | None = None) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder: computed once, and safe when executors are lost."""
+    spark = df.sparkSession
+    path = path or scratch_path(spark, tag)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def free_prefix(columns: list[str]) -> str:
+    """A prefix that no column begins with, whatever its case."""
+    prefix = "__sl_"
+    while any(c.lower().startswith(prefix) for c in columns):
+        prefix = "_" + prefix
+    return prefix
