@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -13,13 +14,17 @@ from pyspark.sql import functions as F
 
 from .shared import written
 
-#: Words whose ids a worker remembers; the memory is emptied when it is full.
-REMEMBERED = 400_000
+#: Words, and stems of words, whose ids a worker remembers; a memory is emptied when it is full.
+WORDS, STEMS = 600_000, 1_000_000
+#: What is cut from a word's end before its stem is looked up. Without quotes, which begin contractions, and without
+#: the signs that end special tokens.
+CLOSING = b".,;:!?*#$%&|"
 #: Ranks within a length are counted in so many parts, so that a common length is not one task.
 RANK_PARTS = 256
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # executors share a machine
 _words: dict[bytes, bytes] = {}
+_stems: dict[bytes, bytes] = {}
 _encoder: dict[str, object] = {}
 
 
@@ -27,27 +32,50 @@ def encoder(path: str):
     if path not in _encoder:
         from tokenizers import Tokenizer
 
-        _words.clear()
-        _encoder.clear()
+        for known in (_words, _stems, _encoder):
+            known.clear()
         _encoder[path] = Tokenizer.from_file(path)
     return _encoder[path]
 
 
+def stem_of(word: bytes) -> bytes:
+    """The word in lower case as far as ASCII goes, without a run of CLOSING after a letter or digit.
+
+    This tokenizer gives such a run a pre-token of its own, and reads letters in lower case. Words that may hold special
+    tokens stay as they are.
+    """
+    if b"<|" in word:
+        return word
+    word = word.lower()
+    stem = word.rstrip(CLOSING)
+    if len(stem) < len(word) and stem and (chr(stem[-1]) if stem[-1] < 128 else stem.decode()[-1]).isalnum():
+        return stem
+    return word
+
+
 def encode(texts: list[bytes], path: str) -> list[bytes]:
     """Token ids of each text as little-endian unsigned 32-bit integers.
 
-    This tokenizer's pre-tokens never hold white space and its merges stay within them, so the ids of a text are those of
-    its words one after the other; a word is encoded once and remembered.
+    This tokenizer reads letters in lower case, its pre-tokens never hold white space and its merges stay within them, so
+    the ids of a text are those of its words one after the other; a word's stem is encoded once and remembered.
     """
     model = encoder(path)
     split = [t.split() for t in texts]
-    if len(_words) > REMEMBERED:
+    if len(_words) > WORDS:
         _words.clear()
-    new = list({w for words in split for w in words if w not in _words})
+    if len(_stems) > STEMS:
+        _stems.clear()
+    words = list(set().union(*split).difference(_words))
+    stems = [stem_of(w) for w in words]
+    tails = [w.lower()[len(stem) :] if len(w) > len(stem) else b"" for w, stem in zip(words, stems, strict=True)]
+    new = list(set(stems).union(tails).difference(_stems))
     for at in range(0, len(new), 20_000):
-        part = new[at : at + 20_000]
-        for word, found in zip(part, model.encode_batch_fast([w.decode() for w in part], add_special_tokens=False), strict=True):
-            _words[word] = np.array(found.ids, "<u4").tobytes()
+        some = new[at : at + 20_000]
+        for stem, found in zip(some, model.encode_batch_fast([w.decode() for w in some], add_special_tokens=False), strict=True):
+            ids = found.ids
+            _stems[stem] = struct.pack(f"<{len(ids)}I", *ids)
+    for word, stem, tail in zip(words, stems, tails, strict=True):
+        _words[word] = _stems[stem] + _stems[tail] if tail else _stems[stem]
     return [b"".join(map(_words.__getitem__, words)) for words in split]
 
 

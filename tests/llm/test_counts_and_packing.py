@@ -111,6 +111,6 @@ def test_words_encode_as_whole_texts_do():
 
     path = packing.default_tokenizer()
     model = Tokenizer.from_file(path)
-    texts = ["don't WE'LL a\u0301b \u0301x", "ΝΑΟΣ ΝΑΟΣ, x\u00a0y\u2028z", "<|startoftext|>a <|endoftext|> b<|endoftext|>", "\x1c\x85 a\x1fb \u200d 12 34,5", "😀😀 ﬁne İstanbul \u0130", "", " "]
+    texts = ["don't WE'LL a\u0301b \u0301x", "ΝΑΟΣ ΝΑΟΣ, x\u00a0y\u2028z", "<|startoftext|>a <|endoftext|> b<|endoftext|>", "\x1c\x85 a\x1fb \u200d 12 34,5", "😀😀 ﬁne İstanbul \u0130", "", " ", "It's. IT'S!? 'S. x'. é., ½. »., ... a.b., ۳! <|ENDOFTEXT|>, <|endoftext|>. a<|endoftext|>|", "ß. Σ. ΑΣ, e\u0301."]
     for text, ids in zip(texts, packing.encode([t.encode() for t in texts], path), strict=True):
         assert np.frombuffer(ids, "<u4").tolist() == model.encode(text, add_special_tokens=False).ids
