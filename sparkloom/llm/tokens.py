@@ -119,12 +119,11 @@ def whole_groups(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator
     for batch in batches:
         if batch.num_rows == 0:
             continue
-        last = batch.slice(batch.num_rows - 1)
-        change = None
         same = np.ones(batch.num_rows, dtype=bool)
         for key in keys:
-            same &= pa.compute.equal(batch.column(key), last.column(key)[0]).to_numpy(zero_copy_only=False).astype(bool)
-        change = int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0
+            values = batch.column(key).to_numpy()
+            same &= values == values[-1]
+        change = 0 if same.all() else int(np.flatnonzero(~same)[-1]) + 1
         if change:
             yield pa.Table.from_batches([*kept, batch.slice(0, change)])
             kept = [batch.slice(change)]
