@@ -10,15 +10,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import paired_blocks
+from .blocks import block_of
 from .components import connected_components, spanning_labels
 from .shared import written
 from .tokens import group_edges, whole_groups
 
 #: The cells are fitted on so many distinct vectors, the first by hash; every vector is assigned.
 SAMPLE, ROUNDS, MOST_CELLS = 20_000, 8, 4096
-#: Vectors meant for a cell, and vectors in a block of it.
-CELL, BLOCK = 512, 2048
+#: Vectors meant for a cell, vectors in a block of it, and visitors that meet a block in one task.
+CELL, BLOCK, GUESTS = 2048, 2048, 16_384
 SLACK = 1e-6
 
 
@@ -78,39 +78,47 @@ def visits(x: np.ndarray, centres: np.ndarray, reach: float) -> tuple[np.ndarray
     return home, rows, cells, margin(x[rows], centres[home[rows]], centres[cells])
 
 
+def linked_pairs(x: np.ndarray, left: np.ndarray, right: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a left and a right row whose product is ``least`` or more in double precision; single precision finds them."""
+    single = x.astype(np.float32)
+    floor = np.float32(least - 1e-5 - 2e-7 * x.shape[1])
+    lefts, rights = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for i in range(0, len(left), 512):
+        for j in range(0, len(right), 4096):
+            p, q = np.nonzero(single[left[i : i + 512]] @ single[right[j : j + 4096]].T >= floor)
+            for k in range(0, len(p), 65_536):
+                a, b = left[i + p[k : k + 65_536]], right[j + q[k : k + 65_536]]
+                sure = (x[a] * x[b]).sum(axis=1) >= least
+                lefts.append(a[sure])
+                rights.append(b[sure])
+    return np.concatenate(lefts), np.concatenate(rights)
+
+
 def link_cells(table: pa.Table, dim: int, centres: np.ndarray, least: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """For each task of ``table`` the ids that have links in it, how many rows they link with, and a spanning neighbour."""
+    """For each task of ``table`` the ids that have links in it, how many rows they link with, and a spanning neighbour.
+
+    A task compares block bi of a cell's own vectors with block bj of them, or, where bj is negative, with visitors.
+    """
     edges = group_edges(table, ["cell", "bi", "bj"])
     columns = {c: table.column(c).to_numpy() for c in ("cell", "bi", "bj", "own", "home", "margin", "node", "copies", "size")}
     vectors = table.column("embedding").combine_chunks()
     for a, b in zip(edges[:-1], edges[1:], strict=True):
         g = {c: v[a:b] for c, v in columns.items()}
-        if len(g["node"]) < 2:
+        cell, bi, bj = g["cell"][0], g["bi"][0], g["bj"][0]
+        left = np.flatnonzero(g["own"] == bi)
+        right = np.flatnonzero(g["own"] == (bj if bj >= 0 else -1))
+        if b - a < 2 or not len(left) or not len(right):
             continue
         x = unit_rows(vectors.slice(a, b - a), dim)
-        cell, one = g["cell"][0], g["bi"][0] == g["bj"][0]
-        resident = g["home"] == cell
-        left = np.flatnonzero(g["own"] == g["bi"][0])
-        right = left if one else np.flatnonzero(g["own"] == g["bj"][0])
-        lefts, rights = [], []
-        for i in range(0, len(left), 512):
-            p, q = np.nonzero(x[left[i : i + 512]] @ x[right].T >= least)
-            p, q = left[i + p], right[q]
-            keep = (p != q) & (resident[p] | resident[q]) & (g["size"][p] == g["size"][q])
-            keep &= (p < q) if one else True
-            p, q = p[keep], q[keep]
-            # a pair from two cells is met where the vector with the lesser margin visits
-            mixed = np.flatnonzero(resident[p] != resident[q])
-            guest = np.where(resident[p[mixed]], q[mixed], p[mixed])
-            host = np.where(resident[p[mixed]], p[mixed], q[mixed])
-            away = g["home"][guest]
-            back = margin(x[host], centres[np.full(len(host), cell)], centres[away])
-            mine = (g["margin"][guest] < back) | ((g["margin"][guest] == back) & (away < cell))
-            drop = np.zeros(len(p), dtype=bool)
-            drop[mixed[~mine]] = True
-            lefts.append(p[~drop])
-            rights.append(q[~drop])
-        p, q = np.concatenate(lefts), np.concatenate(rights)
+        p, q = linked_pairs(x, left, right, least)
+        keep = g["size"][p] == g["size"][q]
+        if bj < 0:  # a pair from two cells is met where the vector with the lesser margin visits
+            away = g["home"][q]
+            back = margin(x[p], centres[np.full(len(p), cell)], centres[away])
+            keep &= (g["margin"][q] < back) | ((g["margin"][q] == back) & (away < cell))
+        elif bi == bj:
+            keep &= p < q
+        p, q = p[keep], q[keep]
         if not len(p):
             continue
         linked = np.bincount(p, weights=g["copies"][q], minlength=b - a) + np.bincount(q, weights=g["copies"][p], minlength=b - a)
@@ -122,6 +130,24 @@ def link_cells(table: pa.Table, dim: int, centres: np.ndarray, least: float) ->
         yield g["node"][some], linked[some].astype(np.int64), g["node"][order][root[place[some]]]
 
 
+def cell_tasks(placed: DataFrame) -> DataFrame:
+    """Each vector once for every task that needs it: its cell's own blocks in pairs, and each own block with each block of
+    visitors. Visitors are not compared with each other.
+    """
+    guest = F.col("cell") != F.col("home")
+    sizes = placed.groupBy("cell").agg(F.count_if(~guest).alias("own_members"), F.count_if(guest).alias("guest_members")).where("own_members > 0")
+    rows = placed.join(F.broadcast(sizes), "cell")  # one row per cell: at most MOST_CELLS
+    blocks = F.ceil(F.col("own_members") / F.lit(BLOCK)).cast("int")
+    halls = F.ceil(F.col("guest_members") / F.lit(GUESTS)).cast("int")
+    block = block_of(F.col("node"), F.col("own_members"), BLOCK)
+    hall = block_of(F.col("node"), F.col("guest_members"), GUESTS) + 1
+    inside = F.transform(F.sequence(F.lit(0), blocks - 1), lambda o: F.struct(F.least(block, o).alias("bi"), F.greatest(block, o).alias("bj")))
+    hosting = F.when(halls > 0, F.transform(F.sequence(F.lit(1), F.greatest(halls, F.lit(1))), lambda h: F.struct(block.alias("bi"), (-h).alias("bj")))).otherwise(F.array().cast("array<struct<bi:int,bj:int>>"))
+    visiting = F.transform(F.sequence(F.lit(0), blocks - 1), lambda o: F.struct(o.alias("bi"), (-hall).alias("bj")))
+    rows = rows.withColumn("own", F.when(guest, F.lit(-1)).otherwise(block)).withColumn("task", F.explode(F.when(guest, visiting).otherwise(F.concat(inside, hosting))))
+    return rows.select("cell", "task.bi", "task.bj", "own", "home", "margin", "node", "copies", F.size("embedding").alias("size"), "embedding")
+
+
 def near_duplicates(vectors: DataFrame, least: float = 0.95, cells: int | None = None) -> DataFrame:
     """(vec_id, n_links, component_id, kept, class_id) for each row of ``vectors`` (vec_id, embedding).
 
@@ -135,7 +161,8 @@ def near_duplicates(vectors: DataFrame, least: float = 0.95, cells: int | None =
     spark = vectors.sparkSession
     sound = F.size("embedding") > 0
     sound &= ~F.exists("embedding", lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf"))) & F.exists("embedding", lambda v: v != 0)
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
+    kind = "array<float>" if vectors.schema["embedding"].dataType.simpleString() == "array<float>" else "array<double>"
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(kind).alias("embedding"))
     rows = rows.withColumn("sound", F.coalesce(sound, F.lit(False)) & F.col("vec_id").isNotNull())
     digest = [F.when(F.col("sound"), F.xxhash64("embedding")).alias("h1"), F.when(F.col("sound"), F.xxhash64(F.lit(7), "embedding")).alias("h2")]
     keyed = rows.select("vec_id", "embedding", *digest)
@@ -160,18 +187,16 @@ def near_duplicates(vectors: DataFrame, least: float = 0.95, cells: int | None =
                 ["cell", "home", "margin", "node", "copies", "embedding"],
             )
 
-    schema = "cell long, home long, margin double, node long, copies long, embedding array<double>"
+    schema = f"cell long, home long, margin double, node long, copies long, embedding {kind}"
     placed = written(classes.select("node", "copies", "embedding").mapInArrow(assign, schema), "vector-cells")
-    sizes = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("members"))
-    members = placed.join(F.broadcast(sizes), "cell").withColumn("size", F.size("embedding"))  # one row per cell: at most MOST_CELLS
-    tasks = paired_blocks(members, "cell", "node", "members", BLOCK).repartition("cell", "bi", "bj").sortWithinPartitions("cell", "bi", "bj")
+    tasks = cell_tasks(placed).repartition("cell", "bi", "bj").sortWithinPartitions("cell", "bi", "bj")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for groups in whole_groups(batches, ["cell", "bi", "bj"]):
             for node, linked, root in link_cells(groups, dim, centres, least):
                 yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(linked), pa.array(root)], ["node", "linked", "root"])
 
-    found = written(tasks.select("cell", "bi", "bj", "own", "home", "margin", "node", "copies", "size", "embedding").mapInArrow(compare, "node long, linked long, root long"), "vector-links")
+    found = written(tasks.mapInArrow(compare, "node long, linked long, root long"), "vector-links")
     counts = found.groupBy("node").agg(F.sum("linked").alias("linked"))
     component = connected_components(found.select(F.col("node").alias("u"), F.col("root").alias("v")))
     linked = counts.join(component, "node").withColumnRenamed("node", "linked_node")

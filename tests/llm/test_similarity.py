@@ -2,7 +2,6 @@ import random
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from sparkloom.llm import embedding_dedup, ngram_join
 from sparkloom.llm.components import connected_components, spanning_labels
@@ -67,7 +66,8 @@ def test_vectors_equal_brute_force(spark, cells):
 
 
 def test_large_cells_are_compared_in_blocks(spark, monkeypatch):
-    monkeypatch.setattr("sparkloom.llm.embedding_dedup.BLOCK", 16)
+    monkeypatch.setattr(embedding_dedup, "BLOCK", 16)
+    monkeypatch.setattr(embedding_dedup, "GUESTS", 8)
     rng = np.random.default_rng(6)
     x = np.concatenate([rng.standard_normal((80, 8)), rng.standard_normal(8) + rng.standard_normal((90, 8)) * 0.15])
     rows = [(i, v.tolist()) for i, v in enumerate(x)]
