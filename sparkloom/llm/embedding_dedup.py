@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from .blocks import block_of
 from .components import connected_components, spanning_labels
 from .shared import written
-from .tokens import group_edges, whole_groups
+from .tokens import group_edges, tidy, whole_groups
 
 #: The cells are fitted on so many distinct vectors, the first by hash; every vector is assigned.
 SAMPLE, ROUNDS, MOST_CELLS = 20_000, 8, 4096
@@ -188,7 +188,7 @@ def near_duplicates(vectors: DataFrame, least: float = 0.95, cells: int | None =
             )
 
     schema = f"cell long, home long, margin double, node long, copies long, embedding {kind}"
-    placed = written(classes.select("node", "copies", "embedding").mapInArrow(assign, schema), "vector-cells")
+    placed = written(classes.select("node", "copies", "embedding").mapInArrow(tidy(assign), schema), "vector-cells")
     tasks = cell_tasks(placed).repartition("cell", "bi", "bj").sortWithinPartitions("cell", "bi", "bj")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,7 +196,7 @@ def near_duplicates(vectors: DataFrame, least: float = 0.95, cells: int | None =
             for node, linked, root in link_cells(groups, dim, centres, least):
                 yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(linked), pa.array(root)], ["node", "linked", "root"])
 
-    found = written(tasks.mapInArrow(compare, "node long, linked long, root long"), "vector-links")
+    found = written(tasks.mapInArrow(tidy(compare), "node long, linked long, root long"), "vector-links")
     counts = found.groupBy("node").agg(F.sum("linked").alias("linked"))
     component = connected_components(found.select(F.col("node").alias("u"), F.col("root").alias("v")))
     linked = counts.join(component, "node").withColumnRenamed("node", "linked_node")

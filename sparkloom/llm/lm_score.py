@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import written
-from .tokens import LOWER, SLICE, SPACE, Slice, mix, separators, slices, span_hashes
+from .tokens import LOWER, SLICE, SPACE, Slice, mix, separators, slices, span_hashes, tidy
 
 FOLDS, HELD_OUT = 7, 2
 #: Words that are classes of their own, with the end; words whose counts every worker holds. Both are the most frequent, ties by hash.
@@ -86,7 +86,7 @@ def counted(docs: DataFrame) -> DataFrame:
             k, c = merged()
             yield pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.array(c)], ["h", "c"])
 
-    return docs.mapInArrow(run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
+    return docs.mapInArrow(tidy(run), "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
 
 
 @dataclass
@@ -252,7 +252,7 @@ def trained(docs: DataFrame, vocabulary: Vocabulary) -> LogBilinear:
         flat = sum(np.frombuffer(m, np.float32).astype(np.float64) * s for m, s in zip(pdf["model"], pdf["seen"], strict=True)) / pdf["seen"].sum()
         return type(pdf)({"part": pdf["part"].iloc[:1], "seen": [pdf["seen"].sum()], "model": [flat.astype(np.float32).tobytes()]})
 
-    parts = docs.mapInArrow(run, "part int, pid int, seen long, model binary").groupBy("part").applyInPandas(average, "part int, seen long, model binary")
+    parts = docs.mapInArrow(tidy(run), "part int, pid int, seen long, model binary").groupBy("part").applyInPandas(average, "part int, seen long, model binary")
     rows = sorted(parts.collect(), key=lambda r: r["part"])  # at most PARTS
     if rows:
         total = sum(r["seen"] for r in rows)
@@ -316,7 +316,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
                 )
 
     schema = "rid long, doc_id long, held_out boolean, n_tokens long, near_known long, near_logs double, near_score double, far array<long>, times array<int>"
-    rows = written(docs.mapInArrow(run, schema), "lm-rows")
+    rows = written(docs.mapInArrow(tidy(run), schema), "lm-rows")
     far = rows.select("rid", F.explode(F.arrays_zip("far", "times")).alias("x")).select("rid", F.col("x.far").alias("h"), F.col("x.times").alias("n"))
     found = far.join(counts, "h").groupBy("rid").agg(F.sum(F.col("n") * F.log10(F.col("c") + 1)).alias("far_logs"), F.sum("n").alias("far_known"))
     joined = rows.drop("far", "times").join(found, "rid", "left")

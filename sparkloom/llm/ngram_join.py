@@ -15,10 +15,12 @@ from pyspark.sql import functions as F
 from .blocks import paired_blocks
 from .components import connected_components, spanning_labels
 from .shared import written
-from .tokens import PLAIN, SPACE, Slice, bounds, group_edges, mix, slices, span_hashes, whole_groups
+from .tokens import PLAIN, SPACE, Slice, bounds, group_edges, mix, slices, span_hashes, tidy, whole_groups
 
 #: Members of a block when signatures and when whole sets are compared.
 SIGNATURE_BLOCK, SET_BLOCK = 1024, 256
+#: Rows of ids, with what is known of them, that are broadcast to the texts; more are joined by a shuffle of both.
+BROADCAST_ROWS = 500_000
 #: n-grams that are columns of one product.
 COLUMNS = 8192
 
@@ -121,7 +123,7 @@ def sign_documents(docs: DataFrame, n: int, bands: Bands) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([ids, pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(sigs, pa.binary())], ["doc_id", "digest", "keys", "sig"])
 
     picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return picked.mapInArrow(run, "doc_id long, digest binary, keys array<long>, sig binary")
+    return picked.mapInArrow(tidy(run), "doc_id long, digest binary, keys array<long>, sig binary")
 
 
 def rows_to_links(node: np.ndarray, copies: np.ndarray, p: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -203,6 +205,12 @@ def similar(groups: pa.Table, threshold: float) -> Iterator[tuple[np.ndarray, np
             yield rows_to_links(columns["node"][at], columns["copies"][at], p[keep], q[keep])
 
 
+def small(rows: DataFrame, tag: str) -> DataFrame:
+    """``rows`` as a table, marked for broadcast if its checked size allows."""
+    rows = written(rows, tag)
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+
+
 def ngram_join(docs: DataFrame, threshold: float = 0.8, n: int = 5, recall: float = 0.99999) -> DataFrame:
     """(doc_id, class_id, n_links, component_id, kept) for each row of ``docs`` (doc_id, text).
 
@@ -234,11 +242,11 @@ def ngram_join(docs: DataFrame, threshold: float = 0.8, n: int = 5, recall: floa
             for found, root in alike(groups, bands):
                 yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(root)], ["u", "v"])
 
-    likely = connected_components(tasks.mapInArrow(near, "u long, v long"))
+    likely = connected_components(tasks.mapInArrow(tidy(near), "u long, v long"))
     sizes = likely.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
     chosen = likely.join(sizes, "component").join(classes.select("node", "copies", "digest"), "node")
     chosen = chosen.select(F.col("node").alias("doc_id"), F.col("component").alias("cluster"), "members", "copies", "digest")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(chosen, "doc_id")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(small(chosen, "ngram-chosen"), "doc_id")
 
     def gram_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "cluster", "members", "copies"]
@@ -252,7 +260,7 @@ def ngram_join(docs: DataFrame, threshold: float = 0.8, n: int = 5, recall: floa
                 at = pa.array([part.first + i for i in own], pa.int64())
                 yield pa.RecordBatch.from_arrays([*[batch.column(c).take(at) for c in names], pa.array(sets, pa.binary())], ["node", "cluster", "members", "copies", "grams"])
 
-    sets = texts.select("doc_id", "cluster", "members", "copies", "digest", "text").mapInArrow(gram_sets, "node long, cluster long, members long, copies long, grams binary")
+    sets = texts.select("doc_id", "cluster", "members", "copies", "digest", "text").mapInArrow(tidy(gram_sets), "node long, cluster long, members long, copies long, grams binary")
     pairs = paired_blocks(sets, "cluster", "node", "members", SET_BLOCK).select("cluster", "bi", "bj", "own", "node", "copies", "grams")
     pairs = pairs.repartition("cluster", "bi", "bj").sortWithinPartitions("cluster", "bi", "bj")
 
@@ -261,7 +269,7 @@ def ngram_join(docs: DataFrame, threshold: float = 0.8, n: int = 5, recall: floa
             for found, linked, root in similar(groups, threshold):
                 yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(linked), pa.array(root)], ["node", "linked", "root"])
 
-    links = written(pairs.mapInArrow(exact, "node long, linked long, root long"), "ngram-links")
+    links = written(pairs.mapInArrow(tidy(exact), "node long, linked long, root long"), "ngram-links")
     component = connected_components(links.select(F.col("node").alias("u"), F.col("root").alias("v")))
     told = links.groupBy("node").agg(F.sum("linked").alias("linked")).join(component, "node").withColumnRenamed("node", "linked_node")
     told = classes.select(F.col("digest").alias("d"), "node", "copies").join(told, F.col("node") == F.col("linked_node"), "left")
@@ -284,4 +292,5 @@ def one_of_each(docs: DataFrame, threshold: float = 0.8, n: int = 5, recall: flo
     if judged.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").limit(1).count():
         out = docs.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id", "text"]).unionByName(docs.where(F.col("doc_id").isNull()))
     gone = judged.where(~F.col("kept")).select("doc_id").distinct().withColumnRenamed("doc_id", "gone")
+    gone = small(gone, "ngram-gone")
     return out.join(gone, out["doc_id"] == gone["gone"], "left_anti")

@@ -13,9 +13,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .shared import written
+from .tokens import tidy
 
-#: Words, and stems of words, whose ids a worker remembers; a memory is emptied when it is full.
-WORDS, STEMS = 600_000, 1_000_000
+#: Words and stems of words whose ids a worker remembers; the memory is emptied when it is full.
+REMEMBERED = 900_000
 #: What is cut from a word's end before its stem is looked up. Without quotes, which begin contractions, and without
 #: the signs that end special tokens.
 CLOSING = b".,;:!?*#$%&|"
@@ -23,8 +24,7 @@ CLOSING = b".,;:!?*#$%&|"
 RANK_PARTS = 256
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # executors share a machine
-_words: dict[bytes, bytes] = {}
-_stems: dict[bytes, bytes] = {}
+_known: dict[bytes, bytes] = {}
 _encoder: dict[str, object] = {}
 
 
@@ -32,8 +32,8 @@ def encoder(path: str):
     if path not in _encoder:
         from tokenizers import Tokenizer
 
-        for known in (_words, _stems, _encoder):
-            known.clear()
+        _known.clear()
+        _encoder.clear()
         _encoder[path] = Tokenizer.from_file(path)
     return _encoder[path]
 
@@ -61,22 +61,23 @@ def encode(texts: list[bytes], path: str) -> list[bytes]:
     """
     model = encoder(path)
     split = [t.split() for t in texts]
-    if len(_words) > WORDS:
-        _words.clear()
-    if len(_stems) > STEMS:
-        _stems.clear()
-    words = list(set().union(*split).difference(_words))
+    if len(_known) > REMEMBERED:
+        _known.clear()
+    words = list(set().union(*split).difference(_known))
     stems = [stem_of(w) for w in words]
     tails = [w.lower()[len(stem) :] if len(w) > len(stem) else b"" for w, stem in zip(words, stems, strict=True)]
-    new = list(set(stems).union(tails).difference(_stems))
+    new = list(set(stems).union(tails).difference(_known))
     for at in range(0, len(new), 20_000):
         some = new[at : at + 20_000]
         for stem, found in zip(some, model.encode_batch_fast([w.decode() for w in some], add_special_tokens=False), strict=True):
             ids = found.ids
-            _stems[stem] = struct.pack(f"<{len(ids)}I", *ids)
+            _known[stem] = struct.pack(f"<{len(ids)}I", *ids)
     for word, stem, tail in zip(words, stems, tails, strict=True):
-        _words[word] = _stems[stem] + _stems[tail] if tail else _stems[stem]
-    return [b"".join(map(_words.__getitem__, words)) for words in split]
+        if tail:
+            _known[word] = _known[stem] + _known[tail]
+        elif word not in _known:
+            _known[word] = _known[stem]
+    return [b"".join(map(_known.__getitem__, words)) for words in split]
 
 
 def default_tokenizer() -> str:
@@ -107,7 +108,7 @@ def document_pieces(docs: DataFrame, capacity: int, end_id: int, tokenizer: str
                 )
 
     picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return picked.mapInArrow(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
+    return picked.mapInArrow(tidy(run), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
 
 
 def fullest(counts: dict[int, int], capacity: int) -> dict[int, int]:
@@ -208,4 +209,4 @@ def pack(docs: DataFrame, capacity: int = 2048, end_id: int = 1, tokenizer: str
                 offsets[rows] = entry[:, 3] + within % entry[:, 1] * lengths[rows]
             yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(bins), pa.array(offsets)], [*batch.schema.names[:5], "sequence_id", "offset"])
 
-    return ranked.mapInArrow(place, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
+    return ranked.mapInArrow(tidy(place), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .shared import written
-from .tokens import PLAIN, SPACE, Slice, bounds, mix, separators, slices, span_hashes
+from .tokens import PLAIN, SPACE, Slice, bounds, mix, separators, slices, span_hashes, tidy
 
 SYMBOLS = separators(b"#*$%&|<>")
 LINE_END = separators(b"\n")
@@ -142,7 +142,7 @@ def measure_documents(docs: DataFrame) -> DataFrame:
                 ["doc_id", *COUNTS, "base_failed", "pattern"],
             )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, fields)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(tidy(run), fields)
 
 
 def fit_votes(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100, smoothing: float = 1.0) -> tuple[np.ndarray, np.ndarray]:
@@ -203,4 +203,4 @@ def good_documents(docs: DataFrame, least: float = 0.5) -> DataFrame:
         for batch, counts, pattern in measured_batches(batches, text):
             yield batch.filter(pa.array(~failed(counts) & (table[pattern] >= least)))
 
-    return docs.mapInArrow(run, T.StructType(docs.schema.fields))
+    return docs.mapInArrow(tidy(run), T.StructType(docs.schema.fields))

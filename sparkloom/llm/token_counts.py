@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .shared import scratch_path
+from .tokens import tidy
 
 SCHEMA = "content_digest binary, tokenizer_digest string, n_tokens long"
 _loaded: dict[str, object] = {}
@@ -73,6 +74,6 @@ def count_tokens(docs: DataFrame, limit: int = 4096, cache: str | None = None, t
 
     distinct = keyed.select("content_digest", "content").dropDuplicates(["content_digest"])
     missing = distinct.join(stored().select("content_digest"), "content_digest", "left_anti") if cache else distinct
-    missing.mapInArrow(lambda batches: count_batches(batches, tokenizer, version), SCHEMA).write.mode("append").parquet(folder)
+    missing.mapInArrow(tidy(lambda batches: count_batches(batches, tokenizer, version)), SCHEMA).write.mode("append").parquet(folder)
     sizes = docs.select(F.col("doc_id").cast("long").alias("doc_id"), digest.alias("content_digest"), F.octet_length(text).cast("long").alias("n_bytes"))
     return sizes.join(stored(), "content_digest").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))

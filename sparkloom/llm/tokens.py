@@ -6,7 +6,9 @@ so memory follows the slice and not the batch that Spark sends.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import contextlib
+import ctypes
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -144,3 +146,17 @@ def group_edges(table: pa.Table, keys: list[str]) -> np.ndarray:
         values = table.column(key).to_numpy()
         change[1:-1] |= values[1:] != values[:-1]
     return np.flatnonzero(change)
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run``, after which a worker gives freed memory back to the system: workers stay and would keep each task's peak."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # another C library
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return wrapped

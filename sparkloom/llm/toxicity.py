@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .tokens import LOWER, NOT_ALNUM, SLICE, Slice, bounds, mix, slices, span_hashes
+from .tokens import LOWER, NOT_ALNUM, SLICE, Slice, bounds, mix, slices, span_hashes, tidy
 
 #: The classifier is fitted on so many labelled rows of either class at most, the first by the checksum of their id.
 MOST_TOXIC, MOST_CLEAN = 2000, 3000
@@ -308,7 +308,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, least: float = 0.5, mode
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("p", pa.float64())]))
         for batch in batches:
-            for part in slices(batch.column(1), 4 * SLICE):
+            for part in slices(batch.column(1), 2 * SLICE):
                 score, found = score_slice(model, part)
                 ids = batch.column(0).slice(part.first, part.rows)
                 held = [fold_of(i) == HELD_OUT for i in ids.to_pylist()]
@@ -317,7 +317,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, least: float = 0.5, mode
                     ["doc_id", "held_out", "score", "predicted", "spans"],
                 )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(tidy(run), schema)
 
 
 def clean_documents(docs: DataFrame, labels: DataFrame, least: float = 0.5) -> DataFrame:
@@ -327,8 +327,8 @@ def clean_documents(docs: DataFrame, labels: DataFrame, least: float = 0.5) -> D
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = [score_slice(model, part)[0] for part in slices(batch.column(text), 4 * SLICE)]
+            scores = [score_slice(model, part)[0] for part in slices(batch.column(text), 2 * SLICE)]
             if scores:
                 yield batch.filter(pa.array(np.concatenate(scores) < least))
 
-    return docs.mapInArrow(run, T.StructType(docs.schema.fields))
+    return docs.mapInArrow(tidy(run), T.StructType(docs.schema.fields))
