@@ -1,0 +1,186 @@
+"""Items from evidence through a model that the caller brings, and replies read back."""
+
+from __future__ import annotations
+
+import json
+import re
+import time
+from collections.abc import Callable, Iterator
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from ..functions.text import MARKER, clean_generated, collapse_space, distinct_in_order, excerpt, paper_voice, signature, text
+from ..functions.tokens import keywords
+from ..lexicon import DIFFICULTIES, TYPES
+from .quality import REASONS, complete, first_reason
+
+Model = Callable[[dict], str]
+REPLY = "items array<struct<question:string,answer:string,type:string,difficulty:string>>"
+# What a model is told after a rejected attempt.
+FEEDBACK = {
+    "verbatim_answer": "Say the answer in your own words instead of copying the evidence.",
+    "insufficient_context_support": "Use only facts that the evidence states.",
+    "circular_answer": "The answer must add facts that the question does not hold.",
+    "topic_mismatch": "Keep question and answer on the topic.",
+    "duplicate_existing_question": "Ask something that has not been asked.",
+}
+OTHERWISE = "Give one complete question and answer that the evidence supports."
+
+
+def stub_model(request: dict) -> str:
+    """A deterministic model for tests: asks about the topic and answers with the evidence's words in another order."""
+    words = request["evidence"].split()
+    answer = f"The passage on {request['topic']} states " + " ".join(words[i] for i in range(0, len(words), 2))
+    return json.dumps({"items": [{"question": f"What does passage {request['evidence_id']} say about {request['topic']}?", "answer": answer, "type": "conceptual", "difficulty": "easy"}]})
+
+
+def replies(requests: DataFrame, model: Model, retries: int = 3, backoff: float = 2.0) -> DataFrame:
+    """``requests`` with the model's reply; a call is tried again after a pause, and gives no items in the end.
+
+    Write the result before using it twice: a lost task asks again.
+    """
+
+    def run(batches: Iterator) -> Iterator:
+        for pdf in batches:
+            out = []
+            for request in pdf.to_dict("records"):
+                answer = '{"items": []}'
+                for attempt in range(1, retries + 1):
+                    try:
+                        answer = model(request)
+                        break
+                    except Exception:  # noqa: BLE001  whatever a model's client raises
+                        if attempt < retries:
+                            time.sleep(backoff * attempt)
+                out.append(answer)
+            yield pdf.assign(reply=out)
+
+    from pyspark.sql.types import StringType, StructField, StructType
+
+    return requests.mapInPandas(run, StructType([*requests.schema.fields, StructField("reply", StringType())]))
+
+
+def json_object(reply: Column) -> Column:
+    """The first balanced object of a reply as JSON text; a list of no items without one."""
+
+    def find(content: str) -> str:
+        try:
+            if isinstance(json.loads(content), dict):
+                return content
+        except ValueError:
+            pass
+        start = content.find("{")
+        depth = 0
+        for at in range(max(start, 0), len(content)):
+            depth += (content[at] == "{") - (content[at] == "}")
+            if depth == 0 and start >= 0 and content[at] == "}":
+                try:
+                    if isinstance(json.loads(content[start : at + 1]), dict):
+                        return content[start : at + 1]
+                except ValueError:
+                    pass
+                break
+        named = [json.loads(x) for x in re.findall(r"\{[^{}]*\"name\"[^{}]*\}", content) if _is_json(x)]
+        return json.dumps({"items": named})
+
+    import pandas as pd
+
+    @F.pandas_udf("string")
+    def run(values: pd.Series) -> pd.Series:
+        return values.map(find)
+
+    return run(text(reply))
+
+
+def _is_json(content: str) -> bool:
+    try:
+        json.loads(content)
+    except ValueError:
+        return False
+    return True
+
+
+def topics_from_reply(rows: DataFrame, reply: str = "reply") -> DataFrame:
+    """(document, topic_id, topic_index, name, summary, keywords) from model replies under any of the usual keys."""
+    body = F.try_parse_json(json_object(F.col(reply)))
+    lists = [F.try_variant_get(body, f"$.{key}", "array<variant>") for key in ("topics", "temas", "topicos", "items", "sections", "data")]
+    entries = rows.select("document", F.posexplode(F.coalesce(*lists)).alias("topic_index", "v"))
+
+    def first(*keys: str) -> Column:
+        return F.coalesce(*[F.nullif(F.trim(F.try_variant_get("v", f"$['{k}']", "string")), F.lit("")) for k in keys])
+
+    plain = F.nullif(F.trim(F.try_variant_get("v", "$", "string")), F.lit(""))
+    is_text = F.schema_of_variant("v") == "STRING"
+    name = F.when(is_text, plain).otherwise(first("name", "title", "topic", "tema"))
+    summary = F.when(is_text, plain).otherwise(first("summary", "description", "resumen", "Definition", "definition"))
+    keys = ("keywords", "tags", "palabras_clave", "Key Topics Covered", "key_topics")
+    given = F.coalesce(*[F.nullif(F.try_variant_get("v", f"$['{k}']", "array<string>"), F.array().cast("array<string>")) for k in keys], F.split(first(*keys), ","), F.array().cast("array<string>"))
+    named = entries.select("document", "topic_index", name.alias("name"), summary.alias("summary"), F.slice(distinct_in_order(given), 1, 12).alias("keywords")).where("name IS NOT NULL")
+    once = F.row_number().over(Window.partitionBy("document", F.lower("name")).orderBy("topic_index"))
+    named = named.withColumn("once", once).where("once = 1").drop("once")
+    words = keywords(F.concat_ws(" ", "name", "summary"))
+    return named.select(
+        "document",
+        F.format_string("topic-%02d", "topic_index").alias("topic_id"),
+        "topic_index",
+        "name",
+        F.coalesce("summary", "name").alias("summary"),
+        F.when(F.size("keywords") > 0, F.col("keywords")).otherwise(words).alias("keywords"),
+    )
+
+
+def items_of(replied: DataFrame) -> DataFrame:
+    """Items of replied requests, the first of each; blank questions or answers give none."""
+    first = F.get(F.from_json(json_object(F.col("reply")), REPLY)["items"], F.lit(0))
+    rows = replied.withColumn("x", first)
+    rows = rows.withColumn("question", clean_generated(F.col("x.question"))).withColumn("answer", paper_voice(clean_generated(F.col("x.answer"))))
+    kind, level = F.lower(F.trim("x.type")), F.lower(F.trim("x.difficulty"))
+    return rows.select(
+        *[c for c in replied.columns if c != "reply"],
+        "question",
+        "answer",
+        F.when(kind.isin(list(TYPES)), kind).otherwise("factual").alias("type"),
+        F.when(level.isin(list(DIFFICULTIES)), level).otherwise("medium").alias("difficulty"),
+        F.regexp_replace(collapse_space(F.col("evidence")), MARKER + "\\s*", "").alias("context_source"),
+        F.lit(True).alias("context_source_verified"),
+        F.array("chunk_id").alias("source_chunk_ids"),
+        F.concat(F.lit("["), "chunk_id", F.lit("] "), excerpt(F.col("evidence"), 480)).alias("context_excerpt"),
+    )
+
+
+def generate_items(evidence: DataFrame, model: Model, wanted: int = 6, attempts: int = 3, save: Callable[[DataFrame], DataFrame] = DataFrame.persist, gate: str = "strict") -> tuple[DataFrame, DataFrame]:
+    """(items, rejected) from ranked evidence: (document, topic_id, topic, topic_summary, topic_keywords, evidence_id,
+    chunk_id, evidence_rank, evidence).
+
+    All windows in reach of a topic are asked at once; those that a rule rejects are asked again with its feedback. Of the
+    accepted the best ranked ``wanted`` with different questions are kept. Each wave is saved before it is read again.
+    """
+    reach = max(5 * wanted, 16)
+    open_rows = evidence.where(F.col("evidence_rank") <= reach).withColumn("feedback", F.lit(""))
+    rules = REASONS if gate == "strict" else REASONS[:-1]
+    accepted, rejected = None, None
+    for attempt in range(1, attempts + 1):
+        wave = save(items_of(replies(open_rows, model)).withColumn("attempt", F.lit(attempt)))
+        blank = (text(F.col("question")) == "") | (text(F.col("answer")) == "")
+        judged = complete(wave).withColumn("rejection_reason", F.when(blank, "parse_error").otherwise(first_reason(rules)))
+        judged = save(judged)
+        good, bad = judged.where("rejection_reason IS NULL"), judged.where("rejection_reason IS NOT NULL")
+        accepted = good if accepted is None else accepted.unionByName(good)
+        rejected = bad if rejected is None else rejected.unionByName(bad)
+        hint = F.lit(OTHERWISE)
+        for reason, advice in FEEDBACK.items():
+            hint = F.when(F.col("rejection_reason") == reason, advice).otherwise(hint)
+        open_rows = bad.withColumn("feedback", hint).select(*evidence.columns, "feedback")
+    once = F.row_number().over(Window.partitionBy("document", signature(F.col("question"))).orderBy("evidence_rank", "topic_id"))
+    unique = accepted.withColumn("once", once).where("once = 1").drop("once")
+    place = F.row_number().over(Window.partitionBy("document", "topic_id").orderBy("evidence_rank", "evidence_id"))
+    kept = unique.withColumn("n", place).where(F.col("n") <= wanted)
+    return kept.withColumn("id", F.format_string("%s-%s-qa-%02d", "document", "topic_id", "n")).drop("n"), rejected
+
+
+def evidence_stats(items: DataFrame, rejected: DataFrame) -> dict[str, int]:
+    """Attempts, accepted items and repairs of a generation."""
+    a = items.count()
+    r = rejected.agg(F.count(F.lit(1)), F.count_if(F.col("attempt") > 1)).first()
+    return {"accepted_items": a, "rejected_attempts": r[0], "repair_attempts": r[1] + items.where("attempt > 1").count()}
