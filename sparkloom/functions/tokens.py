@@ -9,6 +9,17 @@ from ..lexicon import STOPWORDS
 from .text import collapse_space, fold, text
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of ``value``, which is computed once however often the body and its inner functions use it."""
+    return F.get(F.transform(F.array(value), lambda x: body(x)), F.lit(0))
+
+
+def is_in(values):
+    """A test for membership in a fixed list, for array functions."""
+    fixed = list(values)
+    return lambda t: t.isin(fixed)
+
+
 def words(values: list[str] | tuple[str, ...]) -> Column:
     return F.array(*[F.lit(v) for v in values])
 
@@ -38,9 +49,13 @@ def terms(c: Column) -> Column:
 
 def pairs(tokens: Column) -> Column:
     """Distinct neighbours joined by a blank; a single token stands for itself."""
-    n = F.size(tokens)
-    joined = F.zip_with(F.slice(tokens, F.lit(1), F.greatest(n - 1, F.lit(0))), F.slice(tokens, F.lit(2), F.greatest(n - 1, F.lit(0))), lambda a, b: F.concat_ws(" ", a, b))
-    return F.array_distinct(F.when(n < 2, tokens).otherwise(joined))
+
+    def joined(t: Column) -> Column:
+        n = F.size(t)
+        both = F.zip_with(F.slice(t, F.lit(1), F.greatest(n - 1, F.lit(0))), F.slice(t, F.lit(2), F.greatest(n - 1, F.lit(0))), lambda a, b: F.concat_ws(" ", a, b))
+        return F.array_distinct(F.when(n < 2, t).otherwise(both))
+
+    return let(tokens, joined)
 
 
 def answer_tokens(c: Column) -> Column:
@@ -67,13 +82,14 @@ def keywords(c: Column, k: int = 8) -> Column:
     One array expression per text: no shuffle, and nothing that grows beyond the text.
     """
     tokens = without(found(F.lower(text(c)), "[A-Za-zÀ-ÿ][A-Za-zÀ-ÿ0-9_-]{3,}"), STOPWORDS)
-    places = F.transform(tokens, lambda w, i: F.struct(w.alias("w"), i.alias("i")))
-    ordered = F.array_sort(places)
-    n = F.size(ordered)
-    begins = F.filter(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda j: (n > 0) & ((j == 1) | (F.get(ordered, j - 1)["w"] != F.get(ordered, F.greatest(j - 2, F.lit(0)))["w"])))
-    ends = F.concat(F.slice(begins, F.lit(2), F.greatest(F.size(begins), F.lit(1))), F.array(n + 1))
-    counted = F.transform(begins, lambda b, x: F.struct((b - F.get(ends, x)).alias("fewer"), F.get(ordered, b - 1)["i"].alias("i"), F.get(ordered, b - 1)["w"].alias("w")))
-    return F.transform(F.slice(F.array_sort(counted), 1, k), lambda s: s["w"])
+
+    def ranked(ordered: Column) -> Column:
+        n = F.size(ordered)
+        new = F.filter(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), lambda j: (n > 0) & ((j == 0) | (F.get(ordered, j)["w"] != F.get(ordered, F.greatest(j - 1, F.lit(0)))["w"])))
+        return let(new, lambda begins: F.array_sort(F.transform(begins, lambda b, x: F.struct((b - F.coalesce(F.get(begins, x + 1), n)).alias("fewer"), F.get(ordered, b)["i"].alias("i"), F.get(ordered, b)["w"].alias("w")))))
+
+    places = let(tokens, lambda t: F.array_sort(F.transform(t, lambda w, i: F.struct(w.alias("w"), i.alias("i")))))
+    return F.transform(F.slice(let(places, ranked), 1, k), lambda s: s["w"])
 
 
 def cosine(a: Column, b: Column) -> Column:

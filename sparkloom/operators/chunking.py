@@ -6,26 +6,29 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import collapse_space, fold, last_index, strip, text, truncate
-from ..functions.tokens import found
+from ..functions.tokens import found, is_in, let
 from ..lexicon import LANGUAGES
 
 
 def chunk_array(raw: Column, size: int = 3500, overlap: int = 350) -> Column:
     """Chunks of a text: windows of ``size`` characters every ``size - overlap``, cut at white space where a word would
     be split late in the window, stripped, those of 120 characters or more."""
-    clean = collapse_space(raw)
-    n = F.length(clean)
     step = max(1, size - overlap)
-    last = F.greatest(F.ceil((n - size) / F.lit(step)), F.lit(0).cast("long")).cast("int")
 
-    def window(k: Column) -> Column:
-        start = k * step
-        part = F.substring(clean, start + 1, F.lit(size))
-        inside = (start + size < n) & F.substring(clean, start + size, F.lit(1)).rlike("[\\p{L}\\p{N}]") & F.substring(clean, start + size + 1, F.lit(1)).rlike("[\\p{L}\\p{N}]")
-        edge = last_index(F.translate(part, "\n", " "), " ")
-        return strip(F.when(inside & (edge >= max(step, int(size * 0.6))), F.substring(part, F.lit(1), edge)).otherwise(part))
+    def windows(clean: Column) -> Column:
+        n = F.length(clean)
+        last = F.greatest(F.ceil((n - size) / F.lit(step)), F.lit(0).cast("long")).cast("int")
 
-    return F.filter(F.transform(F.sequence(F.lit(0), last), window), lambda c: F.length(c) >= 120)
+        def window(k: Column) -> Column:
+            start = k * step
+            part = F.substring(clean, start + 1, F.lit(size))
+            inside = (start + size < n) & F.substring(clean, start + size, F.lit(1)).rlike("[\\p{L}\\p{N}]") & F.substring(clean, start + size + 1, F.lit(1)).rlike("[\\p{L}\\p{N}]")
+            edge = last_index(F.translate(part, "\n", " "), " ")
+            return strip(F.when(inside & (edge >= max(step, int(size * 0.6))), F.substring(part, F.lit(1), edge)).otherwise(part))
+
+        return F.filter(F.transform(F.sequence(F.lit(0), last), window), lambda c: F.length(c) >= 120)
+
+    return let(collapse_space(raw), windows)
 
 
 def chunk_documents(docs: DataFrame, size: int = 3500, overlap: int = 350, most: int | None = None, document: str = "doc_id", raw: str = "text") -> DataFrame:
@@ -56,7 +59,7 @@ def language_scores(raw: Column) -> Column:
         "ca": F.when(sample.rlike(" l'| d'| qu'|[àèç]"), 2).otherwise(0),
         "pt": F.when(sample.rlike("ção|ões|ã|õ"), 6).otherwise(0),
     }
-    entries = [x for code, _, marks in LANGUAGES for x in (F.lit(code), F.size(F.filter(tokens, lambda w, m=tuple(marks): w.isin(list(m)))) + bonus.get(code, F.lit(0)))]
+    entries = [x for code, _, marks in LANGUAGES for x in (F.lit(code), F.size(F.filter(tokens, is_in(marks))) + bonus.get(code, F.lit(0)))]
     return F.create_map(*entries)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import collapse_space, text, truncate
-from ..functions.tokens import answer_pairs, answer_tokens
+from ..functions.tokens import answer_pairs, answer_tokens, let
 from ..lexicon import BLOCKING_REASONS, DECISIONS, MISREAD_PATTERN, REASONS
 from .quality import has_marker
 
@@ -66,33 +66,55 @@ def reason(value: Column) -> Column:
     return F.when(c.isin(list(REASONS)), c).when(c == "", "judge_error").otherwise(out)
 
 
-def normalised(p: Column, model: Column) -> Column:
+def normalised(payload_: Column, model: Column) -> Column:
     """The judge columns as one struct from a payload struct."""
+    return let(payload_, lambda p: _normalised(p, model))
+
+
+def _normalised(p: Column, model: Column) -> Column:
     fallback = F.coalesce(p["score"], F.lit("0"))
-    context, answer, question, overall = (score(F.coalesce(p[k], fallback)) for k in ("context_quality", "answer_support", "question_quality", "overall_score"))
-    least = F.least(context, answer, question)
     said = F.lower(F.trim(F.coalesce(p["decision"], F.lit(""))))
+    reasons = F.array_distinct(F.transform(F.coalesce(p["reasons"], F.array().cast("array<string>")), lambda r: reason(r)))
+    names = ("context_quality", "answer_support", "question_quality", "overall_score")
+    read = F.struct(*[score(F.coalesce(p[k], fallback)).alias(k) for k in names], said.alias("said"), reasons.alias("reasons"), collapse_space(p["explanation"]).alias("explained"))
+    return let(read, lambda r: let(_decided(r), lambda d: _limited(r, d, model)))
+
+
+def _decided(r: Column) -> Column:
+    """The first decision, the lowest part score, and the reasons."""
+    overall = r["overall_score"]
     by_score = F.when(overall >= 0.8, "pass").when(overall >= 0.45, "review").when(overall > 0, "fail").otherwise("review")
-    first = F.when(said.isin(list(DECISIONS)), said).otherwise(by_score)
-    given = F.array_distinct(F.transform(F.coalesce(p["reasons"], F.array().cast("array<string>")), lambda r: reason(r)))
-    given = F.when(F.size(given) > 0, given).otherwise(F.array(F.when(first == "pass", "factual").otherwise("judge_error")))
-    mild = F.forall(given, lambda r: r.isin("factual", "judge_error", "weak_context"))
-    given = F.when((first == "pass") & (least >= 0.8) & mild, F.array(F.lit("factual"))).otherwise(given)
-    blocked = F.exists(given, lambda r: r.isin(list(BLOCKING_REASONS))) & first.isin("pass", "review")
-    second = F.when(blocked, "fail").otherwise(first)
-    after = F.when(blocked, F.least(overall, F.lit(0.35))).otherwise(overall)
-    weak, fair = least < 0.6, (least < 0.8) & (second == "pass")
-    explained = collapse_space(p["explanation"])
-    return F.struct(
-        F.when(weak, F.least(after, F.lit(0.39))).when(fair, F.least(after, F.lit(0.79))).otherwise(after).alias("judge_score"),
-        context.alias("judge_context_quality"),
-        answer.alias("judge_answer_support"),
-        question.alias("judge_question_quality"),
-        F.when(weak, "fail").when(fair, "review").otherwise(second).alias("judge_decision"),
-        F.slice(given, 1, 5).alias("judge_reasons"),
-        truncate(F.when(explained == "", "The judge gave no explanation.").otherwise(explained), 280).alias("judge_explanation"),
-        model.alias("judge_model"),
-    )
+    first = F.when(r["said"].isin(list(DECISIONS)), r["said"]).otherwise(by_score)
+    least = F.least(r["context_quality"], r["answer_support"], r["question_quality"])
+
+    def reasons(x: Column) -> Column:
+        given = F.when(F.size(r["reasons"]) > 0, r["reasons"]).otherwise(F.array(F.when(x["first"] == "pass", "factual").otherwise("judge_error")))
+        mild = F.forall(given, lambda v: v.isin("factual", "judge_error", "weak_context"))
+        praised = (x["first"] == "pass") & (x["least"] >= 0.8) & mild
+        return F.struct(x["first"].alias("first"), x["least"].alias("least"), F.when(praised, F.array(F.lit("factual"))).otherwise(given).alias("reasons"))
+
+    return let(F.struct(first.alias("first"), least.alias("least")), reasons)
+
+
+def _limited(r: Column, d: Column, model: Column) -> Column:
+    """Blocking reasons and weak parts limit decision and score."""
+    blocked = F.exists(d["reasons"], lambda v: v.isin(list(BLOCKING_REASONS))) & d["first"].isin("pass", "review")
+
+    def judged(x: Column) -> Column:
+        weak, fair = d["least"] < 0.6, (d["least"] < 0.8) & (x["decision"] == "pass")
+        return F.struct(
+            F.when(weak, F.least(x["score"], F.lit(0.39))).when(fair, F.least(x["score"], F.lit(0.79))).otherwise(x["score"]).alias("judge_score"),
+            r["context_quality"].alias("judge_context_quality"),
+            r["answer_support"].alias("judge_answer_support"),
+            r["question_quality"].alias("judge_question_quality"),
+            F.when(weak, "fail").when(fair, "review").otherwise(x["decision"]).alias("judge_decision"),
+            F.slice(d["reasons"], 1, 5).alias("judge_reasons"),
+            truncate(F.when(r["explained"] == "", "The judge gave no explanation.").otherwise(r["explained"]), 280).alias("judge_explanation"),
+            model.alias("judge_model"),
+        )
+
+    after = F.when(blocked, F.least(r["overall_score"], F.lit(0.35))).otherwise(r["overall_score"])
+    return let(F.struct(F.when(blocked, "fail").otherwise(d["first"]).alias("decision"), after.alias("score")), judged)
 
 
 def judge_items(items: DataFrame, reply: Column, model: str = "stub") -> DataFrame:

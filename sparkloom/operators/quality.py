@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import MARKER, collapse_space, strip, text
-from ..functions.tokens import answer_pairs, content_terms, content_words, found, letter_share, terms
+from ..functions.tokens import answer_pairs, content_terms, content_words, found, is_in, let, letter_share, terms
 from ..lexicon import BAD_ENDINGS, DOMAINS, GENERIC_TERMS, MISREAD_PATTERN
 from .retrieval import direct_hits
 
@@ -130,7 +130,7 @@ def circular(question: Column, answer: Column) -> Column:
     """Answers that add fewer than three content words or numbers to the question."""
     own, asked = content_words(answer), content_words(question)
     number = "\\d+(?:[.,]\\d+)?%?"
-    new = F.size(F.filter(own, lambda w: ~F.array_contains(asked, w)))
+    new = let(asked, lambda a: F.size(F.filter(own, lambda w: ~F.array_contains(a, w))))
     numbers = F.size(F.array_except(found(answer, number), found(question, number)))
     return (F.size(own) == 0) | (new + numbers < 3)
 
@@ -145,8 +145,8 @@ def topic_mismatch(topic: Column, summary: Column, keys: Column, body: Column) -
     item = terms(body)
     apart = (F.size(own) >= 2) & ((F.size(keys) > 0) | (F.size(own) >= 4)) & ~F.arrays_overlap(own, item)
     named = terms(F.concat_ws(" ", topic, F.array_join(keys, " ")))
-    hits = {d: F.size(F.filter(item, lambda t, w=tuple(v): t.isin(list(w)))) for d, v in DOMAINS.items()}
-    mine = {d: F.exists(named, lambda t, w=tuple(v): t.isin(list(w))) for d, v in DOMAINS.items()}
+    hits = {d: F.size(F.filter(item, is_in(v))) for d, v in DOMAINS.items()}
+    mine = {d: F.exists(named, is_in(v)) for d, v in DOMAINS.items()}
     here = F.greatest(*[F.when(mine[d], hits[d]).otherwise(0) for d in DOMAINS])
     there = F.greatest(*[F.when(mine[d], 0).otherwise(hits[d]) for d in DOMAINS])
     some = mine["technical"] | mine["ml"] | mine["hft"]

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import signature, strip, text, truncate
-from ..functions.tokens import cosine, letter_share, sentences
+from ..functions.tokens import cosine, let, letter_share, sentences
 
 TOPIC = ("topic_id", "topic_index", "name", "summary", "keywords")
 
@@ -15,11 +15,11 @@ def mentions(haystack: Column, phrases: Column) -> Column:
     """4 for each phrase that occurs and 1 for each of its words of more than three letters that does."""
     low = F.filter(F.transform(phrases, lambda p: strip(F.lower(p))), lambda p: p != "")
 
-    def score(p: Column) -> Column:
-        hits = F.size(F.filter(F.split(p, "\\s+"), lambda w: (F.length(w) > 3) & F.contains(haystack, w)))
-        return F.when(F.contains(haystack, p), 4).otherwise(0) + hits
+    def score(h: Column, p: Column) -> Column:
+        hits = F.size(F.filter(F.split(p, "\\s+"), lambda w: (F.length(w) > 3) & F.contains(h, w)))
+        return F.when(F.contains(h, p), 4).otherwise(0) + hits
 
-    return F.aggregate(low, F.lit(0), lambda s, p: s + score(p))
+    return let(haystack, lambda h: F.aggregate(low, F.lit(0), lambda s, p: s + score(h, p)))
 
 
 def phrases_of(name: Column, summary: Column, keys: Column) -> Column:
@@ -65,7 +65,7 @@ def lexical_scores(chunks: DataFrame, topics: DataFrame, penalty: float = 0.35)
     joined = joined.withColumn("best", best).withColumn("second", others)
     sibling = F.when(F.col("topic_id") == F.col("best")["topic_id"], F.col("second")).otherwise(F.col("best")["raw"])
     lowered = F.greatest(F.lit(0.0), F.bround(F.col("raw") - sibling * F.lit(penalty)))
-    return joined.withColumn("score", F.coalesce(lowered, F.col("raw").cast("double"))).drop("best", "second")
+    return joined.withColumn("score", F.when(sibling.isNull(), F.col("raw").cast("double")).otherwise(lowered)).drop("best", "second")
 
 
 def semantic_scores(scored: DataFrame, chunk_vector: str = "chunk_vector", topic_vector: str = "topic_vector", hybrid: bool = False) -> DataFrame:
@@ -122,6 +122,5 @@ def sentence_windows(contexts: DataFrame) -> DataFrame:
 
 def direct_hits(window: Column, name: Column, summary: Column, keys: Column) -> Column:
     """How many different normalised phrases of a topic a window holds."""
-    low = signature(window)
     wanted = F.array_distinct(F.filter(F.transform(phrases_of(name, summary, keys), signature), lambda p: p != ""))
-    return F.size(F.filter(wanted, lambda p: F.contains(low, p)))
+    return let(signature(window), lambda low: F.size(F.filter(wanted, lambda p: F.contains(low, p))))

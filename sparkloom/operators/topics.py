@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import collapse_space, distinct_in_order, strip, text, truncate
-from ..functions.tokens import found, keywords
+from ..functions.tokens import found, keywords, let
 from ..lexicon import BLOCKED_HEADINGS, GENERIC_NAMES
 
 
@@ -72,7 +72,10 @@ def topic_map_quality(topics: DataFrame, by: str = "document") -> DataFrame:
 
 def name_from_chunk(chunk: Column, index: Column) -> Column:
     """A readable name: a heading-like first line, else the first sentence of four words, else words, else a number."""
-    clean = collapse_space(chunk)
+    return let(collapse_space(chunk), lambda clean: _name_from(chunk, clean, index))
+
+
+def _name_from(chunk: Column, clean: Column, index: Column) -> Column:
     long = F.filter(F.transform(F.split(chunk, "\\R"), lambda s: F.regexp_replace(strip(s), "^[-*#]+|[-*#]+$", "")), lambda s: F.length(s) >= 8)
     first = F.get(long, F.lit(0))
     title = F.initcap(F.array_join(keywords(clean, 4), " / "))

@@ -36,7 +36,9 @@ def evidence(chunks: DataFrame, topic_rows: DataFrame, settings: Settings = Sett
     by_topic = siblings.groupBy("document").agg(F.collect_list(F.struct(*[f"s_{c}" for c in retrieval.TOPIC])).alias("siblings"))  # a document's few topics
     asked = asked.join(by_topic, "document")
     strongest = F.array_max(F.transform(F.filter("siblings", lambda s: s["s_topic_id"] != F.col("topic_id")), lambda s: retrieval.mentions(F.concat(low, F.lit(" ")), retrieval.phrases_of(s["s_name"], s["s_summary"], s["s_keywords"]))))
-    asked = asked.withColumn("score", F.coalesce(F.greatest(F.lit(0.0), F.bround(own - strongest * F.lit(0.35))), own.cast("double"))).drop("siblings")
+    asked = asked.withColumns({"own": own, "strongest": strongest})
+    lowered = F.greatest(F.lit(0.0), F.bround(F.col("own") - F.col("strongest") * F.lit(0.35)))
+    asked = asked.withColumn("score", F.when(F.col("strongest").isNull(), F.col("own").cast("double")).otherwise(lowered)).drop("siblings", "own", "strongest")
     return quality.rank_evidence(asked, used)
 
 

@@ -298,7 +298,7 @@ def verified_source(spark, folder):
     inner = F.slice(runs, F.lit(2), F.lit(4))
     passages = passages.withColumn("run", F.when(F.size(runs) >= 6, F.array_join(inner, " ")))
     words = F.filter(F.split(F.col("body"), "[^\\p{L}\\p{N}]+"), lambda w: w != "")
-    grams = F.when(F.size(words) >= 4, F.array_distinct(F.transform(F.sequence(F.lit(1), F.size(words) - 3), lambda i: F.array_join(F.slice(words, i, 4), " ")))).otherwise(F.array().cast("array<string>"))
+    grams = tk.let(words, lambda ws: F.when(F.size(ws) >= 4, F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.size(ws) - 3, F.lit(1))), lambda i: F.array_join(F.slice(ws, i, 4), " ")))).otherwise(F.array().cast("array<string>")))
     long, short = passages.where("run IS NOT NULL"), passages.where("run IS NULL")
     hits = docs.withColumn("run", F.explode(grams)).join(long, "run").where(F.contains(F.col("body"), F.col("passage")))
     few = docs.join(short, F.contains(F.col("body"), F.col("passage")))
