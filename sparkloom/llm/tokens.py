@@ -148,6 +148,13 @@ def group_edges(table: pa.Table, keys: list[str]) -> np.ndarray:
     return np.flatnonzero(change)
 
 
+def give_back() -> None:
+    """Returns freed memory to the system."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another C library
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """``run``, after which a worker gives freed memory back to the system: workers stay and would keep each task's peak."""
 
@@ -155,8 +162,6 @@ def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) ->
         try:
             yield from run(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            with contextlib.suppress(OSError, AttributeError):  # another C library
-                ctypes.CDLL(None).malloc_trim(0)
+            give_back()
 
     return wrapped

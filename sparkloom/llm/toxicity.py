@@ -12,10 +12,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .tokens import LOWER, NOT_ALNUM, SLICE, Slice, bounds, mix, slices, span_hashes, tidy
+from .tokens import LOWER, NOT_ALNUM, SLICE, Slice, bounds, give_back, mix, slices, span_hashes, tidy
 
 #: The classifier is fitted on so many labelled rows of either class at most, the first by the checksum of their id.
-MOST_TOXIC, MOST_CLEAN = 2000, 3000
+MOST_TOXIC, MOST_CLEAN = 1200, 1800
 FOLDS, HELD_OUT = 5, 0
 #: A token of a toxic document is labelled toxic if it stands between so many different neighbours in them,
 #: and so many times more often than in clean ones.
@@ -108,7 +108,7 @@ def document_measures(p: np.ndarray, rows: np.ndarray, edges: np.ndarray, n: int
 
 
 def text_slices(texts: list[str]) -> list[Slice]:
-    return list(slices(pa.array(texts, pa.large_string()), 4 * SLICE))
+    return list(slices(pa.array(texts, pa.large_string()), SLICE))
 
 
 def seed_tokens(parts: list[tuple], toxic: np.ndarray) -> np.ndarray:
@@ -216,7 +216,10 @@ def fit(texts: list[str], toxic: np.ndarray, totals: tuple[float, float]) -> Mod
         share = 0.5 / (len(texts) + 1) if not toxic.any() else 1 - 0.5 / (len(texts) + 1)
         none.document[0] = np.log(share / (1 - share))
         return none
-    parts = [(s.first, tokens_of(s)) for s in text_slices(texts)]
+    parts = []
+    for s in text_slices(texts):
+        _, _, rows, hashes = tokens_of(s)
+        parts.append((s.first, (None, None, rows.astype(np.int32), hashes)))
     seeds = np.sort(seed_tokens(parts, toxic))
     keys, windows, labels, last = [], [], [], 0
     rng = np.random.default_rng(0)
@@ -267,7 +270,10 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
         rows = texts.join(F.broadcast(first.select("doc_id")), "doc_id").orderBy("doc_id", F.sha2("text", 256)).limit(2 * most).collect()  # at most ``most`` ids
         found += [r["text"] for r in rows]
         is_toxic += [label] * len(rows)
-    return fit(found, np.array(is_toxic, dtype=bool), (float(count.get(True, 0)), float(count.get(False, 0))))
+    model = fit(found, np.array(is_toxic, dtype=bool), (float(count.get(True, 0)), float(count.get(False, 0))))
+    del found, rows
+    give_back()
+    return model
 
 
 def score_slice(model: Model, part: Slice) -> tuple[np.ndarray, tuple]:
