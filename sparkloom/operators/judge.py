@@ -121,10 +121,10 @@ def judge_items(items: DataFrame, reply: Column, model: str = "stub") -> DataFra
     """``items`` with the judge columns, from the checks or else from ``reply``, JSON text; none is a judge error."""
     checked = precheck(F.col("answer"), F.col("context_source"))
     parsed = F.from_json(reply, PAYLOAD)
-    empty = reply.isNull() | parsed.isNull() | F.trim(reply).isin("", "{}", '{"items": []}')
+    empty = reply.isNull() | F.try_parse_json(reply).isNull() | ~reply.rlike("^\\s*\\{") | F.trim(reply).isin("", "{}", '{"items": []}')
     rows = items.withColumn("checked", checked)
     error = F.from_json(F.lit('{"decision":"review","reasons":["judge_error"],"explanation":"The judge call failed or gave no valid JSON."}'), PAYLOAD)
-    answer = normalised(F.coalesce(F.col("checked"), parsed, error), F.when(F.col("checked").isNotNull(), f"{model}:precheck").otherwise(model))
+    answer = normalised(F.coalesce(F.col("checked"), F.when(~empty, parsed), error), F.when(F.col("checked").isNotNull(), f"{model}:precheck").otherwise(model))
     failed = F.col("checked").isNull() & empty
     rows = rows.withColumn("j", answer).withColumn("failed", failed).withColumn("raw", F.when(failed, F.coalesce(reply, F.lit(""))))
     rows = rows.withColumn("j", F.when(F.col("failed"), F.col("j").withField("judge_decision", F.lit("review")).withField("judge_score", F.lit(0.0))).otherwise(F.col("j")))
