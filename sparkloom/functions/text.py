@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import unicodedata
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -47,10 +50,6 @@ def fold(c: Column) -> Column:
 
 def fold_all(c: Column) -> Column:
     """Lower case, compatibility decomposition, no combining marks, by Arrow batches."""
-    import unicodedata
-
-    import pandas as pd
-
     @F.pandas_udf("string")
     def run(values: pd.Series) -> pd.Series:
         return values.map(lambda v: "".join(x for x in unicodedata.normalize("NFKD", v.lower()) if not unicodedata.combining(x)))

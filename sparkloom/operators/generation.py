@@ -7,6 +7,7 @@ import re
 import time
 from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -84,8 +85,6 @@ def json_object(reply: Column) -> Column:
         named = [json.loads(x) for x in re.findall(r"\{[^{}]*\"name\"[^{}]*\}", content) if _is_json(x)]
         return json.dumps({"items": named})
 
-    import pandas as pd
-
     @F.pandas_udf("string")
     def run(values: pd.Series) -> pd.Series:
         return values.map(find)
