@@ -13,10 +13,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .shared import written
-from .tokens import tidy
+from .tokens import KEPT, tidy
 
 #: Words and stems of words whose ids a worker remembers; the memory is emptied when it is full.
 REMEMBERED = 900_000
+#: Words that the tokenizer encodes at once; its results take much more room than their ids.
+BATCH = 2_000
 #: What is cut from a word's end before its stem is looked up. Without quotes, which begin contractions, and without
 #: the signs that end special tokens.
 CLOSING = b".,;:!?*#$%&|"
@@ -26,14 +28,22 @@ RANK_PARTS = 256
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # executors share a machine
 _known: dict[bytes, bytes] = {}
 _encoder: dict[str, object] = {}
+OWNER = "packing"
+
+
+def forget() -> None:
+    _known.clear()
+    _encoder.clear()
+
+
+KEPT[OWNER] = forget
 
 
 def encoder(path: str):
     if path not in _encoder:
         from tokenizers import Tokenizer
 
-        _known.clear()
-        _encoder.clear()
+        forget()
         _encoder[path] = Tokenizer.from_file(path)
     return _encoder[path]
 
@@ -67,8 +77,8 @@ def encode(texts: list[bytes], path: str) -> list[bytes]:
     stems = [stem_of(w) for w in words]
     tails = [w.lower()[len(stem) :] if len(w) > len(stem) else b"" for w, stem in zip(words, stems, strict=True)]
     new = list(set(stems).union(tails).difference(_known))
-    for at in range(0, len(new), 20_000):
-        some = new[at : at + 20_000]
+    for at in range(0, len(new), BATCH):
+        some = new[at : at + BATCH]
         for stem, found in zip(some, model.encode_batch_fast([w.decode() for w in some], add_special_tokens=False), strict=True):
             ids = found.ids
             _known[stem] = struct.pack(f"<{len(ids)}I", *ids)
@@ -108,7 +118,7 @@ def document_pieces(docs: DataFrame, capacity: int, end_id: int, tokenizer: str
                 )
 
     picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return picked.mapInArrow(tidy(run), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
+    return picked.mapInArrow(tidy(run, OWNER), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
 
 
 def fullest(counts: dict[int, int], capacity: int) -> dict[int, int]:
@@ -209,4 +219,4 @@ def pack(docs: DataFrame, capacity: int = 2048, end_id: int = 1, tokenizer: str
                 offsets[rows] = entry[:, 3] + within % entry[:, 1] * lengths[rows]
             yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(bins), pa.array(offsets)], [*batch.schema.names[:5], "sequence_id", "offset"])
 
-    return ranked.mapInArrow(tidy(place), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
+    return ranked.mapInArrow(tidy(place, OWNER), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")

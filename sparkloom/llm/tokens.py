@@ -155,10 +155,25 @@ def give_back() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
-def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """``run``, after which a worker gives freed memory back to the system: workers stay and would keep each task's peak."""
+#: What workers keep between tasks, by the module that keeps it: how to drop it.
+KEPT: dict[str, Callable[[], None]] = {}
+
+
+def drop_kept(owner: str | None) -> None:
+    """Drops what other modules than ``owner`` keep in this process."""
+    for name, drop in KEPT.items():
+        if name != owner:
+            drop()
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], owner: str | None = None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run``, after which a worker gives freed memory back to the system: workers stay and would keep each task's peak.
+
+    Before it, the worker drops what other operators left in it; ``owner`` names the module whose memory stays.
+    """
 
     def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_kept(owner)
         try:
             yield from run(batches)
         finally:

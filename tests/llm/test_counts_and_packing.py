@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 
 from sparkloom.llm import packing, token_counts
+from sparkloom.llm.tokens import tidy
 
 from . import cases
 
@@ -114,3 +115,18 @@ def test_words_encode_as_whole_texts_do():
     texts = ["don't WE'LL a\u0301b \u0301x", "ΝΑΟΣ ΝΑΟΣ, x\u00a0y\u2028z", "<|startoftext|>a <|endoftext|> b<|endoftext|>", "\x1c\x85 a\x1fb \u200d 12 34,5", "😀😀 ﬁne İstanbul \u0130", "", " ", "It's. IT'S!? 'S. x'. é., ½. »., ... a.b., ۳! <|ENDOFTEXT|>, <|endoftext|>. a<|endoftext|>|", "ß. Σ. ΑΣ, e\u0301."]
     for text, ids in zip(texts, packing.encode([t.encode() for t in texts], path), strict=True):
         assert np.frombuffer(ids, "<u4").tolist() == model.encode(text, add_special_tokens=False).ids
+
+
+def test_other_operators_drop_what_packing_remembers():
+    path = packing.default_tokenizer()
+
+    def nothing(batches):
+        yield from batches
+
+    packing.encode([b"Some words, words."], path)
+    assert packing._known
+    list(tidy(nothing, packing.OWNER)([]))
+    assert packing._known
+    list(tidy(nothing)([]))
+    assert not packing._known and not packing._encoder
+    assert packing.encode([b"Some words, words."], path) == packing.encode([b"some  words, words."], path)
