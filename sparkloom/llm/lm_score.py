@@ -17,10 +17,12 @@ from .shared import written
 from .tokens import LOWER, SLICE, SPACE, Slice, mix, separators, slices, span_hashes, tidy
 
 FOLDS, HELD_OUT = 7, 2
-#: Words that are classes of their own, with the end; words whose counts every worker holds. Both are the most frequent, ties by hash.
-CLASSES, HEAD = 508, 131_072
-#: The other words share a class with those that end alike and have letters of the same kind.
-SHAPES = 4
+#: At most so many words, the most frequent, ties by hash, have vectors of their own and counts that every worker holds.
+HEAD = 131_072
+#: The other words, and those not seen in training, share the vectors of a bucket by hash, ending and kind of letters.
+SHAPES, BUCKETS = 4, 1024
+#: Levels of the tree of outputs; records of a worker's model have so many rows at most.
+DEPTH, BLOCK = 3, 8192
 DIM, NOISE, BATCH, RATE = 24, 32, 4096, 0.08
 #: (word, count) rows that a worker holds before it passes them on.
 HELD = 2_000_000
@@ -91,105 +93,124 @@ def counted(docs: DataFrame) -> DataFrame:
 
 @dataclass
 class Vocabulary:
-    """What is known of the training tokens: totals, the frequent ones (sorted by key), and the classes."""
+    """What is known of the training tokens: totals, the frequent ones (sorted by key), and the buckets of the others.
+
+    Outputs of the model are the frequent tokens and then the buckets, dealt anew by falling count.
+    """
 
     total: int
     distinct: int
     head: np.ndarray
     head_counts: np.ndarray
-    class_keys: np.ndarray
-    shape_total: np.ndarray
-    shape_distinct: np.ndarray
+    bucket_total: np.ndarray
+    bucket_distinct: np.ndarray
 
-    @property
-    def classes(self) -> int:
-        return len(self.class_keys) + SHAPES
+    def __post_init__(self):
+        counts = np.concatenate([self.head_counts, self.bucket_total]) + 1.0
+        order = np.argsort(-counts, kind="stable")
+        self.output_counts = counts[order]
+        self.place = np.empty(len(counts), np.int64)
+        self.place[order] = np.arange(len(counts))
+        self.bucket_at = np.where(order >= len(self.head), order - len(self.head), -1)
 
     @property
-    def class_counts(self) -> np.ndarray:
-        known = self.counts_of(self.class_keys)
-        return np.concatenate([np.maximum(known, 0), self.shape_total]) + 1.0
-
-    def counts_of(self, keys: np.ndarray) -> np.ndarray:
-        """Training counts; -1 where the token is not among the frequent."""
-        if not len(self.head):
-            return np.full(len(keys), -1, np.int64)
-        at = np.minimum(np.searchsorted(self.head, keys), len(self.head) - 1)
-        return np.where(self.head[at] == keys, self.head_counts[at], -1)
+    def outputs(self) -> int:
+        return len(self.place)
 
-    def class_of(self, keys: np.ndarray) -> np.ndarray:
-        at = np.minimum(np.searchsorted(self.class_keys, keys), len(self.class_keys) - 1)
-        own = self.class_keys[at] == keys
-        return np.where(own, at, len(self.class_keys) + (keys & np.uint64(SHAPES - 1)).astype(np.int64))
+    def known(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Outputs of tokens, and their training counts; -1 where a token is not among the frequent."""
+        at = np.minimum(np.searchsorted(self.head, keys), len(self.head) - 1)
+        own = self.head[at] == keys
+        bucket = len(self.head) + (keys & np.uint64(BUCKETS - 1)).astype(np.int64)
+        return self.place[np.where(own, at, bucket)], np.where(own, self.head_counts[at], -1)
 
 
 def vocabulary_of(counts: DataFrame) -> Vocabulary:
     head = counts.orderBy(F.col("c").desc(), "h").limit(HEAD).toArrow()
     keys, n = head.column("h").to_numpy().view(np.uint64), head.column("c").to_numpy()
-    frequent = np.union1d(keys[: CLASSES - 1], np.array([END], np.uint64))
+    if END not in keys:
+        ends = counts.where(F.col("h") == F.lit(int(END.view(np.int64)))).agg(F.sum("c")).first()[0]
+        keys, n = np.append(keys, END), np.append(n, ends or 0)
     order = np.argsort(keys)
-    by_shape = {r[0]: (r[1], r[2]) for r in counts.groupBy(F.col("h").bitwiseAND(F.lit(SHAPES - 1).cast("long"))).agg(F.sum("c"), F.count(F.lit(1))).collect()}
-    total = np.array([by_shape.get(s, (0, 0))[0] for s in range(SHAPES)], np.int64)
-    distinct = np.array([by_shape.get(s, (0, 0))[1] for s in range(SHAPES)], np.int64)
-    vocabulary = Vocabulary(int(total.sum()), int(distinct.sum()), keys[order], n[order], frequent, total.copy(), distinct.copy())
-    own = vocabulary.counts_of(frequent)
-    shape = (frequent & np.uint64(SHAPES - 1)).astype(int)
-    np.subtract.at(vocabulary.shape_total, shape, np.maximum(own, 0))
-    np.subtract.at(vocabulary.shape_distinct, shape, (own > 0).astype(np.int64))
-    return vocabulary
+    by_bucket = {r[0]: (r[1], r[2]) for r in counts.groupBy(F.col("h").bitwiseAND(F.lit(BUCKETS - 1).cast("long"))).agg(F.sum("c"), F.count(F.lit(1))).collect()}
+    total = np.array([by_bucket.get(b, (0, 0))[0] for b in range(BUCKETS)], np.int64)
+    distinct = np.array([by_bucket.get(b, (0, 0))[1] for b in range(BUCKETS)], np.int64)
+    bucket = (keys & np.uint64(BUCKETS - 1)).astype(int)
+    rest, others = total.copy(), distinct.copy()
+    np.subtract.at(rest, bucket, n)
+    np.subtract.at(others, bucket, (n > 0).astype(np.int64))
+    return Vocabulary(int(total.sum()), int(distinct.sum()), keys[order], n[order].astype(np.int64), rest, others)
 
 
 class LogBilinear:
-    """Vectors of the two words before (with a start), two matrices, and vectors and biases of the next word."""
+    """Vectors of the two words before (with a start), two matrices, and vectors and biases of the next word.
 
-    NAMES = ("before", "first", "second", "after", "bias")
+    With ``depth`` over 1 the outputs are leaves of a tree whose nodes have vectors and biases too, each level trained
+    like the leaves. Brothers stand together: node i of a level lies under node i // branch of the level above.
+    """
 
-    def __init__(self, counts: np.ndarray, seed: int = 7):
+    def __init__(self, counts: np.ndarray, seed: int = 7, depth: int = 1):
         rng = np.random.default_rng(seed)
         n = len(counts)
-        self.noise = counts / counts.sum()
+        self.branch = next(b for b in range(1, n + 1) if b**depth >= n)
         self.before = (rng.standard_normal((n + 1, DIM)) * 0.1).astype(np.float32)
-        self.after = (rng.standard_normal((n, DIM)) * 0.1).astype(np.float32)
         self.first = np.eye(DIM, dtype=np.float32) * np.float32(0.6)
         self.second = np.eye(DIM, dtype=np.float32) * np.float32(0.4)
-        self.bias = np.log(self.noise).astype(np.float32)
+        self.levels, self.noise = [], []
+        for level in range(depth):
+            mass = np.add.reduceat(counts, np.arange(0, n, self.branch**level))
+            self.noise.append(mass / mass.sum())
+            self.levels.append((f"after{level or ''}", f"bias{level or ''}"))
+            after, bias = self.levels[-1]
+            setattr(self, after, (rng.standard_normal((len(mass), DIM)) * 0.1).astype(np.float32))
+            setattr(self, bias, np.log(self.noise[-1]).astype(np.float32))
+        self.NAMES = ("before", "first", "second", *[x for pair in self.levels for x in pair])
+        self.used = {x: np.zeros(len(getattr(self, x)), np.int64) for x in ("before", *[a for a, _ in self.levels])}
+        self.seen = 0
 
-    def packed(self) -> np.ndarray:
-        return np.concatenate([getattr(self, n).ravel() for n in self.NAMES])
+    def train(self, one: np.ndarray, two: np.ndarray, word: np.ndarray, rng: np.random.Generator, squares: dict[str, np.ndarray]) -> None:
+        """One pass over (previous output, the one before it, next output), in batches with shared noise; Adagrad on what a batch meets."""
+        chances = [np.log(NOISE * x).astype(np.float32) for x in self.noise]
+        cumulative = [np.cumsum(x) for x in self.noise]
 
-    def unpack(self, flat: np.ndarray) -> None:
-        at = 0
-        for name in self.NAMES:
-            old = getattr(self, name)
-            setattr(self, name, flat[at : at + old.size].reshape(old.shape).astype(np.float32))
-            at += old.size
+        def step(name: str, rows, grad: np.ndarray, scale: np.float32) -> None:
+            grad = grad / scale
+            table, square = getattr(self, name), squares[name]
+            power = square[rows] + grad * grad
+            square[rows] = power
+            table[rows] += np.float32(RATE) * grad / (np.sqrt(power) + np.float32(1e-6))
 
-    def train(self, one: np.ndarray, two: np.ndarray, word: np.ndarray, rng: np.random.Generator, squares: dict[str, np.ndarray]) -> None:
-        """One pass over (previous class, the one before it, next class), in batches with shared noise; Adagrad."""
-        chance = np.log(NOISE * self.noise).astype(np.float32)
-        cumulative = np.cumsum(self.noise)
         for i in range(0, len(word), BATCH):
             a, b, w = one[i : i + BATCH], two[i : i + BATCH], word[i : i + BATCH]
+            scale = np.float32(len(w)) ** np.float32(0.5)
             ra, rb = self.before[a], self.before[b]
             q = ra @ self.first + rb @ self.second
-            noise = np.minimum(np.searchsorted(cumulative, rng.random(NOISE)), len(chance) - 1)
-            true = np.einsum("ij,ij->i", q, self.after[w]) + self.bias[w] - chance[w]
-            false = q @ self.after[noise].T + self.bias[noise] - chance[noise]
-            up = 1 / (1 + np.exp(np.clip(true, -30, 30)))
-            down = -1 / (1 + np.exp(np.clip(-false, -30, 30)))
-            dq = up[:, None] * self.after[w] + down @ self.after[noise]
-            grad_after = summed(w, up[:, None] * q, len(chance))
-            np.add.at(grad_after, noise, down.T @ q)
-            grad_bias = np.bincount(w, weights=up, minlength=len(chance)).astype(np.float32)
-            np.add.at(grad_bias, noise, down.sum(axis=0))
-            grad_before = summed(np.concatenate([a, b]), np.concatenate([dq @ self.first.T, dq @ self.second.T]), len(chance) + 1)
-            for name, grad in (("first", ra.T @ dq), ("second", rb.T @ dq), ("after", grad_after), ("bias", grad_bias), ("before", grad_before)):
-                grad /= np.float32(len(w)) ** 0.5
-                squares[name] += grad * grad
-                getattr(self, name).__iadd__(np.float32(RATE) * grad / (np.sqrt(squares[name]) + np.float32(1e-6)))
+            dq, steps = np.zeros_like(q), []
+            for level, (after, bias) in enumerate(self.levels):
+                vectors, offsets, chance = getattr(self, after), getattr(self, bias), chances[level]
+                node = w // self.branch**level
+                noise = np.minimum(np.searchsorted(cumulative[level], rng.random(NOISE)), len(chance) - 1)
+                own, other = vectors[node], vectors[noise]
+                true = np.einsum("ij,ij->i", q, own) + offsets[node] - chance[node]
+                false = q @ other.T + (offsets[noise] - chance[noise])
+                up = 1 / (1 + np.exp(np.clip(true, -30, 30)))
+                down = -1 / (1 + np.exp(np.clip(-false, -30, 30)))
+                dq += up[:, None] * own + down @ other
+                grad = np.empty((len(w) + NOISE, DIM + 1), np.float32)
+                np.multiply(up[:, None], q, out=grad[: len(w), :DIM])
+                grad[len(w) :, :DIM] = down.T @ q
+                grad[: len(w), DIM], grad[len(w) :, DIM] = up, down.sum(axis=0)
+                rows, grad, times = summed(np.concatenate([node, noise]), grad)
+                self.used[after][rows] += times
+                steps += [(after, rows, grad[:, :DIM]), (bias, rows, grad[:, DIM])]
+            rows, grad, times = summed(np.concatenate([a, b]), np.concatenate([dq @ self.first.T, dq @ self.second.T]))
+            self.used["before"][rows] += times
+            for x in (*steps, ("before", rows, grad), ("first", slice(None), ra.T @ dq), ("second", slice(None), rb.T @ dq)):
+                step(*x, scale)
+            self.seen += len(w)
 
     def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """What a class adds after each previous class and after each one before it, and the log normaliser of each pair."""
+        """What an output adds after each previous one and after each one before it, and the log normaliser of each pair, without a tree."""
         q1, q2 = self.before @ self.first, self.before @ self.second
         s1, s2 = q1 @ self.after.T + self.bias, q2 @ self.after.T
         norm = np.empty((len(q1), len(q1)), np.float32)
@@ -199,19 +220,60 @@ class LogBilinear:
             norm[i] = top + np.log(np.exp(both - top[:, None]).sum(axis=1))
         return s1.astype(np.float32), s2.astype(np.float32), norm
 
-
-def summed(index: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
-    """Sums of rows by index."""
-    out = np.zeros((n, values.shape[1]), np.float32)
+    def log_chances(self, one: np.ndarray, two: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """Natural logs of the probabilities of outputs after the two before: at each level, of a node among its brothers."""
+        order = np.argsort(word, kind="stable")
+        leaf = word[order]
+        q = self.before[one[order]] @ self.first + self.before[two[order]] @ self.second
+        logs = np.zeros(len(leaf))
+        for level, (after, bias) in enumerate(self.levels):
+            node = leaf // self.branch**level
+            family = node // self.branch
+            edges = np.r_[0, np.flatnonzero(np.diff(family)) + 1, len(leaf)] if len(leaf) else np.zeros(1, np.int64)
+            for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+                base = int(family[lo]) * self.branch
+                vectors, offsets = getattr(self, after)[base : base + self.branch].T, getattr(self, bias)[base : base + self.branch]
+                for i in range(lo, hi, BATCH):
+                    j = min(i + BATCH, hi)
+                    z = q[i:j] @ vectors + offsets
+                    z -= z.max(axis=1)[:, None]
+                    own = z[np.arange(j - i), node[i:j] - base]
+                    logs[i:j] += own - np.log(np.exp(z, out=z).sum(axis=1))
+        out = np.empty_like(logs)
+        out[order] = logs
+        return out
+
+    def records(self) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+        """(kind, block, rows in the block, weights, values) of what was trained; an output's bias stands behind its vector."""
+        for kind, (weights, tables) in enumerate(self.parts()):
+            rows = np.flatnonzero(weights)
+            for block in np.unique(rows // BLOCK).tolist():
+                own = rows[rows // BLOCK == block]
+                values = np.concatenate([getattr(self, t)[own].reshape(len(own), -1) for t in tables], axis=1)
+                yield kind, block, own - block * BLOCK, weights[own], values
+
+    def parts(self) -> list[tuple[np.ndarray, tuple[str, ...]]]:
+        whole = np.full(DIM, self.seen, np.int64)
+        return [(self.used["before"], ("before",)), (whole, ("first",)), (whole, ("second",)), *[(self.used[a], (a, b)) for a, b in self.levels]]
+
+    def take(self, kind: int, block: int, rows: np.ndarray, values: np.ndarray) -> None:
+        at, place = rows + block * BLOCK, 0
+        for name in self.parts()[kind][1]:
+            table = getattr(self, name)
+            width = table[0].size
+            table[at] = values[:, place : place + width].reshape((len(at), *table.shape[1:]))
+            place += width
+
+
+def summed(index: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different indices, the sums of their rows, and how many these are."""
     order = np.argsort(index, kind="stable")
     used, first = np.unique(index[order], return_index=True)
-    if len(used):
-        out[used] = np.add.reduceat(values[order], first, axis=0)
-    return out
+    return used, np.add.reduceat(values[order], first, axis=0), np.diff(np.r_[first, len(index)])
 
 
 def contexts(word: np.ndarray, edges: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
-    """The class before each token and the one before that, ``start`` outside the text. Every text has its end."""
+    """The output before each token and the one before that, ``start`` outside the text. Every text has its end."""
     one, two = np.empty_like(word), np.empty_like(word)
     one[1:], two[2:] = word[:-1], word[:-2]
     first = edges[:-1]
@@ -223,40 +285,49 @@ def contexts(word: np.ndarray, edges: np.ndarray, start: int) -> tuple[np.ndarra
 
 
 def trained(docs: DataFrame, vocabulary: Vocabulary) -> LogBilinear:
-    """The model after a pass over all training texts: each partition trains from the same start on its own texts, and the
-    results are averaged by tokens. What comes to the driver does not grow with the number of partitions.
+    """The model after a pass over all training texts: each partition trains from the same start on its own texts, and each
+    row is averaged by how often partitions trained it. What comes to the driver does not grow with the number of partitions.
     """
-    model = LogBilinear(vocabulary.class_counts)
+    model = LogBilinear(vocabulary.output_counts, depth=DEPTH)
+    schema = "part int, kind int, block int, pid int, at binary, weights binary, vals binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = LogBilinear(vocabulary.class_counts)
+        own = LogBilinear(vocabulary.output_counts, depth=DEPTH)
         pid = TaskContext.get().partitionId()
         rng = np.random.default_rng(pid)
         squares = {n: np.full(getattr(own, n).shape, 0.1, np.float32) for n in own.NAMES}
-        seen = 0
         for batch in batches:
             learn = is_training(batch.column(0))
             for part in slices(batch.column(1), SLICE):
                 stream, edges, rows = token_stream(part)
-                word = vocabulary.class_of(stream)
-                one, two = contexts(word, edges, vocabulary.classes)
+                word, _ = vocabulary.known(stream)
+                one, two = contexts(word, edges, vocabulary.outputs)
                 pick = np.flatnonzero(learn[part.first + rows])
                 pick = pick[rng.permutation(len(pick))]
                 own.train(one[pick], two[pick], word[pick], rng, squares)
-                seen += len(pick)
-        if seen:
-            yield pa.RecordBatch.from_arrays([pa.array([pid % PARTS], pa.int32()), pa.array([pid], pa.int32()), pa.array([seen], pa.int64()), pa.array([own.packed().tobytes()], pa.binary())], ["part", "pid", "seen", "model"])
+        for kind, block, at, weights, values in own.records():
+            row = [pid % PARTS, kind, block, pid, at.astype(np.int32).tobytes(), weights.astype(np.float64).tobytes(), values.astype(np.float32).tobytes()]
+            kinds = [pa.int32()] * 4 + [pa.binary()] * 3
+            yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, kinds, strict=True)], ["part", "kind", "block", "pid", "at", "weights", "vals"])
 
     def average(pdf):
-        pdf = pdf.sort_values("pid")
-        flat = sum(np.frombuffer(m, np.float32).astype(np.float64) * s for m, s in zip(pdf["model"], pdf["seen"], strict=True)) / pdf["seen"].sum()
-        return type(pdf)({"part": pdf["part"].iloc[:1], "seen": [pdf["seen"].sum()], "model": [flat.astype(np.float32).tobytes()]})
-
-    parts = docs.mapInArrow(tidy(run), "part int, pid int, seen long, model binary").groupBy("part").applyInPandas(average, "part int, seen long, model binary")
-    rows = sorted(parts.collect(), key=lambda r: r["part"])  # at most PARTS
-    if rows:
-        total = sum(r["seen"] for r in rows)
-        model.unpack(sum(np.frombuffer(r["model"], np.float32).astype(np.float64) * (r["seen"] / total) for r in rows))
+        pdf = pdf.sort_values(["part", "pid"])
+        weight, total = np.zeros(BLOCK), None
+        for at, w, v in zip(pdf["at"], pdf["weights"], pdf["vals"], strict=True):
+            at, w = np.frombuffer(at, np.int32), np.frombuffer(w, np.float64)
+            v = np.frombuffer(v, np.float32).reshape(len(at), -1)
+            total = np.zeros((BLOCK, v.shape[1])) if total is None else total
+            total[at] += v * w[:, None]
+            weight[at] += w
+        at = np.flatnonzero(weight)
+        values = (total[at] / weight[at][:, None]).astype(np.float32)
+        first = pdf.iloc[:1]
+        return type(pdf)({"part": first["part"], "kind": first["kind"], "block": first["block"], "pid": first["pid"], "at": [at.astype(np.int32).tobytes()], "weights": [weight[at].tobytes()], "vals": [values.tobytes()]})
+
+    parts = docs.mapInArrow(tidy(run), schema).groupBy("part", "kind", "block").applyInPandas(average, schema)
+    for r in parts.groupBy("kind", "block").applyInPandas(average, schema).collect():  # one model
+        at = np.frombuffer(r["at"], np.int32)
+        model.take(r["kind"], r["block"], at, np.frombuffer(r["vals"], np.float32).reshape(len(at), -1))
     return model
 
 
@@ -264,33 +335,29 @@ def score_documents(docs: DataFrame) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for each row of ``docs`` (doc_id, text).
 
     Tokens are words `[^\\x20\\x09-\\x0D]+`, A-Z as a-z, and an end; null texts are the end alone; a null doc_id hashes as an
-    empty one and so learns. ``score``: log10 probability under the model, a normalised distribution over classes after the
-    two tokens before, and within a class of several words add-one over its training words. Repeated rows count and
-    score as rows; an empty table gives no rows; without training texts classes are as likely as each other.
-    Words are known by 62-bit hashes and their shape. The frequent words' counts go to every worker; the rest are joined.
+    empty one and so learns. ``score``: log10 probability under the model, a normalised distribution after the two tokens
+    before over the frequent words, each with vectors of its own, and the buckets of the others, and within a bucket
+    add-one over its training words. Repeated rows count and score as rows; an empty table gives no rows; without
+    training texts outputs are as likely as each other. Words are known by 62-bit hashes and their shape. The frequent
+    words' counts and vectors go to every worker; the counts of the rest are joined.
     """
     docs = docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     counts = written(counted(docs.select("doc_id", "text")), "lm-counts")
     vocabulary = vocabulary_of(counts)
     model = trained(docs.select("doc_id", "text"), vocabulary)
-    s1, s2, norm = model.tables()
-    held = docs.sparkSession.sparkContext.broadcast((vocabulary, s1, s2, norm))  # bounded by HEAD and the classes
+    held = docs.sparkSession.sparkContext.broadcast((vocabulary, model))  # bounded by HEAD and the buckets
     total, distinct = vocabulary.total, vocabulary.distinct
-    within = np.log10(np.maximum(vocabulary.shape_total + vocabulary.shape_distinct + 1.0, 1.0))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, s1, s2, norm = held.value
-        singles = len(known.class_keys)
+        known, model = held.value
+        within = np.where(known.bucket_at >= 0, np.log10(known.bucket_total + known.bucket_distinct + 1.0)[known.bucket_at], 0.0)
         for batch in batches:
             for part in slices(batch.column(2), 2 * SLICE):
                 stream, edges, rows = token_stream(part)
-                word = known.class_of(stream)
-                one, two = contexts(word, edges, known.classes)
-                c = known.counts_of(stream)
+                word, c = known.known(stream)
+                one, two = contexts(word, edges, known.outputs)
                 logs = np.log10(np.maximum(c, 0) + 1.0)
-                shared = word >= singles
-                model_part = (s1[one, word] + s2[two, word] - norm[one, two]) / LN10
-                model_part = model_part + np.where(shared, logs - within[np.maximum(word - singles, 0)], 0.0)
+                model_part = model.log_chances(one, two, word) / LN10 - within[word]
                 far = np.flatnonzero(c < 0)
                 pairs = np.lexsort((stream[far], rows[far]))
                 far = far[pairs]

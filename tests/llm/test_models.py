@@ -132,3 +132,29 @@ def test_empty_tables_and_no_training_texts(spark):
     rows = lm_score.score_documents(spark.createDataFrame([(i, "a b") for i in held], "doc_id long, text string")).collect()
     assert {(r.n_tokens, r.n_known, r.train_tokens, r.base_score) for r in rows} == {(3, 0, 0, 0.0)}
     assert all(math.isfinite(r.score) and r.score < 0 for r in rows)
+
+
+def test_tree_is_normalised_and_learns():
+    rng = np.random.default_rng(0)
+    counts = np.arange(30.0, 0, -1)
+    model = lm_score.LogBilinear(counts, depth=3)
+    word = np.tile(np.arange(30), 2000)
+    one, two = lm_score.contexts(word, np.array([0, len(word)]), 30)
+    squares = {n: np.full(getattr(model, n).shape, 0.1, np.float32) for n in model.NAMES}
+    for _ in range(30):
+        model.train(one, two, word, rng, squares)
+    p = np.exp([[model.log_chances(np.array([a]), np.array([b]), np.array([w]))[0] for w in range(30)] for a, b in ((3, 2), (29, 28), (30, 30))])
+    assert p.sum(axis=1) == pytest.approx(np.ones(3), abs=1e-4)
+    assert p[0, 4] > 0.8 and p[1, 0] > 0.8
+
+
+def test_words_beyond_the_most_frequent_are_learnt(spark):
+    """600 words a and b occur alike often, in pairs: only vectors of their own tell which follows which."""
+    pairs = [(f"left{i}x", f"right{i * 7 % 600}y") for i in range(600)]
+    rng = np.random.default_rng(3)
+    train = [i for i in range(3000) if zlib.crc32(str(i).encode()) % 7 != 2]
+    held = [i for i in range(5000, 5500) if zlib.crc32(str(i).encode()) % 7 == 2][:60]
+    text = lambda order: " ".join(f"{pairs[k][0]} {pairs[k][1]}" for k in order)
+    rows = [(i, text(rng.integers(0, 600, 60))) for i in train] + [(i, text(rng.integers(0, 600, 60))) for i in held]
+    got = lm_score.score_documents(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).where("held_out").collect()
+    assert len(got) >= len(held) and sum(r.score for r in got) > 0.8 * sum(r.base_score for r in got)
