@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: A sentence ends at a line's end, or at . ! ? ; or : before white space or the text's end.
+#: A known sentence's pieces end at a line's end, or at . ! ? ; or : before white space or the text's end.
 SENTENCE_END = "\\n|[.!?;:]+(?=\\s|$)"
 
 #: Known licence sentences by identifier, as the licences have them.
@@ -77,8 +77,23 @@ def normal(sentence: str) -> str:
     return " ".join(kept.split())
 
 
-def normal_column(sentence: Column) -> Column:
-    return F.trim(F.regexp_replace(F.translate(sentence, UPPER, LOWER), "[^a-z0-9]+", " "))
+#: In order: what starts a line but is no word of it goes, sentence ends and empty lines become S, other separators one space
+#: or one line's end. Texts have no capitals of ASCII then, so S is a mark of ours.
+MARKS = (("\n(?:[^a-z0-9\n]+|(?:dnl|rem)(?=\\s))+", "\n"), ("[.!?;:]+(?=\\s|$)", "S"), ("[^a-z0-9S\n]+", " "), (" ?\n[ \n]+", "S"), ("[ \n]*S[ \nS]*", "S"), (" \n", "\n"))
+
+
+def marked(text: Column) -> Column:
+    """Words between spaces, lines' ends and S, with a mark before the first word and one after the last."""
+    out = F.concat(F.lit("\n"), F.translate(text, UPPER, LOWER), F.lit("\n"))
+    for pattern, to in MARKS:
+        out = F.regexp_replace(out, pattern, to)
+    return out
+
+
+def sentence_pattern(codes: dict[str, str]) -> str:
+    """Known pieces, the longest first, from a line's or a sentence's start to an end of either, over any lines between."""
+    longest = sorted(codes, key=lambda c: (-len(c), c))
+    return "(?<=[S\n])(?:" + "|".join(c.replace(" ", "[ \n]") for c in longest) + ")(?=[S\n])"
 
 
 def known_sentences(sentences: dict[str, str]) -> dict[str, str]:
@@ -123,6 +138,8 @@ def anchors(codes: dict[str, str]) -> str:
 def scan_licenses(docs: DataFrame, sentences: dict[str, str] | None = None, rules=RULES) -> DataFrame:
     """(doc_id, n_matched, sentence_ids, licenses, license) for each row of ``docs`` (doc_id, text).
 
+    A known sentence stands on whole lines or between sentence ends, wrapped over any lines of a paragraph, each of which
+    may start with the marks of a comment; of sentences that start at one place the longest counts.
     sentence_ids: identifiers of the known sentences in the text's order, joined by commas. licenses: the licences of
     all rules that fit, each once, in rule order. license: that of the first, null without any. Null and empty
     texts match nothing; repeated rows are scanned alike; an empty table gives no rows; other columns are not read.
@@ -130,10 +147,8 @@ def scan_licenses(docs: DataFrame, sentences: dict[str, str] | None = None, rule
     """
     codes, ordered = tables(sentences or SENTENCES, rules)
     table = F.create_map(*[F.lit(x) for pair in codes.items() for x in pair])
-    found = F.filter(
-        F.transform(F.split(F.col("text"), SENTENCE_END), lambda s: F.try_element_at(table, normal_column(s))),
-        lambda x: x.isNotNull(),
-    )
+    pieces = F.regexp_extract_all(marked(F.col("text")), F.lit(sentence_pattern(codes)), F.lit(0))
+    found = F.transform(pieces, lambda s: F.try_element_at(table, F.translate(s, "\n", " ")))
     ids = F.when(F.col("text").rlike(anchors(codes)), found).otherwise(F.array().cast("array<string>"))
     scanned = docs.select("doc_id", F.coalesce(ids, F.array().cast("array<string>")).alias("ids"))
     scanned = scanned.select("doc_id", F.size("ids").cast("long").alias("n_matched"), F.array_join("ids", ",").alias("sentence_ids"))

@@ -1,5 +1,6 @@
 import hashlib
 import re
+import textwrap
 from collections import defaultdict
 
 import pytest
@@ -104,6 +105,31 @@ def test_license_rules_read_sequences(spark):
     assert license_scan.scan_licenses(cases.documents(spark)).where("n_matched > 0").count() == 0
 
 
+def test_wrapped_licenses_are_found(spark):
+    s = license_scan.SENTENCES
+    mit = f"{s['mit-grant']}:\n\n{s['mit-notice']}.\n\n{s['mit-as-is']}. {s['mit-liability']}."
+    bsd = f"Copyright (c) 2020, A. Body. All rights reserved.\n\n{s['bsd-grant']}:\n\n1. {s['bsd-source']}.\n\n2. {s['bsd-binary']}.\n\n3. {s['bsd-endorse']}."
+    gpl = f"{s['gpl-free']}: {s['gpl3-terms']}.\n\n{s['gpl-hope']}"
+    apache = f"{s['apache-header']}; {s['apache-comply']}. {s['apache-copy']}\n\n  http://www.apache.org/licenses/LICENSE-2.0\n\n{s['apache-basis']}."
+
+    def wrapped(text, leader, width, end="\n"):
+        lines = [x for part in text.split("\n\n") for x in [*textwrap.wrap(part, width), ""]]
+        return end.join(leader + x for x in lines)
+
+    want = [(mit, 4, "MIT"), (bsd, 5, "BSD-3-Clause"), (gpl, 3, "GPL-3.0-or-later"), (apache, 4, "Apache-2.0"), (s["isc-grant"], 1, "ISC"), (s["mpl2"] + ".", 2, "MPL-2.0")]
+    rows, told = [], {}
+    for text, n, name in want:
+        for leader in ("", " * ", "// ", "# ", ";; ", "dnl ", "REM "):
+            for width, end in ((72, "\n"), (80, "\r\n"), (30, "\n")):
+                told[len(rows)] = (n, name)
+                rows.append((len(rows), "The " + name + " notice" + end + wrapped(text, leader, width, end)))
+    for text in ("Permission is hereby\n\ngranted, free of charge", s["isc-grant"].replace(" ", "\n\n"), s["mit-released"] + "\nof old", "x " + s["isc-grant"].replace("software", "hardware")):
+        told[len(rows)] = (1, "MIT") if text.startswith("Released") else (0, None)
+        rows.append((len(rows), text))
+    got = {r.doc_id: (r.n_matched, r.license) for r in license_scan.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == told
+
+
 def brute_targets(sizes, weights=(5, 2, 1), most=3):
     names = sorted(sizes, key=lambda s: (s is None, s or ""))
     w = {s: weights[i % 3] for i, s in enumerate(names)}
