@@ -234,6 +234,11 @@ def own_topics(spark, folder):
     return rows.select("document", "topic_id", "topic_index", F.array_join(keys, " ").alias("name"), F.lit("").alias("summary"), keys.alias("keywords"))
 
 
+def whole_topics(spark, folder):
+    """Up to eight topics for every document, with names, summaries and eight keywords."""
+    return topics.fallback_topics(chunks_of(spark, folder))
+
+
 @query(_SCORED + " SELECT document, chunk_index, topic_id, raw, score FROM final")
 def lexical_score(spark, folder):
     return retrieval.lexical_scores(chunks_of(spark, folder), own_topics(spark, folder)).select("document", "chunk_index", "topic_id", "raw", "score")
@@ -252,7 +257,7 @@ def budget_context(spark, folder):
 
 @query()
 def literal_context(spark, folder):
-    rows = own_topics(spark, folder).withColumn("name", F.col("keywords")[0])
+    rows = whole_topics(spark, folder)
     return retrieval.topic_contexts(retrieval.lexical_scores(retrieval.usable_chunks(chunks_of(spark, folder)), rows)).select("document", "topic_id", "rank", "chunk_id")
 
 
@@ -274,7 +279,7 @@ def cosine_to_topic(spark, folder):
 @query()
 def hybrid_score(spark, folder):
     vectors = table(spark, folder, "embeddings").join(centres_of(spark, folder), "label").select(F.col("vec_id").cast("string").alias("document"), F.col("embedding").alias("chunk_vector"), F.col("centre").alias("topic_vector"))
-    scored = retrieval.lexical_scores(chunks_of(spark, folder), own_topics(spark, folder)).join(vectors, "document")
+    scored = retrieval.lexical_scores(chunks_of(spark, folder), whole_topics(spark, folder)).join(vectors, "document")
     return retrieval.semantic_scores(scored, hybrid=True).select("document", "topic_id", "chunk_index", F.round("score", 6).alias("score"))
 
 
@@ -285,7 +290,7 @@ def sentences(spark, folder):
 
 @query()
 def evidence(spark, folder):
-    return pipeline.evidence(chunks_of(spark, folder), own_topics(spark, folder)).select("document", "topic_id", "evidence_id", "evidence_rank", "score")
+    return pipeline.evidence(chunks_of(spark, folder), whole_topics(spark, folder)).select("document", "topic_id", "evidence_id", "evidence_rank", "score")
 
 
 @query("SELECT d.doc_id, b.item_id FROM documents d JOIN benchmark b ON contains(lower(" + o.collapse_space("d.text") + "), lower(" + o.collapse_space("b.text") + ")) WHERE length(b.text) >= 20")
