@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
@@ -278,8 +278,13 @@ def cosine_to_topic(spark, folder):
 
 @query()
 def hybrid_score(spark, folder):
-    vectors = table(spark, folder, "embeddings").join(centres_of(spark, folder), "label").select(F.col("vec_id").cast("string").alias("document"), F.col("embedding").alias("chunk_vector"), F.col("centre").alias("topic_vector"))
-    scored = retrieval.lexical_scores(chunks_of(spark, folder), whole_topics(spark, folder)).join(vectors, "document")
+    """Lexical scores where a document has no vector; a topic's vector is the centroid of the label of its place."""
+    vectors = table(spark, folder, "embeddings").select(F.col("vec_id").cast("string").alias("document"), F.col("embedding").alias("chunk_vector"))
+    place = F.row_number().over(Window.orderBy("label")) - 1  # a few labels
+    centres = centres_of(spark, folder).select(place.alias("topic_index"), F.col("centre").alias("of_place"))
+    scored = retrieval.lexical_scores(chunks_of(spark, folder), whole_topics(spark, folder))
+    scored = scored.join(vectors, "document", "left").join(F.broadcast(centres), "topic_index", "left")
+    scored = scored.withColumn("topic_vector", F.when(F.col("chunk_vector").isNotNull(), F.col("of_place")))
     return retrieval.semantic_scores(scored, hybrid=True).select("document", "topic_id", "chunk_index", F.round("score", 6).alias("score"))
 
 

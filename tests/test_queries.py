@@ -24,3 +24,20 @@ def test_queries_take_all_eight_topics(spark, folder, name):
     assert sorted(r.topic_id for r in got) == [f"topic-{i:02d}" for i in range(8)]
     summaries = queries.whole_topics(spark, folder).select("summary", "keywords").collect()
     assert all(r.summary for r in summaries) and max(len(r.keywords) for r in summaries) > 4
+
+
+def test_hybrid_scores_need_no_vector_and_tell_topics_apart(spark, folder):
+    got = queries.QUERIES["q_hybrid_score"](spark, folder).collect()
+    scores = {(r.document, r.topic_id, r.chunk_index): r.score for r in got}
+    lexical = queries.retrieval.lexical_scores(queries.chunks_of(spark, folder), queries.whole_topics(spark, folder)).collect()
+    assert len(got) == len(scores) == len(lexical)
+    top = {}
+    for r in lexical:
+        top[r.document, r.topic_id] = max(top.get((r.document, r.topic_id), 0.0), r.score)
+    centres = ([1.0, 0.2, 0.0], [0.0, 1.0, 0.0], [0.0, 0.0, 1.0], [1.0, 1.0, 1.0])
+    cosine = lambda a, b: sum(x * y for x, y in zip(a, b, strict=True)) / (sum(x * x for x in a) * sum(y * y for y in b)) ** 0.5
+    for r in lexical:
+        want, best = r.score, top[r.document, r.topic_id]
+        if r.document == "1" and r.topic_index < len(centres):
+            want = 0.4 * (r.score / best if best > 0 else 0.0) + 0.6 * max(0.0, cosine(centres[0], centres[r.topic_index]))
+        assert scores[r.document, r.topic_id, r.chunk_index] == pytest.approx(want, abs=1e-5)
