@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from .blocks import paired_blocks
 from .components import connected_components, spanning_labels
@@ -224,6 +225,11 @@ def ngram_join(docs: DataFrame, threshold: float = 0.8, n: int = 5, recall: floa
     bucket are compared by signature in blocks, which leaves spanning links of likely pairs; the members of a component of
     those are then all compared by their whole sets, in blocks. No pair is a row: a task gives a row per member.
     """
+    return judged_rows(docs, threshold, n, recall).drop("digest")
+
+
+def judged_rows(docs: DataFrame, threshold: float, n: int, recall: float) -> DataFrame:
+    """The rows of ``ngram_join`` with the digest of their words."""
     bands = Bands(threshold, recall)
     signed = written(sign_documents(docs, n, bands), "ngram-signatures")
     some = signed.where("digest IS NOT NULL")
@@ -282,15 +288,29 @@ def ngram_join(docs: DataFrame, threshold: float = 0.8, n: int = 5, recall: floa
         F.coalesce(F.col("linked") + F.col("copies") - 1, F.lit(0)).cast("long").alias("n_links"),
         component_id.alias("component_id"),
         F.coalesce(F.col("doc_id") == component_id, F.lit(True)).alias("kept"),
+        "digest",
     )
 
 
+def with_digests(docs: DataFrame) -> DataFrame:
+    """``docs`` with the digest of each text's words, null without any."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [(t or "").encode() for t in batch.column(batch.schema.get_field_index("text")).to_pylist()]
+            digests = [content_digest(t) if t.split() else None for t in texts]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(digests, pa.binary())], [*batch.schema.names, "digest"])
+
+    return docs.mapInArrow(tidy(run), StructType([*docs.schema.fields, StructField("digest", BinaryType())]))
+
+
 def one_of_each(docs: DataFrame, threshold: float = 0.8, n: int = 5, recall: float = 0.99999) -> DataFrame:
     """The rows of ``docs`` that ``ngram_join`` keeps, with all their columns; of rows that repeat an id and text, one."""
-    judged = written(ngram_join(docs, threshold, n, recall), "ngram-judged")
-    out = docs
+    judged = written(judged_rows(docs, threshold, n, recall), "ngram-judged")
+    gone = judged.where(~F.col("kept")).select(F.col("doc_id").alias("gone"), F.col("digest").alias("words")).distinct()
     if judged.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").limit(1).count():
         out = docs.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id", "text"]).unionByName(docs.where(F.col("doc_id").isNull()))
-    gone = judged.where(~F.col("kept")).select("doc_id").distinct().withColumnRenamed("doc_id", "gone")
-    gone = small(gone, "ngram-gone")
-    return out.join(gone, out["doc_id"] == gone["gone"], "left_anti")
+        out = with_digests(out)
+        return out.join(gone, (out["doc_id"] == gone["gone"]) & (out["digest"] == gone["words"]), "left_anti").drop("digest")
+    gone = small(gone.select("gone"), "ngram-gone")
+    return docs.join(gone, docs["doc_id"] == gone["gone"], "left_anti")

@@ -150,6 +150,14 @@ def test_texts_under_one_id_are_each_judged(spark):
     assert ngram_join.one_of_each(docs).count() == 2
 
 
+def test_only_the_copy_goes_under_a_repeated_id(spark):
+    own, other = cases.prose(21, 100), cases.prose(22, 90)
+    docs = spark.createDataFrame([(1, own, "a"), (5, own, "b"), (5, other, "c"), (5, "", "d"), (None, own, "e")], "doc_id long, text string, source string")
+    out = ngram_join.one_of_each(docs)
+    assert out.schema.simpleString() == docs.schema.simpleString()
+    assert sorted(r.source for r in out.collect()) == ["a", "c", "d", "e"]
+
+
 def test_bands_reach_the_target_recall():
     for threshold in (0.5, 0.8, 0.95):
         bands = ngram_join.Bands(threshold, 0.9999)
