@@ -302,7 +302,7 @@ def evidence(spark, folder):
 def verified_source(spark, folder):
     """Passages meet texts on their rarest kind of key, a run of words, and only then as a whole."""
     text = F.lower(tx.collapse_space(F.col("text")))
-    passages = table(spark, folder, "benchmark").where(F.length("text") >= 20).select("item_id", text.alias("passage"))
+    passages = table(spark, folder, "benchmark").select("item_id", text.alias("passage")).where("passage <> ''")
     docs = docs_of(spark, folder).select("doc_id", text.alias("body"))
     runs = F.filter(F.split(F.col("passage"), "[^\\p{L}\\p{N}]+"), lambda w: w != "")
     inner = F.slice(runs, F.lit(2), F.lit(4))

@@ -41,3 +41,10 @@ def test_hybrid_scores_need_no_vector_and_tell_topics_apart(spark, folder):
         if r.document == "1" and r.topic_index < len(centres):
             want = 0.4 * (r.score / best if best > 0 else 0.0) + 0.6 * max(0.0, cosine(centres[0], centres[r.topic_index]))
         assert scores[r.document, r.topic_id, r.chunk_index] == pytest.approx(want, abs=1e-5)
+
+
+def test_short_passages_are_verified(spark, tmp_path):
+    spark.createDataFrame([(1, "The Kernel  runs tasks in turn."), (2, "Nothing here.")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, "kernel runs"), (2, " "), (3, None), (4, "the kernel runs tasks in turn.")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = queries.QUERIES["q_verified_source"](spark, str(tmp_path)).collect()
+    assert sorted((r.doc_id, r.item_id) for r in got) == [(1, 1), (1, 4)]
