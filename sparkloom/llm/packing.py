@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -22,12 +24,25 @@ BATCH = 2_000
 #: What is cut from a word's end before its stem is looked up. Without quotes, which begin contractions, and without
 #: the signs that end special tokens.
 CLOSING = b".,;:!?*#$%&|"
+#: Whole texts that another tokenizer encodes at once.
+WHOLE = 64
+#: Words of ASCII and the letters of Latin-1 in UTF-8.
+LATIN = re.compile(rb"(?:[\x00-\x7f]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])*").fullmatch
+#: The steps of a tokenizer file whose ids are those of the words one after the other.
+NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+PRE_TOKENIZER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
 #: Ranks within a length are counted in so many parts, so that a common length is not one task.
 RANK_PARTS = 256
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # executors share a machine
 _known: dict[bytes, bytes] = {}
-_encoder: dict[str, object] = {}
+_encoder: dict[str, tuple] = {}
 OWNER = "packing"
 
 
@@ -40,53 +55,69 @@ KEPT[OWNER] = forget
 
 
 def encoder(path: str):
+    """The tokenizer of a file, and whether its ids can be found word by word."""
     if path not in _encoder:
         from tokenizers import Tokenizer
 
         forget()
-        _encoder[path] = Tokenizer.from_file(path)
+        model = Tokenizer.from_file(path)
+        model.no_truncation()
+        model.no_padding()
+        _encoder[path] = model, by_words(path)
     return _encoder[path]
 
 
-def stem_of(word: bytes) -> bytes:
-    """The word in lower case as far as ASCII goes, without a run of CLOSING after a letter or digit.
+def by_words(path: str) -> bool:
+    """Whether a tokenizer file reads the words between white space one by one, in lower case.
 
-    This tokenizer gives such a run a pre-token of its own, and reads letters in lower case. Words that may hold special
-    tokens stay as they are.
+    That holds for BPE within the pre-tokens of NORMALIZER and PRE_TOKENIZER, which drop white space and never span it, and
+    for special tokens that are found as they stand and hold ``<|`` and no white space. Others encode whole texts.
     """
-    if b"<|" in word:
-        return word
+    with open(path, encoding="utf-8") as f:
+        steps = json.load(f)
+    plain = all("<|" in t["content"] and not t["content"].split()[1:] and not any(t[k] for k in ("normalized", "single_word", "lstrip", "rstrip")) for t in steps["added_tokens"])
+    return plain and steps["model"]["type"] == "BPE" and not steps["model"]["dropout"] and steps["normalizer"] == NORMALIZER and steps["pre_tokenizer"] == PRE_TOKENIZER
+
+
+def parts_of(word: bytes) -> tuple[bytes, bytes]:
+    """The word in lower case as far as ASCII goes, and what is cut from its end: a run of CLOSING after a letter or digit.
+
+    The tokenizer gives such a run a pre-token of its own. Only words of ASCII and Latin-1 letters are changed: no letter of
+    theirs composes with another, and each has one letter as its lower case. All others, and those that may hold special
+    tokens, stay as they are.
+    """
+    if b"<|" in word or not (word.isascii() or LATIN(word)):
+        return word, b""
     word = word.lower()
     stem = word.rstrip(CLOSING)
-    if len(stem) < len(word) and stem and (chr(stem[-1]) if stem[-1] < 128 else stem.decode()[-1]).isalnum():
-        return stem
-    return word
+    if stem and len(stem) < len(word) and (stem[-1] > 127 or stem[-1:].isalnum()):
+        return stem, word[len(stem) :]
+    return word, b""
 
 
 def encode(texts: list[bytes], path: str) -> list[bytes]:
     """Token ids of each text as little-endian unsigned 32-bit integers.
 
-    This tokenizer reads letters in lower case, its pre-tokens never hold white space and its merges stay within them, so
-    the ids of a text are those of its words one after the other; a word's stem is encoded once and remembered.
+    Where the tokenizer works within words (see ``by_words``) the ids of a text are those of its words one after the other.
+    White space neither composes with what follows it nor lets marks change places across it, so a word's ids do not
+    depend on its neighbours; a word's parts are encoded once and remembered.
     """
-    model = encoder(path)
+    model, within = encoder(path)
+    if not within:
+        return [np.array(found.ids, "<u4").tobytes() for at in range(0, len(texts), WHOLE) for found in model.encode_batch_fast([t.decode() for t in texts[at : at + WHOLE]], add_special_tokens=False)]
     split = [t.split() for t in texts]
     if len(_known) > REMEMBERED:
         _known.clear()
     words = list(set().union(*split).difference(_known))
-    stems = [stem_of(w) for w in words]
-    tails = [w.lower()[len(stem) :] if len(w) > len(stem) else b"" for w, stem in zip(words, stems, strict=True)]
-    new = list(set(stems).union(tails).difference(_known))
+    parts = list(map(parts_of, words))
+    new = list({x for pair in parts for x in pair}.difference(_known))
     for at in range(0, len(new), BATCH):
         some = new[at : at + BATCH]
-        for stem, found in zip(some, model.encode_batch_fast([w.decode() for w in some], add_special_tokens=False), strict=True):
+        for part, found in zip(some, model.encode_batch_fast([w.decode() for w in some], add_special_tokens=False), strict=True):
             ids = found.ids
-            _known[stem] = struct.pack(f"<{len(ids)}I", *ids)
-    for word, stem, tail in zip(words, stems, tails, strict=True):
-        if tail:
-            _known[word] = _known[stem] + _known[tail]
-        elif word not in _known:
-            _known[word] = _known[stem]
+            _known[part] = struct.pack(f"<{len(ids)}I", *ids)
+    for word, (stem, tail) in zip(words, parts, strict=True):
+        _known[word] = _known[stem] + _known[tail] if tail else _known[stem]
     return [b"".join(map(_known.__getitem__, words)) for words in split]
 
 

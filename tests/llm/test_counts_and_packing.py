@@ -1,3 +1,4 @@
+import random
 import zlib
 from collections import defaultdict
 
@@ -117,6 +118,39 @@ def test_words_encode_as_whole_texts_do():
         assert np.frombuffer(ids, "<u4").tolist() == model.encode(text, add_special_tokens=False).ids
 
 
+def test_ids_of_random_strings_equal_the_library():
+    """100,000 strings of letters that compose, change their length in lower case or close words, contractions and special tokens."""
+    from tokenizers import Tokenizer
+
+    path = packing.default_tokenizer()
+    model = Tokenizer.from_file(path)
+    rng = random.Random(4)
+    marks = "\u0301\u0308\u030a\u030c\u0323\u0327\u0331\u0345"
+    odd = "\u0130\u0131\u212a\u212b\u017f\u1e9e\u0149\ufb01\u00df\u00d7\u00f7\u03a3\u03c2\u0390\u1f80\u00b4\u00b5\u200d\u2028\u00a0\u3000\u1100\u1161\u11a8\uac00\u0958\U0001f600\x1c\x85"
+    pieces = [*"TJHYWaeioustdmlv019", *"ÀÉÎõüÿßØñçÅ", *marks, *odd, *".,;:!?*#$%&|'-/<>", "'s", "'LL", "'Re", "<|", "|>", "<|endoftext|>", "<|startoftext|>", *" \t\n\r\x0b\x0c   "]
+    texts = ["".join(rng.choices(pieces, k=rng.randint(1, 12))) for _ in range(100_000)]
+    for at in range(0, len(texts), 5000):
+        some = texts[at : at + 5000]
+        want = [e.ids for e in model.encode_batch(some, add_special_tokens=False)]
+        got = [np.frombuffer(x, "<u4").tolist() for x in packing.encode([t.encode() for t in some], path)]
+        assert [t for t, a, b in zip(some, got, want, strict=True) if a != b] == []
+
+
+def test_other_tokenizers_encode_whole_texts(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    assert packing.by_words(packing.default_tokenizer()) and not packing.by_words(path)
+    model = Tokenizer.from_file(path)
+    texts = ["It's  A test.\n\nOf T\u0308 <|endoftext|> x", "", "a" * 5000]
+    for text, ids in zip(texts, packing.encode([t.encode() for t in texts], path), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == model.encode(text, add_special_tokens=False).ids
+    rows = packing.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), tokenizer=path).collect()
+    assert {r.doc_id: r.doc_tokens for r in rows} == {i: len(model.encode(t, add_special_tokens=False).ids) + 1 for i, t in enumerate(texts)}
+    packing.forget()
+
+
 def test_other_operators_drop_what_packing_remembers():
     path = packing.default_tokenizer()
 
