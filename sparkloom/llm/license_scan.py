@@ -79,7 +79,8 @@ def normal(sentence: str) -> str:
 
 #: In order: what starts a line but is no word of it goes, sentence ends and empty lines become S, other separators one space
 #: or one line's end. Texts have no capitals of ASCII then, so S is a mark of ours.
-MARKS = (("\n(?:[^a-z0-9\n]+|(?:dnl|rem)(?=\\s))+", "\n"), ("[.!?;:]+(?=\\s|$)", "S"), ("[^a-z0-9S\n]+", " "), (" ?\n[ \n]+", "S"), ("[ \n]*S[ \nS]*", "S"), (" \n", "\n"))
+#: Groups repeat possessively: others are matched by recursion, which long texts would drive too deep.
+MARKS = (("\n(?:[^a-z0-9\n]++|(?:dnl|rem)(?=\\s))++", "\n"), ("[.!?;:]+(?=\\s|$)", "S"), ("[^a-z0-9S\n]+", " "), (" ?\n[ \n]+", "S"), ("[ \n]*S[ \nS]*", "S"), (" \n", "\n"))
 
 
 def marked(text: Column) -> Column:
@@ -96,11 +97,6 @@ def sentence_pattern(codes: dict[str, str]) -> str:
     return "(?<=[S\n])(?:" + "|".join(c.replace(" ", "[ \n]") for c in longest) + ")(?=[S\n])"
 
 
-def known_sentences(sentences: dict[str, str]) -> dict[str, str]:
-    """Normalised sentence to identifier. A known text that holds sentence ends is known by each of its sentences' whole run."""
-    return {normal(text): name for name, text in sentences.items()}
-
-
 def pieces_of(text: str) -> list[str]:
     import re
 
@@ -117,8 +113,17 @@ def tables(sentences: dict[str, str], rules) -> tuple[dict[str, str], list[tuple
     return codes, [(licence, tuple(c for name in names for c in runs[name])) for licence, names in rules]
 
 
+def rule_fits(ids: Column, codes: tuple[str, ...]) -> Column:
+    """Whether ``ids`` hold these codes in this order, others allowed between: one walk along them."""
+    if len(codes) == 1:
+        return F.array_contains(ids, codes[0])
+    wanted = F.array(*map(F.lit, codes))
+    reached = F.aggregate(ids, F.lit(0), lambda n, x: n + F.coalesce((F.get(wanted, n) == x).cast("int"), F.lit(0)))
+    return reached == len(codes)
+
+
 def rule_pattern(codes: tuple[str, ...]) -> str:
-    """Regular expression over the text ``,a,b,c,`` for these codes in this order, others allowed between."""
+    """Regular expression over the text ``,a,b,c,`` for these codes in this order, others allowed between; for SQL."""
     import re
 
     return "," + ",(?:[^,]+,)*".join(re.escape(c).replace("\\-", "-") for c in codes) + ","
@@ -151,11 +156,9 @@ def scan_licenses(docs: DataFrame, sentences: dict[str, str] | None = None, rule
     found = F.transform(pieces, lambda s: F.try_element_at(table, F.translate(s, "\n", " ")))
     ids = F.when(F.col("text").rlike(anchors(codes)), found).otherwise(F.array().cast("array<string>"))
     scanned = docs.select("doc_id", F.coalesce(ids, F.array().cast("array<string>")).alias("ids"))
-    scanned = scanned.select("doc_id", F.size("ids").cast("long").alias("n_matched"), F.array_join("ids", ",").alias("sentence_ids"))
-    line = F.concat(F.lit(","), F.col("sentence_ids"), F.lit(","))
-    fitting = F.array_distinct(F.filter(F.array(*[F.when(line.rlike(rule_pattern(c)), F.lit(name)) for name, c in ordered]), lambda x: x.isNotNull()))
-    scanned = scanned.withColumn("fitting", F.when(F.col("n_matched") > 0, fitting).otherwise(F.array().cast("array<string>")))
-    return scanned.select("doc_id", "n_matched", "sentence_ids", F.array_join("fitting", ",").alias("licenses"), F.try_element_at("fitting", F.lit(1)).alias("license"))
+    fitting = F.array_distinct(F.filter(F.array(*[F.when(rule_fits(F.col("ids"), c), F.lit(name)) for name, c in ordered]), lambda x: x.isNotNull()))
+    scanned = scanned.withColumn("fitting", F.when(F.size("ids") > 0, fitting).otherwise(F.array().cast("array<string>")))
+    return scanned.select("doc_id", F.size("ids").cast("long").alias("n_matched"), F.array_join("ids", ",").alias("sentence_ids"), F.array_join("fitting", ",").alias("licenses"), F.try_element_at("fitting", F.lit(1)).alias("license"))
 
 
 def oracle(sentences: dict[str, str] | None = None, rules=RULES) -> str:

@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 import textwrap
 from collections import defaultdict
@@ -130,6 +131,36 @@ def test_wrapped_licenses_are_found(spark):
     assert got == told
 
 
+def brute_read(ids, rules):
+    """Licences whose codes stand in ``ids`` in order, by a plain reader."""
+    found = []
+    for name, codes in rules:
+        rest = iter(ids)
+        if all(c in rest for c in codes) and name not in found:
+            found.append(name)
+    return found
+
+
+def test_ordered_rules_equal_a_plain_reader(spark):
+    rng = random.Random(9)
+    sentences = {c: f"the {w} licence sentence" for c, w in zip("abcdef", ("first", "second", "third", "fourth", "fifth", "sixth"), strict=True)}
+    rules = [(f"L{i}", tuple(rng.choices("abcdef", k=rng.randint(1, 4)))) for i in range(25)]
+    drawn = [rng.choices("abcdef", k=rng.randint(0, 9)) for _ in range(200)]
+    docs = spark.createDataFrame([(i, "\n".join(rng.choice(["", "Between them stands prose. "]) + sentences[c] + "." for c in d)) for i, d in enumerate(drawn)], "doc_id long, text string")
+    got = {r.doc_id: r for r in license_scan.scan_licenses(docs, sentences, rules).collect()}
+    for i, d in enumerate(drawn):
+        want = brute_read(d, rules)
+        assert (got[i].sentence_ids, got[i].licenses, got[i].license) == (",".join(d), ",".join(want), want[0] if want else None)
+
+
+def test_licenses_in_very_long_texts(spark):
+    s = license_scan.SENTENCES
+    many = s["mit-grant"] + ".\n" + (s["mit-released"] + ".\n" + s["all-rights"] + ".\n") * 50_000 + s["mit-as-is"] + "."
+    texts = [many, "dnl " * 100_000 + s["mit-released"], "\n" + "rem \U0001f600 " * 100_000 + "\n" + s["mit-released"], "* " * 100_000 + "\n" + s["isc-grant"], "license. " * 100_000, "license " + "\n \n" * 100_000]
+    got = [(r.n_matched, r.licenses) for r in license_scan.scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()]
+    assert got == [(100_002, "MIT,all-rights-reserved"), (1, "MIT"), (1, "MIT"), (1, "ISC"), (0, ""), (0, "")]
+
+
 def brute_targets(sizes, weights=(5, 2, 1), most=3):
     names = sorted(sizes, key=lambda s: (s is None, s or ""))
     w = {s: weights[i % 3] for i, s in enumerate(names)}
