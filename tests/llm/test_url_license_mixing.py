@@ -5,6 +5,7 @@ import textwrap
 from collections import defaultdict
 
 import pytest
+import xxhash
 
 from sparkloom.llm import license_scan, mixing, url_filters
 
@@ -161,10 +162,10 @@ def test_licenses_in_very_long_texts(spark):
     assert got == [(100_002, "MIT,all-rights-reserved"), (1, "MIT"), (1, "MIT"), (1, "ISC"), (0, ""), (0, "")]
 
 
-def brute_targets(sizes, weights=(5, 2, 1), most=3):
+def brute_targets(sizes, weights=(5, 2, 1), most=3, share=1.0):
     names = sorted(sizes, key=lambda s: (s is None, s or ""))
     w = {s: weights[i % 3] for i, s in enumerate(names)}
-    total, capped, target = sum(sizes.values()), set(), {}
+    total, capped, target = sum(sizes.values()) * share, set(), {}
     while True:
         free = [s for s in names if s not in capped]
         rest = total - sum(most * sizes[s] for s in capped)
@@ -176,42 +177,67 @@ def brute_targets(sizes, weights=(5, 2, 1), most=3):
 
 
 def brute_mix(rows):
-    size = [len(re.findall(r"[^\x20\x09-\x0D]+", t or "")) for _, t, _ in rows]
-    by = defaultdict(list)
-    for (doc, _, source), n in zip(rows, size, strict=True):
-        by[source].append((int(hashlib.md5(f"mix:{'' if doc is None else doc}".encode()).hexdigest()[:15], 16), n))
-    target = brute_targets({s: sum(n for _, n in v) for s, v in by.items()})
-    taken = {}
+    """Targets, and the sorted (doc_id, size, taken) of all rows, by one walk along each source's sorted rows."""
+    size = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
+    by = defaultdict(lambda: defaultdict(list))
+    for doc, text, source in rows:
+        by[source][int(hashlib.md5(f"mix:{'' if doc is None else doc}".encode()).hexdigest()[:15], 16)].append((doc, size(text), xxhash.xxh64_intdigest((text or "").encode(), 42) & ((1 << 60) - 1)))
+    target = brute_targets({s: sum(n for v in docs.values() for _, n, _ in v) for s, docs in by.items()})
+    out = []
     for source, docs in by.items():
-        words = sum(n for _, n in docs)
+        words = sum(n for v in docs.values() for _, n, _ in v)
         copies = int(target[source] // words) if words else 0
-        budget, upto = target[source] - copies * words, 0
-        for h in sorted({h for h, _ in docs}):
-            same = sum(n for x, n in docs if x == h)
-            if upto + same > budget:
-                if upto + same - budget < budget - upto:
-                    taken[source, h] = 1
-                break
-            taken[source, h] = 1
-            upto += same
-        for h, _ in docs:
-            taken[source, h, "n"] = copies + taken.get((source, h), 0)
-    return target, [n * taken[s, int(hashlib.md5(f"mix:{'' if d is None else d}".encode()).hexdigest()[:15], 16), "n"] for (d, _, s), n in zip(rows, size, strict=True)], size
+        budget, crossed = target[source] - copies * words, False
+        for h in sorted(docs):
+            for doc, n, _ in sorted(docs[h], key=lambda r: r[2]):
+                taken = copies + (not crossed and (n <= budget or n - budget < budget))
+                crossed |= n > budget
+                budget -= n
+                out.append(repr((doc, n, taken * n)))
+    return target, sorted(out)
 
 
 def test_mixing_equals_brute_force(spark):
     docs = cases.documents(spark)
     rows = [(r.doc_id, r.text, r.source) for r in docs.collect()]
-    target, taken, size = brute_mix(rows)
+    target, want = brute_mix(rows)
     got = mixing.mix(docs)
     found = sorted(repr((r.doc_id, r.size, r.taken)) for r in got.collect())
-    assert found == sorted(repr((d, n, t)) for (d, _, _), n, t in zip(rows, size, taken, strict=True))
+    assert found == want
     assert sorted({r.target for r in got.collect()}) == pytest.approx(sorted(set(target.values())))
     assert got.where("taken > 3 * size").count() == 0
     assert found == sorted(repr((r.doc_id, r.size, r.taken)) for r in mixing.mix(docs.repartition(7)).collect())
     assert mixing.mix(cases.empty(spark)).count() == 0
 
 
+@pytest.mark.parametrize("kind", ["null ids", "both"])
+def test_mixing_reaches_targets_where_ids_do_not_tell_rows_apart(spark, kind):
+    rng = random.Random(2)
+    rows = [(i, " ".join("w" * rng.randint(1, 9) for _ in range(rng.randint(1, 30))), "b") for i in range(80)]
+    for i in range(200):
+        text = "one two three" if kind == "same rows" or kind == "both" and i % 2 else " ".join(f"w{i}" for _ in range(1 + i % 7))
+        rows.append((None if kind == "null ids" or kind == "both" and i % 3 else 7, text, "a"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    got = mixing.mix(docs).collect()
+    for source, longest in (("a", 7), ("b", 30)):
+        ids = {r[0] for r in rows if r[2] == source}
+        mine = [r for r in got if (r.doc_id in ids) and r.source_size == sum(len(t.split()) for _, t, s in rows if s == source)]
+        assert abs(sum(r.taken for r in mine) - mine[0].target) <= longest / 2
+    assert all(r.taken <= 3 * r.size for r in got)
+    again = mixing.mix(docs.repartition(3)).collect()
+    assert sorted(repr(tuple(r)) for r in got) == sorted(repr(tuple(r)) for r in again)
+    out = mixing.mixed_documents(docs.withColumn("__sl_n", docs.text))
+    assert out.select(mixing.word_count(out.text).alias("n")).agg({"n": "sum"}).first()[0] == sum(r.taken for r in got)
+
+
+def test_targets_of_many_sources(spark):
+    rng = random.Random(5)
+    for share in (1.0, 0.5):
+        sizes = {f"s{i:04d}": int(rng.paretovariate(0.6)) for i in range(3000)} | {None: 5, "z": 0}
+        got = {r.source: r.target for r in mixing.source_targets(spark.createDataFrame(list(sizes.items()), "source string, source_size long").repartition(6), share=share).collect()}
+        assert got == pytest.approx(brute_targets(sizes, share=share))
+
+
 def test_mixed_documents_repeat_whole_rows(spark):
     docs = cases.documents(spark)
     out = mixing.mixed_documents(docs)
