@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import scratch_path
+from .shared import scratch_path, written
 from .tokens import tidy
 
 SCHEMA = "content_digest binary, tokenizer_digest string, n_tokens long"
@@ -55,9 +55,9 @@ def count_batches(batches: Iterator[pa.RecordBatch], path: str | None, version:
 def count_tokens(docs: DataFrame, limit: int = 4096, cache: str | None = None, tokenizer: str | None = None) -> DataFrame:
     """(doc_id, n_bytes, n_tokens, over_limit) for each row of ``docs`` (doc_id, text).
 
-    ``cache`` is a folder that holds counts by content and tokenizer digest, made where it is absent; runs add what they
-    had to encode. Without it the cache is a new folder, so everything is encoded once. Each distinct text that the
-    cache lacks is encoded once, whole; copies meet before the shuffle. Null texts count as empty, which have
+    ``cache`` is a folder that holds counts by content and tokenizer digest, made where it is absent; runs look digests up
+    in it, encode those it lacks and add their counts. Without it the cache is a new folder of this run. Each distinct text
+    that the cache lacks is encoded once, whole; copies meet before the shuffle. Null texts count as empty, which have
     no tokens; repeated rows and null ids keep a row each; an empty table gives no rows; other columns are not read.
     """
     spark = docs.sparkSession
@@ -69,11 +69,13 @@ def count_tokens(docs: DataFrame, limit: int = 4096, cache: str | None = None, t
     spark.createDataFrame([], SCHEMA).write.mode("append").parquet(folder)
 
     def stored() -> DataFrame:
-        rows = spark.read.schema(SCHEMA).parquet(folder).where(F.col("tokenizer_digest") == version)
-        return rows.groupBy("content_digest").agg(F.max("n_tokens").alias("n_tokens"))  # runs side by side may store the same count twice
+        return spark.read.schema(SCHEMA).parquet(folder).where(F.col("tokenizer_digest") == version)
 
     distinct = keyed.select("content_digest", "content").dropDuplicates(["content_digest"])
-    missing = distinct.join(stored().select("content_digest"), "content_digest", "left_anti") if cache else distinct
+    missing = distinct.join(stored().select("content_digest"), "content_digest", "left_anti")
     missing.mapInArrow(tidy(lambda batches: count_batches(batches, tokenizer, version)), SCHEMA).write.mode("append").parquet(folder)
+    # Runs side by side may store a count twice. A table of single counts can be joined with a text that is copied very often:
+    # its rows are then dealt over several tasks, which behind an aggregate they would not be.
+    counts = written(stored().groupBy("content_digest").agg(F.max("n_tokens").alias("n_tokens")), "token-counts")
     sizes = docs.select(F.col("doc_id").cast("long").alias("doc_id"), digest.alias("content_digest"), F.octet_length(text).cast("long").alias("n_bytes"))
-    return sizes.join(stored(), "content_digest").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+    return sizes.join(counts, "content_digest").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))

@@ -73,6 +73,30 @@ def test_links_carry_blocks_and_allows_win(spark):
     assert url_filters.filter_urls(spark.createDataFrame([], PAGES)).count() == 0
 
 
+def test_groups_of_addresses_equal_the_sql(spark, tmp_path):
+    """Random links of three kinds, a hub, chains, rules along them, nulls, repeated rows and very long addresses."""
+    import duckdb
+
+    rng = random.Random(3)
+    hosts = ["a.com", "b.com", "M.example.com", "example.net", "x.example.net", "bad.net", "y.org", "z.io"]
+    address = lambda: f"{rng.choice(['http', 'https'])}://{rng.choice(hosts)}{rng.choice(['', '/', '/en/', '/de/', '/fr/'])}{rng.randint(0, 60)}"
+    link = ['<link rel="canonical" href="{}">', "<p><LINK HREF='{}' REL=canonical /></p>", '<meta http-equiv=refresh content="0; URL={}">', "<a href='{}'>"]
+    rows = [(i, address(), rng.choice(link).format(rng.choice([address(), address(), f"/fr/{i % 50}", f"//{rng.choice(hosts)}/q{i % 9}", "next"]))) for i in range(300)]
+    rows += [(1000 + i, f"http://hub.com/{i}", link[0].format("http://hub.com/")) for i in range(400)] + [(1500, "http://hub.com/", link[2].format("http://bad.net/all"))]
+    rows += [(1600 + i, f"http://chain.com/{i}", link[0].format(f"/{i + 1}")) for i in range(40)] + [(1650, "http://chain.com/40", link[0].format("http://y.org/fr/40"))]
+    rows += [(1700, None, "x"), (1701, "no scheme", link[0].format("http://bad.net/")), (1702, "", None), rows[0], rows[0], (None, address(), ""), (1703, "http://long.com/" + "p/" * 50_000, "<b>" * 100_000 + link[0].format("http://bad.net/"))]
+    folder = f"{tmp_path}/pages.parquet"
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    pages.write.parquet(folder)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{folder}/*.parquet'")
+    columns = ["page_id", "host", "path", "rule", "verdict"]
+    want = con.execute(f"SELECT {', '.join(columns)} FROM ({url_filters.ORACLE})").fetchall()
+    assert sorted(map(repr, map(tuple, url_filters.filter_urls(pages).select(columns).collect()))) == sorted(map(repr, want))
+    verdicts = {r[0]: r[4] for r in want}
+    assert {verdicts[1000 + i] for i in range(400)} == {"block"} and {verdicts[1600 + i] for i in range(40)} == {"allow"}
+
+
 def test_license_rules_read_sequences(spark):
     s = license_scan.SENTENCES
     texts = [
