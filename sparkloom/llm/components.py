@@ -9,12 +9,34 @@ from pyspark.sql import functions as F
 from .shared import drop_path, scratch_path, written
 
 
+#: A node's links are dealt over so many tasks by their other ends.
+SALTS = 64
+
+
+def with_least(links: DataFrame) -> DataFrame:
+    """``links`` (u, v) with m, the least v of each u.
+
+    Minima are taken by (u, salt of v) first, and meet the links again by both: a hub's links are never in one task, and
+    at most SALTS rows of a node are.
+    """
+    salted = links.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)))
+    parts = salted.groupBy("u", "salt").agg(F.min("v").alias("m"))
+    whole = parts.groupBy("u").agg(F.min("m").alias("m"))
+    return salted.join(parts.select("u", "salt").join(whole, "u"), ["u", "salt"]).drop("salt")
+
+
+def beside(rows: DataFrame, told: DataFrame, key: str, other: str) -> DataFrame:
+    """``rows`` joined with ``told``, which has one row for each ``key``; a frequent key's rows are dealt by ``other``."""
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64(other), F.lit(SALTS)))
+    return salted.join(salted.select(key, "salt").distinct().join(told, key), [key, "salt"]).drop("salt")
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
-    """Rows (node, component) for every node of ``edges`` (u long, v long); component is the smallest node reachable.
+    """Rows (node, component) for every node of ``edges`` (u, v: long or string); component is the smallest node reachable.
 
     Alternating large-star and small-star rounds: each node's links move to its smallest neighbour until all point at
-    the root. Every round is a table in the shared folder. A hub's links are joined with its minimum, never
-    gathered in one row, so AQE can split a hub's partition. Null ends and loops are ignored; no edges give no rows.
+    the root. Every round is a table in the shared folder. A hub's links are dealt over several tasks and never gathered
+    in one row. Null ends and loops are ignored; no edges give no rows.
     """
     spark = edges.sparkSession
 
@@ -26,15 +48,12 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
     links = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     links, path, mark = save(links)
-    while True:
-        if mark[0] == 0:
-            break
+    while mark[0]:
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        root = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(root, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        following, at, now = save(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
+        large = with_least(both).where("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v")).distinct()
+        small = with_least(large).select("u", "v", "m")
+        moved = small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        following, at, now = save(moved.unionByName(small.select("u", F.col("m").alias("v"))).distinct())
         drop_path(spark, path)
         links, path, before, mark = following, at, mark, now
         if now == before:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .components import connected_components
+from .components import beside, connected_components
 from .shared import written
 
 #: (verdict, host and path).
@@ -94,19 +94,20 @@ def filter_urls(pages: DataFrame, rules: tuple[tuple[str, str], ...] = RULES, li
     A rule that fits decides. Otherwise the addresses linked with the page's, directly or over others, decide: if a rule
     allows any of them the page is allowed, else if a rule blocks any it is blocked, else ``default``. ``links`` (source,
     target: urls) adds known redirects to those the pages name. Null urls have an empty host and path, fit no rule and take
-    the default. Repeated rows are judged alike; an empty table gives no rows; other columns are not read.
+    the default. Repeated rows are judged alike; very long urls and pages are read whole; an empty table gives no rows; other
+    columns are not read. A group of addresses, and a page that many rows repeat, is dealt over several tasks.
     """
     judged = pages.select("page_id", "url", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path")).withColumn("best", best_rule(F.col("host"), F.col("path"), rules))
     edges = page_links(pages)
     if links is not None:
         edges = edges.unionByName(links.select(key_of(F.col("source")).alias("source"), key_of(F.col("target")).alias("target")).where("source <> target"))
     edges = written(edges.distinct(), "url-links")
-    same = connected_components(edges.select(F.col("source").alias("u"), F.col("target").alias("v")))
+    same = written(connected_components(edges.select(F.col("source").alias("u"), F.col("target").alias("v"))), "url-groups")
     address = F.concat(F.lit("x://"), F.col("node"))
     explicit = same.withColumn("says", best_rule(host_of(address), path_of(address), rules)["verdict"])
     by_group = explicit.groupBy("component").agg(F.bool_or(F.col("says") == "allow").alias("allows"), F.bool_or(F.col("says") == "block").alias("blocks"))
     decided = by_group.select("component", F.when(F.col("allows"), "allow").when(F.col("blocks"), "block").alias("passed")).where("passed IS NOT NULL")
-    passed = same.join(decided, "component").select(F.col("node").alias("key"), "passed")
+    passed = written(beside(same, decided, "component", "node").select(F.col("node").alias("key"), "passed"), "url-verdicts")
     joined = judged.withColumn("key", key_of(F.col("url"))).join(passed, "key", "left")
     return joined.select("page_id", "host", "path", F.col("best.rule").alias("rule"), F.coalesce(F.col("best.verdict"), F.col("passed"), F.lit(default)).alias("verdict"))
 
