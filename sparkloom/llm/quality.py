@@ -193,7 +193,12 @@ def judge_quality(docs: DataFrame, least: float = 0.5) -> DataFrame:
 
 
 def good_documents(docs: DataFrame, least: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` that ``judge_quality`` keeps, with all their columns."""
+    """The rows of ``docs`` that ``judge_quality`` keeps, with all their columns, whatever their names.
+
+    Each row is judged by its own text: null and empty texts go, null and repeated ids, ties and repeated rows are judged
+    alike, very long texts whole; an empty table gives no rows. Texts are measured twice, once for the statistics of all and
+    once to filter, and never shuffled: a table of the measures would have to be joined with the texts again.
+    """
     known = posterior_by_pattern(measure_documents(docs))
     table = np.zeros(PATTERNS)
     table[list(known)] = list(known.values())

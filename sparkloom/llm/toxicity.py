@@ -12,15 +12,35 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .shared import written
 from .tokens import LOWER, NOT_ALNUM, SLICE, Slice, bounds, give_back, mix, slices, span_hashes, tidy
 
-#: The classifier is fitted on so many labelled rows of either class at most, the first by the checksum of their id.
-MOST_TOXIC, MOST_CLEAN = 1200, 1800
 FOLDS, HELD_OUT = 5, 0
 #: A token of a toxic document is labelled toxic if it stands between so many different neighbours in them,
 #: and so many times more often than in clean ones.
 LEAST_CONTEXTS, LEAST_LIFT = 5, 20.0
 WINDOW, STEPS = 12, 80
+
+
+@dataclass(frozen=True)
+class Fit:
+    """The bounds of the sample that the classifier is fitted on; all texts are scored, and classes are counted over all labels.
+
+    ``toxic`` and ``clean``: so many labelled documents of either class at most, the first by the checksum of their id.
+    ``bytes``: so much text at most, half for either class; a text that does not fit is passed over.
+    ``background``: this share of the tokens that are not labelled toxic starts a window of its own, besides the windows round
+    toxic ones; the chain needs examples of ordinary text, and more of the same do not change its weights.
+    ``beside``: a feature that stands beside fewer toxic tokens in the windows has no weight, so that a word that a toxic
+    text holds once does not count against other texts.
+    """
+
+    toxic: int = 1200
+    clean: int = 1800
+    bytes: int = 24 << 20
+    background: float = 1 / 200
+    beside: int = 3
+
+
 #: Features of a token: itself, the one before and the one after.
 ROLES = 3
 ROLE_SALT = np.array([0, 0x8CB92BA72F3D8DD7, 0x1B03738712FAD5D5], np.uint64)
@@ -138,16 +158,16 @@ def seed_tokens(parts: list[tuple], toxic: np.ndarray) -> np.ndarray:
     return values[(counts >= LEAST_CONTEXTS) & (rate >= LEAST_LIFT * other)]
 
 
-def fit_chain(keys: np.ndarray, rows: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, float, np.ndarray]:
+def fit_chain(keys: np.ndarray, rows: np.ndarray, labels: np.ndarray, beside: int = Fit.beside) -> tuple[np.ndarray, np.ndarray, float, np.ndarray]:
     """Weights by gradient ascent (Adam) on the conditional likelihood of labelled windows.
 
-    keys: (tokens, ROLES); rows: ascending window of each token; labels: 0 or 1. Features seen fewer than three times
-    beside a toxic token are left out.
+    keys: (tokens, ROLES); rows: ascending window of each token; labels: 0 or 1. Features beside fewer than ``beside``
+    toxic tokens are left out.
     """
     vocabulary, inverse, counts = np.unique(keys, return_inverse=True, return_counts=True)
     inverse = inverse.reshape(keys.shape)
     near = np.bincount(inverse[labels == 1].ravel(), minlength=len(vocabulary))
-    useful = near >= 3
+    useful = near >= beside
     place = np.cumsum(useful) - 1
     used = useful[inverse]
     column = np.where(used, place[inverse], 0)
@@ -209,7 +229,7 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray
     return w
 
 
-def fit(texts: list[str], toxic: np.ndarray, totals: tuple[float, float]) -> Model:
+def fit(texts: list[str], toxic: np.ndarray, totals: tuple[float, float], bounds_: Fit = Fit()) -> Model:
     """The model of labelled texts; ``totals`` are the toxic and clean rows of which the texts are a part."""
     none = Model(np.zeros(0, np.uint64), np.zeros(0), -10.0, np.zeros((2, 2)), np.zeros(3))
     if not len(texts) or not toxic.any() or toxic.all():
@@ -227,7 +247,7 @@ def fit(texts: list[str], toxic: np.ndarray, totals: tuple[float, float]) -> Mod
         if not len(hashes):
             continue
         isin = np.isin(hashes, seeds) & toxic[first + rows]
-        centre = np.union1d(np.flatnonzero(isin), np.flatnonzero(rng.random(len(hashes)) < 1 / 200))
+        centre = np.union1d(np.flatnonzero(isin), np.flatnonzero(rng.random(len(hashes)) < bounds_.background))
         near = np.zeros(len(hashes) + 1, np.int64)
         np.add.at(near, np.maximum(centre - WINDOW, 0), 1)
         np.add.at(near, np.minimum(centre + WINDOW + 1, len(hashes)), -1)
@@ -242,7 +262,7 @@ def fit(texts: list[str], toxic: np.ndarray, totals: tuple[float, float]) -> Mod
         none.document[0] = np.log(share / (1 - share))
         return none
     rows = np.concatenate(windows)
-    keys_, weights, bias, moves = fit_chain(np.concatenate(keys), rows - rows[0], np.concatenate(labels))
+    keys_, weights, bias, moves = fit_chain(np.concatenate(keys), rows - rows[0], np.concatenate(labels), bounds_.beside)
     heavy = np.abs(weights) > 1e-3
     model = Model(keys_[heavy], weights[heavy], bias, moves, np.zeros(3))
     x = np.zeros((len(texts), 3))
@@ -256,22 +276,28 @@ def fit(texts: list[str], toxic: np.ndarray, totals: tuple[float, float]) -> Mod
     return model
 
 
-def train(docs: DataFrame, labels: DataFrame) -> Model:
+def train(docs: DataFrame, labels: DataFrame, bounds_: Fit = Fit()) -> Model:
     """Fits the model on labelled rows outside the held-out fold; label rows with nulls are left out, a doc_id with
-    several labels is toxic if any says so. The sample is bounded; the classes' totals are counted over all rows.
+    several labels is toxic if any says so, and one with several texts gives one of them. The sample is bounded (see
+    ``Fit``) and read in one pass; the classes' totals are counted over all rows.
     """
     marks = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg((F.max("toxic") > 0).alias("toxic"))
     marks = marks.where(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(FOLDS)) != HELD_OUT)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     count = {bool(r[0]): r[1] for r in marks.groupBy("toxic").count().collect()}
-    found, is_toxic = [], []
-    for label, most in ((True, MOST_TOXIC), (False, MOST_CLEAN)):
-        first = marks.where(F.col("toxic") == label).orderBy(F.crc32(F.col("doc_id").cast("string").cast("binary")), "doc_id").limit(most)
-        rows = texts.join(F.broadcast(first.select("doc_id")), "doc_id").orderBy("doc_id", F.sha2("text", 256)).limit(2 * most).collect()  # at most ``most`` ids
-        found += [r["text"] for r in rows]
-        is_toxic += [label] * len(rows)
-    model = fit(found, np.array(is_toxic, dtype=bool), (float(count.get(True, 0)), float(count.get(False, 0))))
-    del found, rows
+    order = (F.crc32(F.col("doc_id").cast("string").cast("binary")), "doc_id")
+    first = [r for label, most in ((True, bounds_.toxic), (False, bounds_.clean)) for r in marks.where(F.col("toxic") == label).orderBy(*order).limit(most).collect()]
+    asked = docs.sparkSession.createDataFrame([(r["doc_id"], r["toxic"], i) for i, r in enumerate(first)], "doc_id long, toxic boolean, place int")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    texts = texts.join(F.broadcast(asked), "doc_id").groupBy("place", "toxic").agg(F.min_by("text", F.sha2("text", 256)).alias("text"))  # at most the ids of ``asked``
+    texts = written(texts, "toxicity-sample")
+    left, chosen = {True: bounds_.bytes // 2, False: bounds_.bytes // 2}, []
+    for r in texts.select("place", "toxic", F.octet_length("text").alias("n")).orderBy("place").collect():
+        if r["n"] <= left[r["toxic"]]:
+            left[r["toxic"]] -= r["n"]
+            chosen.append(r["place"])
+    rows = texts.where(F.col("place").isin(chosen)).orderBy("place").collect()
+    model = fit([r["text"] for r in rows], np.array([r["toxic"] for r in rows], dtype=bool), (float(count.get(True, 0)), float(count.get(False, 0))), bounds_)
+    del rows
     give_back()
     return model
 
@@ -301,14 +327,14 @@ def toxic_spans(part: Slice, found: tuple, least: float = 0.5) -> list[list[dict
     return out
 
 
-def score_documents(docs: DataFrame, labels: DataFrame, least: float = 0.5, model: Model | None = None) -> DataFrame:
+def score_documents(docs: DataFrame, labels: DataFrame, least: float = 0.5, model: Model | None = None, bounds_: Fit = Fit()) -> DataFrame:
     """For each row of ``docs`` (doc_id, text): held_out, score, predicted and spans (start, end, p in code points).
 
     Reads no other column. Null and empty texts get the score of a text without toxic tokens; a null doc_id hashes as an
     empty one; repeated rows score alike; an empty table gives no rows. Without labels of both classes every text gets
     the same score. Whole texts are scored, whatever their length.
     """
-    model = model or train(docs, labels)
+    model = model or train(docs, labels, bounds_)
     schema = "doc_id long, held_out boolean, score double, predicted int, spans array<struct<start:int,end:int,p:double>>"
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -326,9 +352,14 @@ def score_documents(docs: DataFrame, labels: DataFrame, least: float = 0.5, mode
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(tidy(run), schema)
 
 
-def clean_documents(docs: DataFrame, labels: DataFrame, least: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` that are not predicted toxic, with all their columns."""
-    model = train(docs, labels)
+def clean_documents(docs: DataFrame, labels: DataFrame, least: float = 0.5, bounds_: Fit = Fit()) -> DataFrame:
+    """The rows of ``docs`` that ``score_documents`` does not predict toxic, with all their columns, whatever their names.
+
+    Each row is judged by its own text: null and empty texts as texts without toxic tokens, null and repeated ids, ties and
+    repeated rows alike; very long texts whole. An empty table gives no rows; without labels of both classes all rows stay
+    or, where all labels are toxic, go.
+    """
+    model = train(docs, labels, bounds_)
     text = docs.columns.index("text")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -65,6 +65,52 @@ def test_toxicity_holds_out_and_finds_spans(spark):
     assert got[200].score == got[201].score == got[202].score
 
 
+def brute_toxicity(model, text):
+    """The document score by a plain walk: features from a dictionary, marginals from sums over forward and backward messages."""
+    weights = dict(zip(model.keys.tolist(), model.weights.tolist(), strict=True))
+    words = re.findall(r"[0-9A-Za-z\u0080-\U0010ffff]+", text or "")
+    hashes = [int(toxicity.tokens_of(toxicity.text_slices([w])[0])[3][0]) for w in words]
+    odds = []
+    for i in range(len(words)):
+        before = np.uint64(hashes[i - 1]) if i else toxicity.EDGE
+        after = np.uint64(hashes[i + 1]) if i + 1 < len(words) else toxicity.EDGE
+        keys = (hashes[i], int(toxicity.mix(np.array([before + toxicity.ROLE_SALT[1]]))[0]), int(toxicity.mix(np.array([after + toxicity.ROLE_SALT[2]]))[0]))
+        odds.append(model.bias + sum(weights.get(k, 0.0) for k in keys))
+    forward, backward = [], [(0.0, 0.0)] * len(words)
+    for i, o in enumerate(odds):
+        own = (0.0, o)
+        forward.append(own if not i else tuple(own[b] + np.logaddexp(forward[-1][0] + model.moves[0, b], forward[-1][1] + model.moves[1, b]) for b in (0, 1)))
+    for i in range(len(words) - 2, -1, -1):
+        backward[i] = tuple(np.logaddexp(model.moves[a, 0] + backward[i + 1][0], model.moves[a, 1] + odds[i + 1] + backward[i + 1][1]) for a in (0, 1))
+    p = [1 / (1 + math.exp(min(700, f[0] + b[0] - f[1] - b[1]))) for f, b in zip(forward, backward, strict=True)]
+    x = (1.0, math.log1p(sum(v for v in p if v > 0.05)), max(p, default=0.0))
+    return 1 / (1 + math.exp(-sum(a * b for a, b in zip(x, model.document.tolist(), strict=True))))
+
+
+def test_toxicity_scores_equal_brute_force(spark):
+    docs, labels, _ = toxic_corpus(spark, 120)
+    model = toxicity.train(docs, labels)
+    rows = docs.where("length(text) < 5000 OR text IS NULL").collect()
+    want = sorted((repr(r.doc_id), round(brute_toxicity(model, r.text), 9)) for r in rows)
+    got = toxicity.score_documents(docs.where("length(text) < 5000 OR text IS NULL"), labels, model=model).collect()
+    assert [g for g, _ in want] == [g for g, _ in sorted((repr(r.doc_id), r.score) for r in got)]
+    assert sorted((repr(r.doc_id), r.score) for r in got) == [(d, pytest.approx(v, abs=1e-8)) for d, v in want]
+
+
+def test_sample_keeps_its_bounds(spark):
+    docs, labels, _ = toxic_corpus(spark, 120)
+    seen = {}
+    own = toxicity.fit
+    try:
+        toxicity.fit = lambda texts, toxic, totals, bounds_: seen.update(n=(int(toxic.sum()), int((~toxic).sum())), bytes=sum(len(t.encode()) for t in texts), totals=totals) or own(texts, toxic, totals, bounds_)
+        for bounds_ in (toxicity.Fit(toxic=5, clean=9), toxicity.Fit(bytes=4000)):
+            toxicity.train(docs, labels, bounds_)
+            assert seen["n"][0] <= bounds_.toxic and seen["n"][1] <= bounds_.clean and 0 < seen["bytes"] <= bounds_.bytes
+            assert seen["totals"][0] + seen["totals"][1] > 80
+    finally:
+        toxicity.fit = own
+
+
 def test_long_texts_count_to_their_end(spark):
     docs, labels, _ = toxic_corpus(spark)
     long = cases.prose(3, 50_000) + " grumblefrog snotwit dunderpate"
@@ -111,6 +157,33 @@ def test_scores_equal_brute_force(spark, monkeypatch, head):
     assert sum(r.score for r in got if r.doc_id and r.doc_id >= 700) > sum(r.base_score for r in got if r.doc_id and r.doc_id >= 700)
 
 
+def test_model_scores_equal_brute_force(spark, monkeypatch):
+    """log10 probabilities of texts, token by token from the vectors: a softmax among brothers at each level, then add-one in a bucket."""
+    monkeypatch.setattr(lm_score, "HEAD", 300)
+    docs = spark.createDataFrame([(i, cases.prose(i % 9, 40) + f" own{i}") for i in range(60)] + [(900, None), (901, "Unseen WORDS only,")], "doc_id long, text string").coalesce(2)
+    counts = lm_score.counted(docs)
+    known = lm_score.vocabulary_of(counts)
+    model = lm_score.trained(docs, known)
+    seen = {int(np.int64(r.h).view(np.uint64)): r.c for r in counts.collect()}
+    got = {r.doc_id: r.score for r in lm_score.score_documents(docs).collect()}
+    for doc, text in [(r.doc_id, r.text) for r in docs.collect() if r.doc_id in (0, 3, 31, 58, 900, 901)]:
+        stream, _, _ = lm_score.token_stream(lm_score.slices(lm_score.pa.array([text or ""], lm_score.pa.large_string())).__next__())
+        total, before = 0.0, (known.outputs, known.outputs)
+        for key in stream.tolist():
+            out = int(known.known(np.array([key], np.uint64))[0][0])
+            q = model.before[before[0]] @ model.first + model.before[before[1]] @ model.second
+            for level, (after, bias) in enumerate(model.levels):
+                node = out // model.branch**level
+                base = node // model.branch * model.branch
+                z = (getattr(model, after)[base : base + model.branch] @ q + getattr(model, bias)[base : base + model.branch]).astype(float)
+                total += (z[node - base] - np.log(np.exp(z).sum())) / math.log(10)
+            if known.bucket_at[out] >= 0:
+                b = known.bucket_at[out]
+                total += math.log10((seen.get(key, 0) + 1) / (known.bucket_total[b] + known.bucket_distinct[b] + 1))
+            before = (out, before[0])
+        assert got[doc] == pytest.approx(total, rel=1e-4)
+
+
 def test_model_is_normalised_and_learns():
     rng = np.random.default_rng(0)
     counts = np.array([50.0, 30, 20, 10, 5])

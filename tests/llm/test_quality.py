@@ -1,3 +1,4 @@
+import math
 import re
 from collections import Counter
 
@@ -44,6 +45,49 @@ def test_counts_equal_brute_force(spark):
     assert quality.judge_quality(cases.empty(spark)).count() == 0
 
 
+def brute_votes(text):
+    """What each rule says of a text: 0 abstains, 1 good, 2 bad."""
+    text = text or ""
+    words = re.findall(WORD, text)
+    n, chars, symbols, duplicates, again, _ = brute(text)
+    some = max(n, 1)
+    lines = sum(bool(re.search(WORD, line)) for line in text.split("\n"))
+    letters = lambda w: sum(not (c.isascii() and not c.isalpha()) for c in w)
+    mean = chars / some
+    values = {
+        "symbols_per_word": symbols / some,
+        "repeated_share": again / some,
+        "duplicate_line_share": duplicates / max(lines, 1),
+        "capital_word_share": sum(len(re.findall("[A-Z]", w)) >= 2 and not re.search("[a-z]", w) for w in words) / some,
+        "shouted_share": sum(w[-1] in "!?" for w in words) / some,
+        "length_oddity": max(3 / max(mean, 0.1), mean / 10) if n else 9.0,
+        "plain_word_share": sum(len(w) - letters(w) <= (w[-1] in ".,;:?!'\")") for w in words) / some,
+    }
+    return [vote if (values[m] >= limit if way == ">=" else values[m] <= limit) else 0 for _, m, way, limit, vote in quality.VOTES]
+
+
+def test_posteriors_equal_a_plain_walk_over_texts(spark):
+    """Expectation-maximisation text by text, without patterns or matrices."""
+    docs = cases.documents(spark, junk(spark) + [(2000 + i, cases.prose(3000 + i, 90), "en", "a") for i in range(60)])
+    rows = docs.collect()
+    votes = [brute_votes(r.text) for r in rows]
+    good = [0.1 if 2 in v else 0.9 for v in votes]
+    for _ in range(100):
+        share = [[1 - g for g in good], good]
+        prior = [(sum(c) + 1) / (len(rows) + 2) for c in share]
+        rates = [[[1.0 + sum(w for w, v in zip(c, votes, strict=True) if v[j] == k) for k in range(3)] for j in range(len(quality.VOTES))] for c in share]
+        chance = [[p * math.prod(rates[c][j][v[j]] / sum(rates[c][j]) for j in range(len(v))) for c, p in enumerate(prior)] for v in votes]
+        now = [b / (a + b) for a, b in chance]
+        done = max(abs(a - b) for a, b in zip(now, good, strict=True)) < 1e-10
+        good = now
+        if done:
+            break
+    got = sorted((repr(r.doc_id), r.n_words, round(r.p_good, 6), r.kept) for r in quality.judge_quality(docs).collect())
+    want = sorted((repr(r.doc_id), brute(r.text)[0], round(g, 6), not brute(r.text)[5] and g >= 0.5) for r, g in zip(rows, good, strict=True))
+    assert got == want
+    assert {k for *_, k in got} == {True, False}
+
+
 def test_stage_keeps_rows_and_columns(spark):
     docs = cases.documents(spark, junk(spark))
     out = quality.good_documents(docs)
