@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import block_of
+from .blocks import block_of, blocks_for
 from .components import connected_components, spanning_labels
 from .shared import written
 from .tokens import group_edges, tidy, whole_groups
@@ -137,10 +137,10 @@ def cell_tasks(placed: DataFrame) -> DataFrame:
     guest = F.col("cell") != F.col("home")
     sizes = placed.groupBy("cell").agg(F.count_if(~guest).alias("own_members"), F.count_if(guest).alias("guest_members")).where("own_members > 0")
     rows = placed.join(F.broadcast(sizes), "cell")  # one row per cell: at most MOST_CELLS
-    blocks = F.ceil(F.col("own_members") / F.lit(BLOCK)).cast("int")
+    blocks = blocks_for(F.col("own_members"), BLOCK)
     halls = F.ceil(F.col("guest_members") / F.lit(GUESTS)).cast("int")
-    block = block_of(F.col("node"), F.col("own_members"), BLOCK)
-    hall = block_of(F.col("node"), F.col("guest_members"), GUESTS) + 1
+    block = block_of(F.col("node"), blocks)
+    hall = block_of(F.col("node"), F.greatest(halls, F.lit(1))) + 1
     inside = F.transform(F.sequence(F.lit(0), blocks - 1), lambda o: F.struct(F.least(block, o).alias("bi"), F.greatest(block, o).alias("bj")))
     hosting = F.when(halls > 0, F.transform(F.sequence(F.lit(1), F.greatest(halls, F.lit(1))), lambda h: F.struct(block.alias("bi"), (-h).alias("bj")))).otherwise(F.array().cast("array<struct<bi:int,bj:int>>"))
     visiting = F.transform(F.sequence(F.lit(0), blocks - 1), lambda o: F.struct(o.alias("bi"), (-hall).alias("bj")))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from math import ceil, log, sqrt
 
@@ -13,13 +13,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from .blocks import paired_blocks
+from .blocks import blocks_for, crossing_blocks, own_blocks, paired_blocks
 from .components import connected_components, spanning_labels
 from .shared import written
 from .tokens import PLAIN, SPACE, Slice, bounds, group_edges, mix, slices, span_hashes, tidy, whole_groups
 
-#: Members of a block when signatures and when whole sets are compared.
-SIGNATURE_BLOCK, SET_BLOCK = 1024, 256
+#: Members of a block when signatures and when whole sets are compared, and bytes of the latter.
+SIGNATURE_BLOCK, SET_BLOCK, SET_BYTES = 4096, 2048, 32 << 20
+#: Members of either side of one product within a block.
+PART = 256
 #: Rows of ids, with what is known of them, that are broadcast to the texts; more are joined by a shuffle of both.
 BROADCAST_ROWS = 500_000
 #: n-grams that are columns of one product.
@@ -102,7 +104,7 @@ def texts_of(part: Slice) -> list[bytes]:
 
 
 def sign_documents(docs: DataFrame, n: int, bands: Bands) -> DataFrame:
-    """(doc_id, digest, keys, sig); the last three are null for texts without words and rows without an id."""
+    """(doc_id, digest, grams, keys, sig); all but the first are null for texts without words and rows without an id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -111,7 +113,7 @@ def sign_documents(docs: DataFrame, n: int, bands: Bands) -> DataFrame:
                 grams, rows = gram_hashes(part, n)
                 edges = bounds(rows, part.rows)
                 full = np.flatnonzero((np.diff(edges) > 0) & ids.is_valid().to_numpy(zero_copy_only=False))
-                digests, keys, sigs = [None] * part.rows, [None] * part.rows, [None] * part.rows
+                digests, counts, keys, sigs = ([None] * part.rows for _ in range(4))
                 some = np.flatnonzero(np.diff(edges) > 0)
                 if len(some):
                     sig = signatures(grams, np.r_[edges[:-1][some], len(grams)], bands.size)
@@ -120,11 +122,11 @@ def sign_documents(docs: DataFrame, n: int, bands: Bands) -> DataFrame:
                     place[some] = np.arange(len(some))
                     texts = texts_of(part)
                     for row in full:
-                        digests[row], keys[row], sigs[row] = content_digest(texts[row]), key[place[row]], sig[place[row]].tobytes()
-                yield pa.RecordBatch.from_arrays([ids, pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(sigs, pa.binary())], ["doc_id", "digest", "keys", "sig"])
+                        digests[row], counts[row], keys[row], sigs[row] = content_digest(texts[row]), edges[row + 1] - edges[row], key[place[row]], sig[place[row]].tobytes()
+                yield pa.RecordBatch.from_arrays([ids, pa.array(digests, pa.binary()), pa.array(counts, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(sigs, pa.binary())], ["doc_id", "digest", "grams", "keys", "sig"])
 
     picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return picked.mapInArrow(tidy(run), "doc_id long, digest binary, keys array<long>, sig binary")
+    return picked.mapInArrow(tidy(run), "doc_id long, digest binary, grams long, keys array<long>, sig binary")
 
 
 def rows_to_links(node: np.ndarray, copies: np.ndarray, p: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -139,6 +141,30 @@ def rows_to_links(node: np.ndarray, copies: np.ndarray, p: np.ndarray, q: np.nda
     return node[some], linked[some].astype(np.int64), node[order][root[place[some]]]
 
 
+def linked_parts(left: np.ndarray, right: np.ndarray, n: int, compare: Callable[[np.ndarray, np.ndarray], np.ndarray], every: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of the members ``left`` and ``right`` (the same array: of one block) that ``compare`` links, part by part.
+
+    Without ``every`` the pairs only connect what is linked: parts whose members are all connected are not compared, so a
+    group of copies takes work in proportion to its size.
+    """
+    label, lefts, rights = np.arange(n), [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    same = left is right
+    for i in range(0, len(left), PART):
+        for j in range(i if same else 0, len(right), PART):
+            x, y = left[i : i + PART], right[j : j + PART]
+            if not every and (label[x] == label[x[0]]).all() and (label[y] == label[x[0]]).all():
+                continue
+            p, q = np.nonzero(compare(x, x if same and i == j else y))
+            p, q = x[p], y[q]
+            keep = p < q if same and i == j else p != q
+            p, q = p[keep], q[keep]
+            lefts.append(p)
+            rights.append(q)
+            if not every and len(p):
+                label = spanning_labels(label[p], label[q], n)[label]
+    return np.concatenate(lefts), np.concatenate(rights)
+
+
 def alike(groups: pa.Table, bands: Bands) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Spanning neighbours of the members of each task whose signatures are near enough."""
     columns = {c: groups.column(c).to_numpy() for c in ("bi", "bj", "own", "node")}
@@ -147,23 +173,18 @@ def alike(groups: pa.Table, bands: Bands) -> Iterator[tuple[np.ndarray, np.ndarr
     for a, b in zip(edges[:-1], edges[1:], strict=True):
         if b - a < 2:
             continue
-        own, bi, bj, node, s = columns["own"][a:b], columns["bi"][a], columns["bj"][a], columns["node"][a:b], sig[a:b]
-        left, right = np.flatnonzero(own == bi), np.flatnonzero(own == bj)
-        lefts, rights = [], []
-        for i in range(0, len(left), 64):
-            equal = (s[left[i : i + 64], None, :] == s[None, right, :]).sum(axis=2)
-            x, y = np.nonzero(equal >= bands.least_equal)
-            x, y = left[i + x], right[y]
-            keep = x < y if bi == bj else x != y
-            lefts.append(x[keep])
-            rights.append(y[keep])
-        if lefts and sum(map(len, lefts)):
-            found, _, root = rows_to_links(node, np.ones(len(node)), np.concatenate(lefts), np.concatenate(rights))
+        own, bi, bj, s = columns["own"][a:b], columns["bi"][a], columns["bj"][a], sig[a:b]
+        left = np.flatnonzero(own == bi)
+        right = left if bi == bj else np.flatnonzero(own == bj)
+        p, q = linked_parts(left, right, b - a, lambda x, y: (s[x][:, None, :] == s[y][None, :, :]).sum(axis=2) >= bands.least_equal, False)  # noqa: B023
+        if len(p):
+            found, _, root = rows_to_links(columns["node"][a:b], np.ones(b - a), p, q)
             yield found, root
 
 
-def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
-    """How many members each pair of sorted unique sets shares, as products over the members that two or more have."""
+def shared_counts(sets: list[np.ndarray], cut: int = 0) -> np.ndarray:
+    """How many members each pair of sorted unique sets shares, as products over the members that two or more have; with
+    ``cut`` of each of the first ``cut`` sets with each of the others."""
     every = np.concatenate(sets)
     values, inverse, counts = np.unique(every, return_inverse=True, return_counts=True)
     rows = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
@@ -173,18 +194,18 @@ def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
     rows, columns = rows[keep], place[inverse[keep]]
     order = np.argsort(columns, kind="stable")
     rows, columns = rows[order], columns[order]
-    total = np.zeros((len(sets), len(sets)), np.float64)
+    total = np.zeros((cut, len(sets) - cut) if cut else (len(sets), len(sets)), np.float64)
     width = int(several.sum())
     cuts = np.searchsorted(columns, np.arange(0, width + COLUMNS, COLUMNS))
     for start, (a, b) in zip(range(0, width, COLUMNS), zip(cuts[:-1], cuts[1:], strict=True), strict=False):
         held = np.zeros((len(sets), min(COLUMNS, width - start)), np.float32)
         held[rows[a:b], columns[a:b] - start] = 1
-        total += held @ held.T
+        total += held[:cut] @ held[cut:].T if cut else held @ held.T
     return total
 
 
-def similar(groups: pa.Table, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Links of each task's members by the Jaccard similarity of their whole sets."""
+def similar(groups: pa.Table, threshold: float, every: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Links of each task's members by the Jaccard similarity of their whole sets, all of them or what connects them."""
     columns = {c: groups.column(c).to_numpy() for c in ("bi", "bj", "own", "node", "copies")}
     grams = groups.column("grams").to_pylist()
     edges = group_edges(groups, ["cluster", "bi", "bj"])
@@ -196,14 +217,18 @@ def similar(groups: pa.Table, threshold: float) -> Iterator[tuple[np.ndarray, np
         own, bi, bj = columns["own"][at], columns["bi"][a], columns["bj"][a]
         sets = [np.frombuffer(grams[i], np.uint64) for i in at]
         sizes = np.array([len(s) for s in sets], np.float64)
-        both = shared_counts(sets)
-        union = sizes[:, None] + sizes[None, :] - both
-        p, q = np.nonzero(both / union >= threshold)
-        keep = p < q
-        if bi != bj:
-            keep &= own[p] != own[q]
-        if keep.any():
-            yield rows_to_links(columns["node"][at], columns["copies"][at], p[keep], q[keep])
+
+        def compare(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+            if x is y:
+                both = shared_counts([sets[i] for i in x])  # noqa: B023
+            else:
+                both = shared_counts([sets[i] for i in (*x, *y)], len(x))  # noqa: B023
+            return both / (sizes[x][:, None] + sizes[y][None, :] - both) >= threshold  # noqa: B023
+
+        left = np.flatnonzero(own == bi)
+        p, q = linked_parts(left, left if bi == bj else np.flatnonzero(own == bj), len(at), compare, every)
+        if len(p):
+            yield rows_to_links(columns["node"][at], columns["copies"][at], p, q)
 
 
 def small(rows: DataFrame, tag: str) -> DataFrame:
@@ -228,34 +253,54 @@ def ngram_join(docs: DataFrame, threshold: float = 0.8, n: int = 5, recall: floa
     return judged_rows(docs, threshold, n, recall).drop("digest")
 
 
-def judged_rows(docs: DataFrame, threshold: float, n: int, recall: float) -> DataFrame:
-    """The rows of ``ngram_join`` with the digest of their words."""
-    bands = Bands(threshold, recall)
-    signed = written(sign_documents(docs, n, bands), "ngram-signatures")
-    some = signed.where("digest IS NOT NULL")
-    classes = some.groupBy("digest").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("copies"), F.first("keys").alias("keys"), F.first("sig").alias("sig"))
-    classes = written(classes, "ngram-classes")
+def likely_components(classes: DataFrame, bands: Bands) -> DataFrame:
+    """(node, component) of classes connected by likely pairs.
 
+    A bucket's members are first compared within blocks, dealt anew in each band, so that a group of near copies is connected
+    over its bands; then, in buckets of several blocks, what is not connected yet is compared across them.
+    """
     held = classes.select("node", F.explode("keys").alias("band"))
     buckets = held.groupBy("band").agg(F.count(F.lit(1)).alias("members"), F.min("node").alias("least"), F.bit_xor(F.xxhash64("node")).alias("mark")).where("members > 1")
-    buckets = buckets.groupBy("members", "least", "mark").agg(F.min("band").alias("band")).select("band", "members")  # bands that hold the same classes
+    buckets = buckets.groupBy("members", "least", "mark").agg(F.min("band").alias("band")).select("band", blocks_for(F.col("members"), SIGNATURE_BLOCK).alias("blocks"))  # bands that hold the same classes
+    buckets = written(buckets, "ngram-buckets")  # without an aggregate beside it, a bucket that is in every row is dealt over several tasks
     members = held.join(buckets, "band").join(classes.select("node", "sig"), "node")
-    tasks = paired_blocks(members, "band", "node", "members", SIGNATURE_BLOCK).select("band", "bi", "bj", "own", "node", "sig")
-    tasks = tasks.repartition("band", "bi", "bj").sortWithinPartitions("band", "bi", "bj")
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for groups in whole_groups(batches, ["band", "bi", "bj"]):
             for found, root in alike(groups, bands):
                 yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(root)], ["u", "v"])
 
-    likely = connected_components(tasks.mapInArrow(tidy(near), "u long, v long"))
-    sizes = likely.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
-    chosen = likely.join(sizes, "component").join(classes.select("node", "copies", "digest"), "node")
-    chosen = chosen.select(F.col("node").alias("doc_id"), F.col("component").alias("cluster"), "members", "copies", "digest")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(small(chosen, "ngram-chosen"), "doc_id")
+    def compared(rows: DataFrame) -> DataFrame:
+        rows = rows.select("band", "bi", "bj", "own", "node", "sig").repartition("band", "bi", "bj").sortWithinPartitions("band", "bi", "bj")
+        return rows.mapInArrow(tidy(near), "u long, v long")
+
+    links = written(compared(own_blocks(members, "band", "node", "blocks")), "ngram-near")
+    found = connected_components(links)
+    if buckets.where("blocks > 1").isEmpty():
+        return found
+    known = written(found, "ngram-near-components").withColumnRenamed("node", "known")
+    wide = members.where("blocks > 1").join(known, F.col("node") == F.col("known"), "left").withColumn("component", F.coalesce("component", "node"))
+    return connected_components(links.unionByName(compared(crossing_blocks(wide, "band", "node", "component", SIGNATURE_BLOCK))))
+
+
+def judged_rows(docs: DataFrame, threshold: float, n: int, recall: float, count_links: bool = True) -> DataFrame:
+    """The rows of ``ngram_join`` with the digest of their words; n_links is null without ``count_links``, which spares the
+    comparison of members that are connected already."""
+    bands = Bands(threshold, recall)
+    signed = written(sign_documents(docs, n, bands), "ngram-signatures")
+    some = signed.where("digest IS NOT NULL")
+    classes = some.groupBy("digest").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("copies"), F.first("grams").alias("grams"), F.first("keys").alias("keys"), F.first("sig").alias("sig"))
+    classes = written(classes, "ngram-classes")
+
+    likely = written(likely_components(classes, bands), "ngram-likely")
+    joined = likely.join(classes.select("node", "copies", "grams", "digest"), "node")
+    sizes = joined.groupBy("component").agg(F.greatest(blocks_for(F.count(F.lit(1)), SET_BLOCK), blocks_for(F.sum("grams") * 8, SET_BYTES)).alias("blocks"))
+    chosen = joined.join(written(sizes, "ngram-sizes"), "component")
+    chosen = small(chosen.select(F.col("node").alias("doc_id"), F.col("component").alias("cluster"), "blocks", "copies", "digest"), "ngram-chosen")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
     def gram_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "cluster", "members", "copies"]
+        names = ["doc_id", "cluster", "blocks", "copies"]
         for batch in batches:
             digests = batch.column("digest").to_pylist()
             for part in slices(batch.column("text")):
@@ -264,19 +309,36 @@ def judged_rows(docs: DataFrame, threshold: float, n: int, recall: float) -> Dat
                 own = [i for i, text in enumerate(texts_of(part)) if content_digest(text) == digests[part.first + i]]  # not another text under the same id
                 sets = [np.unique(grams[edges[i] : edges[i + 1]]).tobytes() for i in own]
                 at = pa.array([part.first + i for i in own], pa.int64())
-                yield pa.RecordBatch.from_arrays([*[batch.column(c).take(at) for c in names], pa.array(sets, pa.binary())], ["node", "cluster", "members", "copies", "grams"])
+                yield pa.RecordBatch.from_arrays([*[batch.column(c).take(at) for c in names], pa.array(sets, pa.binary())], ["node", "cluster", "blocks", "copies", "grams"])
 
-    sets = texts.select("doc_id", "cluster", "members", "copies", "digest", "text").mapInArrow(tidy(gram_sets), "node long, cluster long, members long, copies long, grams binary")
-    pairs = paired_blocks(sets, "cluster", "node", "members", SET_BLOCK).select("cluster", "bi", "bj", "own", "node", "copies", "grams")
-    pairs = pairs.repartition("cluster", "bi", "bj").sortWithinPartitions("cluster", "bi", "bj")
+    def sets_of(some: DataFrame) -> DataFrame:
+        rows = texts.join(some, "doc_id").select("doc_id", "cluster", "blocks", "copies", "digest", "text")
+        return rows.mapInArrow(tidy(gram_sets), "node long, cluster long, blocks int, copies long, grams binary")
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for groups in whole_groups(batches, ["cluster", "bi", "bj"]):
-            for found, linked, root in similar(groups, threshold):
+            for found, linked, root in similar(groups, threshold, count_links):
                 yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(linked), pa.array(root)], ["node", "linked", "root"])
 
-    links = written(pairs.mapInArrow(tidy(exact), "node long, linked long, root long"), "ngram-links")
-    component = connected_components(links.select(F.col("node").alias("u"), F.col("root").alias("v")))
+    def compared(rows: DataFrame) -> DataFrame:
+        rows = rows.select("cluster", "bi", "bj", "own", "node", "copies", "grams").repartition("cluster", "bi", "bj").sortWithinPartitions("cluster", "bi", "bj")
+        return rows.mapInArrow(tidy(exact), "node long, linked long, root long")
+
+    def components(links: DataFrame) -> DataFrame:
+        return connected_components(links.select(F.col("node").alias("u"), F.col("root").alias("v")))
+
+    if count_links:
+        links = written(compared(paired_blocks(sets_of(chosen), "node", "blocks")), "ngram-links")
+        component = components(links)
+    else:
+        links = written(compared(own_blocks(sets_of(chosen), "cluster", "node", "blocks", turns=2)), "ngram-links")
+        component = components(links)
+        if not chosen.where("blocks > 1").isEmpty():
+            known = written(component, "ngram-first").select(F.col("node").alias("known"), "component")
+            wide = sets_of(chosen.where("blocks > 1")).join(known, F.col("node") == F.col("known"), "left").withColumn("component", F.coalesce("component", "node"))
+            more = compared(crossing_blocks(written(wide, "ngram-wide"), "cluster", "node", "component", SET_BLOCK))
+            links = links.unionByName(written(more, "ngram-more"))
+            component = components(links)
     told = links.groupBy("node").agg(F.sum("linked").alias("linked")).join(component, "node").withColumnRenamed("node", "linked_node")
     told = classes.select(F.col("digest").alias("d"), "node", "copies").join(told, F.col("node") == F.col("linked_node"), "left")
     told = told.select("d", "node", F.coalesce("linked", F.lit(0)).alias("linked"), "copies", F.coalesce("component", "node").alias("component"))
@@ -285,7 +347,7 @@ def judged_rows(docs: DataFrame, threshold: float, n: int, recall: float) -> Dat
     return out.select(
         "doc_id",
         F.coalesce("node", "doc_id").alias("class_id"),
-        F.coalesce(F.col("linked") + F.col("copies") - 1, F.lit(0)).cast("long").alias("n_links"),
+        (F.coalesce(F.col("linked") + F.col("copies") - 1, F.lit(0)) if count_links else F.lit(None)).cast("long").alias("n_links"),
         component_id.alias("component_id"),
         F.coalesce(F.col("doc_id") == component_id, F.lit(True)).alias("kept"),
         "digest",
@@ -305,8 +367,13 @@ def with_digests(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, threshold: float = 0.8, n: int = 5, recall: float = 0.99999) -> DataFrame:
-    """The rows of ``docs`` that ``ngram_join`` keeps, with all their columns; of rows that repeat an id and text, one."""
-    judged = written(judged_rows(docs, threshold, n, recall), "ngram-judged")
+    """The rows of ``docs`` that ``ngram_join`` keeps, with all their columns, whatever their names.
+
+    Of rows that repeat an id and text, one stays; where an id has several texts only the rows judged copies go. Texts
+    without words (null, empty) and rows without an id stay; very long texts are compared whole; an empty table gives no
+    rows. Which of a group stays does not depend on its size or order: the smallest id.
+    """
+    judged = written(judged_rows(docs, threshold, n, recall, count_links=False), "ngram-judged")
     gone = judged.where(~F.col("kept")).select(F.col("doc_id").alias("gone"), F.col("digest").alias("words")).distinct()
     if judged.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").limit(1).count():
         out = docs.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id", "text"]).unionByName(docs.where(F.col("doc_id").isNull()))

@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from sparkloom.llm import embedding_dedup, ngram_join
+from sparkloom.llm import blocks, embedding_dedup, ngram_join
 from sparkloom.llm.components import connected_components, spanning_labels
 
 from . import cases
@@ -121,18 +121,27 @@ def corpus(spark):
     return cases.documents(spark, extra)
 
 
+def small_blocks(monkeypatch, block):
+    if block:
+        for name in ("SIGNATURE_BLOCK", "SET_BLOCK", "PART"):
+            monkeypatch.setattr(ngram_join, name, block)
+        monkeypatch.setattr(ngram_join, "SET_BYTES", 4000 * block)
+
+
 @pytest.mark.parametrize("block", [None, 8])
 def test_join_equals_brute_force(spark, monkeypatch, block):
-    if block:
-        monkeypatch.setattr(ngram_join, "SIGNATURE_BLOCK", block)
-        monkeypatch.setattr(ngram_join, "SET_BLOCK", block)
+    small_blocks(monkeypatch, block)
     docs = corpus(spark)
     rows = [(r.doc_id, r.text) for r in docs.collect()]
+    want = brute_join(rows)
     got = ngram_join.ngram_join(docs).select("doc_id", "n_links", "component_id", "kept").collect()
-    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, brute_join(rows)))
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
+    connected = ngram_join.judged_rows(docs, 0.8, 5, 0.99999, count_links=False).select("doc_id", "component_id", "kept").collect()
+    assert sorted(map(repr, map(tuple, connected))) == sorted(repr((d, c, k)) for d, _, c, k in want)
 
 
-def test_one_of_each_group_stays(spark):
+def test_one_of_each_group_stays(spark, monkeypatch):
+    small_blocks(monkeypatch, 8)
     docs = corpus(spark)
     out = ngram_join.one_of_each(docs)
     assert out.schema.simpleString() == docs.schema.simpleString()
@@ -142,6 +151,22 @@ def test_one_of_each_group_stays(spark):
         assert job(cases.empty(spark)).count() == 0
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_crossing_blocks_bring_all_components_together(spark, seed):
+    rng = random.Random(seed)
+    rows = [(g, k, rng.choice([0, 0, 0, 1, 2, 3])) for g in range(4) for k in range(rng.randint(1, 60))] + [(9, k, 5) for k in range(30)]
+    tasks = blocks.crossing_blocks(spark.createDataFrame(rows, "g long, k long, c long"), "g", "k", "c", 8).collect()
+    met = set()
+    held = {}
+    for r in tasks:
+        held.setdefault((r.g, r.bi, r.bj), []).append(r)
+    for (g, bi, bj), members in held.items():
+        met |= {(g, min(x.k, y.k), max(x.k, y.k)) for x in members if x.own == bi for y in members if y.own == bj}
+    component = {(g, k): c for g, k, c in rows}
+    want = {(g, a, b) for g, a in component for h, b in component if g == h and a < b and component[g, a] != component[g, b]}
+    assert want <= met and not any(g == 9 for g, _, _ in met)
+
+
 def test_texts_under_one_id_are_each_judged(spark):
     texts = near_copies(9, 2, 100, 1)
     docs = spark.createDataFrame([(1, texts[0]), (1, cases.prose(10, 90)), (2, texts[1])], "doc_id long, text string")
