@@ -15,10 +15,13 @@ from .components import connected_components, spanning_labels
 from .shared import written
 from .tokens import group_edges, tidy, whole_groups
 
-#: The cells are fitted on so many distinct vectors, the first by hash; every vector is assigned.
-SAMPLE, ROUNDS, MOST_CELLS = 20_000, 8, 4096
-#: Vectors meant for a cell, vectors in a block of it, and visitors that meet a block in one task.
-CELL, BLOCK, GUESTS = 2048, 2048, 16_384
+#: The cells are fitted on distinct vectors, the first by hash, of so many components at most; every vector is assigned.
+SAMPLE_VALUES, ROUNDS, MOST_CELLS = 1 << 22, 8, 4096
+#: Vectors meant for a cell. On vectors without clusters the cells that a vector visits grow faster with their number than
+#: the products within a cell fall, so cells are large.
+CELL = 8192
+#: Vectors in a block of a cell and visitors that meet a block in one task, at most, and components of either.
+BLOCK, GUESTS, BLOCK_VALUES = 16_384, 16_384, 1 << 21
 SLACK = 1e-6
 
 
@@ -130,15 +133,16 @@ def link_cells(table: pa.Table, dim: int, centres: np.ndarray, least: float) ->
         yield g["node"][some], linked[some].astype(np.int64), g["node"][order][root[place[some]]]
 
 
-def cell_tasks(placed: DataFrame) -> DataFrame:
+def cell_tasks(placed: DataFrame, dim: int) -> DataFrame:
     """Each vector once for every task that needs it: its cell's own blocks in pairs, and each own block with each block of
     visitors. Visitors are not compared with each other.
     """
     guest = F.col("cell") != F.col("home")
     sizes = placed.groupBy("cell").agg(F.count_if(~guest).alias("own_members"), F.count_if(guest).alias("guest_members")).where("own_members > 0")
     rows = placed.join(F.broadcast(sizes), "cell")  # one row per cell: at most MOST_CELLS
-    blocks = blocks_for(F.col("own_members"), BLOCK)
-    halls = F.ceil(F.col("guest_members") / F.lit(GUESTS)).cast("int")
+    bound = max(1, BLOCK_VALUES // dim)
+    blocks = blocks_for(F.col("own_members"), min(BLOCK, bound))
+    halls = F.ceil(F.col("guest_members") / F.lit(min(GUESTS, bound))).cast("int")
     block = block_of(F.col("node"), blocks)
     hall = block_of(F.col("node"), F.greatest(halls, F.lit(1))) + 1
     inside = F.transform(F.sequence(F.lit(0), blocks - 1), lambda o: F.struct(F.least(block, o).alias("bi"), F.greatest(block, o).alias("bj")))
@@ -169,8 +173,8 @@ def near_duplicates(vectors: DataFrame, least: float = 0.95, cells: int | None =
     classes = keyed.where("h1 IS NOT NULL").groupBy("h1", "h2").agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("copies"), F.first("embedding").alias("embedding"))
     classes = written(classes, "vector-classes")
     count, dim = classes.agg(F.count(F.lit(1)), F.max(F.size("embedding"))).first()
-    sample = classes.orderBy(F.xxhash64("h1"), "h2").limit(SAMPLE).select("embedding").toArrow()
     dim = dim or 1
+    sample = classes.orderBy(F.xxhash64("h1"), "h2").limit(max(1, SAMPLE_VALUES // dim)).select("embedding").toArrow()
     k = cells or min(MOST_CELLS, max(1, ceil(count / CELL)))
     centres = spherical_kmeans(unit_rows(sample.column(0), dim), k)
     reach = sqrt(max(0.0, 2 - 2 * least))
@@ -189,7 +193,7 @@ def near_duplicates(vectors: DataFrame, least: float = 0.95, cells: int | None =
 
     schema = f"cell long, home long, margin double, node long, copies long, embedding {kind}"
     placed = written(classes.select("node", "copies", "embedding").mapInArrow(tidy(assign), schema), "vector-cells")
-    tasks = cell_tasks(placed).repartition("cell", "bi", "bj").sortWithinPartitions("cell", "bi", "bj")
+    tasks = cell_tasks(placed, dim).repartition("cell", "bi", "bj").sortWithinPartitions("cell", "bi", "bj")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for groups in whole_groups(batches, ["cell", "bi", "bj"]):
