@@ -29,7 +29,8 @@ HELD = 2_000_000
 CLOSING = separators(b".,;:!?")
 WIDE = separators(bytes(range(128, 256)))
 LN10 = float(np.log(10))
-PARTS = 16
+#: So many models are averaged by one task, and so many averages again.
+RADIX = 64
 
 
 def fold_of(doc_id) -> int:
@@ -286,7 +287,8 @@ def contexts(word: np.ndarray, edges: np.ndarray, start: int) -> tuple[np.ndarra
 
 def trained(docs: DataFrame, vocabulary: Vocabulary) -> LogBilinear:
     """The model after a pass over all training texts: each partition trains from the same start on its own texts, and each
-    row is averaged by how often partitions trained it. What comes to the driver does not grow with the number of partitions.
+    row is averaged by how often partitions trained it, RADIX models at a time and then RADIX averages. What a task holds
+    and what comes to the driver does not grow with the number of partitions (up to RADIX**3 of them).
     """
     model = LogBilinear(vocabulary.output_counts, depth=DEPTH)
     schema = "part int, kind int, block int, pid int, at binary, weights binary, vals binary"
@@ -306,7 +308,7 @@ def trained(docs: DataFrame, vocabulary: Vocabulary) -> LogBilinear:
                 pick = pick[rng.permutation(len(pick))]
                 own.train(one[pick], two[pick], word[pick], rng, squares)
         for kind, block, at, weights, values in own.records():
-            row = [pid % PARTS, kind, block, pid, at.astype(np.int32).tobytes(), weights.astype(np.float64).tobytes(), values.astype(np.float32).tobytes()]
+            row = [pid // RADIX, kind, block, pid, at.astype(np.int32).tobytes(), weights.astype(np.float64).tobytes(), values.astype(np.float32).tobytes()]
             kinds = [pa.int32()] * 4 + [pa.binary()] * 3
             yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, kinds, strict=True)], ["part", "kind", "block", "pid", "at", "weights", "vals"])
 
@@ -322,9 +324,11 @@ def trained(docs: DataFrame, vocabulary: Vocabulary) -> LogBilinear:
         at = np.flatnonzero(weight)
         values = (total[at] / weight[at][:, None]).astype(np.float32)
         first = pdf.iloc[:1]
-        return type(pdf)({"part": first["part"], "kind": first["kind"], "block": first["block"], "pid": first["pid"], "at": [at.astype(np.int32).tobytes()], "weights": [weight[at].tobytes()], "vals": [values.tobytes()]})
+        return type(pdf)({"part": first["part"] // RADIX, "kind": first["kind"], "block": first["block"], "pid": first["pid"], "at": [at.astype(np.int32).tobytes()], "weights": [weight[at].tobytes()], "vals": [values.tobytes()]})
 
-    parts = docs.mapInArrow(tidy(run), schema).groupBy("part", "kind", "block").applyInPandas(average, schema)
+    parts = docs.mapInArrow(tidy(run), schema)
+    for _ in range(2):
+        parts = parts.groupBy("part", "kind", "block").applyInPandas(average, schema)
     for r in parts.groupBy("kind", "block").applyInPandas(average, schema).collect():  # one model
         at = np.frombuffer(r["at"], np.int32)
         model.take(r["kind"], r["block"], at, np.frombuffer(r["vals"], np.float32).reshape(len(at), -1))
