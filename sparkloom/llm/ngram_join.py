@@ -19,7 +19,7 @@ from .shared import written
 from .tokens import PLAIN, SPACE, Slice, bounds, group_edges, mix, slices, span_hashes, tidy, whole_groups
 
 #: Members of a block when signatures and when whole sets are compared, and bytes of the latter.
-SIGNATURE_BLOCK, SET_BLOCK, SET_BYTES = 4096, 2048, 32 << 20
+SIGNATURE_BLOCK, SET_BLOCK, SET_BYTES = 4096, 512, 32 << 20
 #: Members of either side of one product within a block.
 PART = 256
 #: Rows of ids, with what is known of them, that are broadcast to the texts; more are joined by a shuffle of both.
