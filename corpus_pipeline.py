@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkloom.llm import mixing, ngram_join, packing, quality, shared, toxicity
+from sparkloom import store
+from sparkloom.llm import mixing, ngram_join, packing, quality, toxicity
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -50,5 +51,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, folder: str) -> DataFrame:
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     for n, (_, stage) in enumerate(STAGES):
-        docs = shared.written(stage(spark, docs, folder), f"stage-{n}")
+        docs = store.written(stage(spark, docs, folder), f"stage-{n}")
     return docs
