@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import drop_path, scratch_path, written
+from ..store import drop_path, scratch_path, written
 
 
 #: A node's links are dealt over so many tasks by their other ends.

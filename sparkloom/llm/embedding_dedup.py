@@ -10,9 +10,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..store import written
 from .blocks import block_of, blocks_for
 from .components import connected_components, spanning_labels
-from .shared import written
 from .tokens import group_edges, tidy, whole_groups
 
 #: The cells are fitted on distinct vectors, the first by hash, of so many components at most; every vector is assigned.

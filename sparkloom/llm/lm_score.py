@@ -13,7 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import written
+from ..store import written
 from .tokens import LOWER, SLICE, SPACE, Slice, mix, separators, slices, span_hashes, tidy
 
 FOLDS, HELD_OUT = 7, 2

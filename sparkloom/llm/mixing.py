@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import free_prefix, written
+from ..store import free_prefix, numbered, written
 
 #: Bits of a hash, refined so many bits at a time: a source has at most 2**LEVEL_BITS buckets in a pass.
 HASH_BITS, LEVEL_BITS = 60, 10
@@ -30,18 +30,6 @@ def text_hash(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit(""))).bitwiseAND(F.lit((1 << HASH_BITS) - 1))
 
 
-def placed(rows: DataFrame, order: Column) -> DataFrame:
-    """``rows`` with ``place``, from 0 in this order: counted by ranges of it, so no task holds all rows."""
-    parted = rows.repartitionByRange(order).sortWithinPartitions(order).withColumn("at", F.monotonically_increasing_id())
-    parted = written(parted.withColumns({"part": F.shiftright("at", 33), "at": F.col("at").bitwiseAND(F.lit((1 << 33) - 1))}), "mix-sources")
-    before, start = [], 0
-    for part, n in sorted((r[0], r[1]) for r in parted.groupBy("part").count().collect()):  # at most one row per partition
-        before += [0] * (part - len(before)) + [start]
-        start += n
-    starts = F.array(*map(F.lit, before or [0]))
-    return parted.withColumn("place", F.element_at(starts, F.col("part").cast("int") + 1) + F.col("at")).drop("part", "at")
-
-
 def water_level(caps: DataFrame, total: float) -> tuple[float, float]:
     """(ratio, level) for rows (cap, w): the least ratio cap / w that is no less than what is left for it by weight, and that.
 
@@ -77,7 +65,7 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most:
     Sources stand in code point order, null last. A target stops at ``most`` times its source's size; the excess is
     dealt again by weight until none is above, which is the level at which the sorted caps cross their share.
     """
-    ranked = placed(sizes.select("source", "source_size"), F.col("source").asc_nulls_last())
+    ranked = numbered(sizes.select("source", "source_size"), F.col("source").asc_nulls_last())
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.pmod("place", F.lit(len(weights))) + 1).cast("int"))
     caps = ranked.select("source", "source_size", weight.alias("w"), (F.col("source_size") * F.lit(most)).cast("double").alias("cap"))
     ratio, level = water_level(caps, (sizes.agg(F.sum("source_size")).first()[0] or 0) * share)

@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
+from ..store import written
 from .blocks import blocks_for, crossing_blocks, own_blocks, paired_blocks
 from .components import connected_components, spanning_labels
-from .shared import written
 from .tokens import PLAIN, SPACE, Slice, bounds, group_edges, mix, slices, span_hashes, tidy, whole_groups
 
 #: Members of a block when signatures and when whole sets are compared, and bytes of the latter.

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import written
+from ..store import written
 from .tokens import KEPT, tidy
 
 #: Words and stems of words whose ids a worker remembers; the memory is emptied when it is full.

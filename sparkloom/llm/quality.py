@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import written
+from ..store import written
 from .tokens import PLAIN, SPACE, Slice, bounds, mix, separators, slices, span_hashes, tidy
 
 SYMBOLS = separators(b"#*$%&|<>")

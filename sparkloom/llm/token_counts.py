@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import scratch_path, written
+from ..store import scratch_path, written
 from .tokens import tidy
 
 SCHEMA = "content_digest binary, tokenizer_digest string, n_tokens long"

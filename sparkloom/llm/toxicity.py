@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import written
+from ..store import written
 from .tokens import LOWER, NOT_ALNUM, SLICE, Slice, bounds, give_back, mix, slices, span_hashes, tidy
 
 FOLDS, HELD_OUT = 5, 0
