@@ -8,10 +8,13 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..lexicon import JOINED_WORDS, MISREAD_PAIRS, VOICE, folded_letters
+from ..lexicon import JOINED_WORDS, MISREAD_PAIRS, TWICE_MISREAD, VOICE, folded_letters
 
+# Chunk markers and white space. Groups repeat possessively or a fixed number of times in all patterns here:
+# others are matched by recursion, which long texts would drive too deep.
 MARKER = "\\[[^\\]]+-chunk-\\d{4,}\\]"
 WHITE = "[\\s\\x1c-\\x1f]"
+SENTENCE_END = "[.!?](?:\\s+|$)"
 
 
 def text(c: Column) -> Column:
@@ -25,9 +28,14 @@ def sub(c: Column, *rules: tuple[str, str]) -> Column:
     return c
 
 
+def bound(value: Column, body) -> Column:
+    """``body`` of ``value``, which is computed once however often the body and its inner functions use it."""
+    return F.get(F.transform(F.array(value), lambda x: body(x)), F.lit(0))
+
+
 def strip(c: Column) -> Column:
     """Without white space, Unicode's included, at both ends."""
-    return F.regexp_replace(c, f"(?U)^{WHITE}+|{WHITE}+$", "")
+    return F.regexp_replace(c, f"(?U)^{WHITE}++|(?<!{WHITE}){WHITE}++$", "")
 
 
 def collapse_space(c: Column) -> Column:
@@ -35,11 +43,14 @@ def collapse_space(c: Column) -> Column:
     return strip(sub(text(c), ("\\r\\n?", "\n"), ("[ \\t]+", " "), ("\\n{3,}", "\n\n")))
 
 
-def repair_encoding(c: Column) -> Column:
-    c = text(c)
-    for bad, good in MISREAD_PAIRS:
+def replaced(c: Column, pairs: tuple[tuple[str, str], ...]) -> Column:
+    for bad, good in pairs:
         c = F.replace(c, F.lit(bad), F.lit(good))
-    return F.regexp_replace(c, "[\\x01-\\x08\\x0b\\x0c\\x0e-\\x1f\\x7f]", "")
+    return c
+
+
+def repair_encoding(c: Column) -> Column:
+    return F.regexp_replace(replaced(text(c), MISREAD_PAIRS), "[\\x01-\\x08\\x0b\\x0c\\x0e-\\x1f\\x7f]", "")
 
 
 def fold(c: Column) -> Column:
@@ -66,27 +77,46 @@ def repair_joined_words(c: Column) -> Column:
     return sub(c, *((f"(?iU)\\b{joined}\\b", apart) for joined, apart in JOINED_WORDS))
 
 
+# A line that is only a heading of a closing section.
+TAIL_HEADING = "(?imd)^\\s*(?:references|bibliography|code availability|data availability|acknowledgements|acknowledgments)\\s*$"
+
+
 def drop_tail_sections(c: Column) -> Column:
-    """Cut at the first line that is only a heading of references and the like, if it begins after a fifth of the text."""
-    heading = "(?:references|bibliography|code availability|data availability|acknowledgements|acknowledgments)"
-    rest = F.regexp_extract_all(c, F.lit(f"(?im)^\\s*{heading}\\s*$"), F.lit(0))
-    state = F.struct(F.lit(1).cast("int").alias("at"), F.lit(0).cast("int").alias("cut"))
+    """Cut at the first line that is only a heading of references and the like, if it begins after a fifth of the text.
+
+    Lines are found where they stand: what lies between them and they themselves add up to their places.
+    """
+
+    def cut(t: Column) -> Column:
+        between, lines = F.split(t, TAIL_HEADING, -1), F.regexp_extract_all(t, F.lit(TAIL_HEADING), F.lit(0))
+        none = F.struct(F.lit(0).alias("at"), F.lit(-1).alias("cut"))
 
-    def step(acc: Column, found: Column) -> Column:
-        place = F.call_function("locate", found, c, acc["at"])
-        hit = (acc["cut"] == 0) & (place - 1 > F.length(c) * 0.2)
-        return F.struct((place + 1).cast("int").alias("at"), F.when(hit, place).otherwise(acc["cut"]).cast("int").alias("cut"))
+        def step(acc: Column, x: Column) -> Column:
+            place = acc["at"] + F.coalesce(F.length(x["between"]), F.lit(0))
+            hit = (acc["cut"] < 0) & x["line"].isNotNull() & (place > F.length(t) * 0.2)
+            return F.struct((place + F.coalesce(F.length(x["line"]), F.lit(0))).alias("at"), F.when(hit, place).otherwise(acc["cut"]).alias("cut"))
 
-    cut = F.aggregate(rest, state, step)["cut"]
-    return F.when(cut > 0, F.substring(c, F.lit(1), cut - 1)).otherwise(c)
+        found = F.aggregate(F.arrays_zip(between.alias("between"), lines.alias("line")), none, step)["cut"]
+        return F.when(t.rlike(TAIL_HEADING), bound(found, lambda at: F.when(at >= 0, F.substring(t, F.lit(1), at)).otherwise(t))).otherwise(t)
 
+    return bound(c, cut)
 
+
+# Traces of pictures, breaks, tags and cut words, and what stands for them.
 PICTURE = ("(?i)==\\s*picture\\s+\\d+\\s+x\\s+\\d+\\s+intentionally omitted\\s*<==", " ")
 BREAK = ("(?i)<\\s*br\\b\\s*/?\\s*>?", " ")
 TAG = ("<[^>]+>", " ")
 HYPHEN = ("(?U)(\\w)-\\s+(\\w)", "$1$2")
 
 
+# A number between white space; a row of words between slashes; lines of four numbers or more.
+NUMBER = "[-+]?(?:\\d++(?:\\.\\d++)?|\\.\\d++)"
+SLASHED = ("(?U)\\b\\w+\\b\\s*/\\s*\\b\\w+\\b\\s*/\\s*\\w+\\b(?:\\s*/\\s*\\w+\\b)*+", " ")
+REST_OF_LINE = f"(?:[^\\S\\n]++{NUMBER})*+[^\\S\\n]*+$"
+AFTER_BLANK_LINE = "(?<!\\n[^\\S\\n]{0,100}\\n)"  # what begins at a blank line begins at the first of several
+NUMBER_LINES = (f"(?md)^{AFTER_BLANK_LINE}(?=\\s*+{NUMBER}(?:\\s++{NUMBER}){{3}}{REST_OF_LINE})\\s*+{NUMBER}{REST_OF_LINE}(?:\\s++{NUMBER}{REST_OF_LINE})*+\\s*$", " ")
+
+
 def lone_numbers(least: int) -> tuple[str, str]:
     return (f"(?<![A-Za-z/.\\d-])\\b\\d{{{least},3}}\\b(?![A-Za-z/.\\d%-])", " ")
 
@@ -94,7 +124,7 @@ def lone_numbers(least: int) -> tuple[str, str]:
 def clean_markup(c: Column) -> Column:
     """Without markup, links, lone numbers, slash tables, rows of numbers and closing sections."""
     c = sub(
-        text(c),
+        replaced(text(c), TWICE_MISREAD),
         PICTURE,
         BREAK,
         TAG,
@@ -103,15 +133,15 @@ def clean_markup(c: Column) -> Column:
         ("\\[\\[\\d+\\]\\]", " "),
         lone_numbers(1),
         ("[~`*_#>{}\\[\\]|]+", " "),
-        ("(?U)(?:\\b\\w+\\b\\s*/\\s*){2,}\\w+\\b", " "),
-        ("(?m)^\\s*[-+]?\\d*\\.?\\d+(?:\\s+[-+]?\\d*\\.?\\d+){3,}\\s*$", " "),
+        SLASHED,
+        NUMBER_LINES,
     )
     return collapse_space(drop_tail_sections(repair_joined_words(c)))
 
 
 def clean_generated(c: Column) -> Column:
     """Questions and answers without extraction traces, the first letter in upper case."""
-    c = collapse_space(repair_joined_words(sub(text(c), PICTURE, BREAK, TAG, HYPHEN, lone_numbers(2))))
+    c = collapse_space(repair_joined_words(sub(replaced(text(c), TWICE_MISREAD), PICTURE, BREAK, TAG, HYPHEN, lone_numbers(2))))
     return F.concat(F.upper(F.substring(c, 1, 1)), F.substring(c, F.lit(2), F.length(c)))
 
 
@@ -138,6 +168,10 @@ def last_index(c: Column, char: str) -> Column:
 def truncate(c: Column, limit: Column | int) -> Column:
     """At most ``limit`` characters, cut after the last sentence or line end past three fifths of it."""
     limit = F.lit(limit) if isinstance(limit, int) else limit
+    return bound(c, lambda whole: _truncated(whole, limit))
+
+
+def _truncated(c: Column, limit: Column) -> Column:
     part = F.substring(c, F.lit(1), limit)
     back = F.instr(F.reverse(part), " .")
     sentence = F.when(back > 0, F.length(part) - back - 1).otherwise(F.lit(-1))
@@ -152,13 +186,27 @@ def at_word(c: Column, limit: Column | int) -> Column:
     return F.rtrim(F.when(space > F.floor(limit * 0.6), F.substring(part, F.lit(1), space)).otherwise(part), F.lit(" ,;:"))
 
 
-def excerpt(c: Column, limit: int) -> Column:
+def excerpt(c: Column, limit: Column | int) -> Column:
     """A cleaned beginning of at most ``limit`` characters that does not end inside a word."""
+    limit = F.lit(limit) if isinstance(limit, int) else limit
     cleaned = clean_context(c)
     short = strip(truncate(cleaned, limit))
     return F.when(F.length(cleaned) <= limit, cleaned).when(~short.rlike("(?U)\\w$"), F.rtrim(short, F.lit(" ,;:"))).otherwise(at_word(cleaned, limit))
 
 
+def context_fallback(c: Column, most: int = 700) -> Column:
+    """A readable beginning of a context: to the first sentence end after 80 characters, else to a word's end."""
+    clean = strip(F.regexp_replace(collapse_space(c), "^" + MARKER + "\\s*", ""))
+    part = F.substring(clean, F.lit(1), F.lit(most))
+    sentence = strip(F.regexp_extract(part, f"^((?s:.){{78,}}?{SENTENCE_END})", 1))
+    return F.when(F.length(clean) <= most, clean).when(sentence != "", sentence).otherwise(at_word(clean, most))
+
+
+def now_iso() -> Column:
+    """The time of the query in UTC, as ISO text."""
+    return F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
+
+
 def paper_voice(c: Column) -> Column:
     """Answers that open in the authors' voice, in the paper's."""
     out = c

@@ -6,12 +6,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..lexicon import STOPWORDS
+from .text import bound as let
 from .text import collapse_space, fold, text
 
 
-def let(value: Column, body) -> Column:
-    """``body`` of ``value``, which is computed once however often the body and its inner functions use it."""
-    return F.get(F.transform(F.array(value), lambda x: body(x)), F.lit(0))
+# Words of several kinds, and where sentences are told apart.
+CONTENT_WORD = "[A-Za-zÀ-ÿ]{4,}"
+TERM, PHRASE = "[A-Za-z][A-Za-z-]{3,}", "[A-Za-z]+(?:-[A-Za-z]+)+"
+ANSWER_TOKEN = "[A-Za-zÀ-ÿ0-9]{3,}"
+KEYWORD = "[A-Za-zÀ-ÿ][A-Za-zÀ-ÿ0-9_-]{3,}"
+NEXT_SENTENCE = "(?<=[.!?])\\s+(?=[\"'(\\[]?[A-Z0-9])"
 
 
 def is_in(values):
@@ -20,10 +24,6 @@ def is_in(values):
     return lambda t: t.isin(fixed)
 
 
-def words(values: list[str] | tuple[str, ...]) -> Column:
-    return F.array(*[F.lit(v) for v in values])
-
-
 def found(c: Column, pattern: str) -> Column:
     return F.regexp_extract_all(c, F.lit(pattern), F.lit(0))
 
@@ -34,7 +34,7 @@ def without(tokens: Column, dropped: list[str] | tuple[str, ...]) -> Column:
 
 def content_words(c: Column) -> Column:
     """Folded words of four letters or more that are no stop words, repeats included."""
-    return without(found(fold(c), "[A-Za-zÀ-ÿ]{4,}"), STOPWORDS)
+    return without(found(fold(c), CONTENT_WORD), STOPWORDS)
 
 
 def content_terms(c: Column) -> Column:
@@ -44,7 +44,7 @@ def content_terms(c: Column) -> Column:
 def terms(c: Column) -> Column:
     """Distinct folded words of four signs or more, hyphens allowed, without stop words, and all hyphenated phrases."""
     folded = fold(c)
-    return F.array_union(without(found(folded, "[A-Za-z][A-Za-z-]{3,}"), STOPWORDS), found(folded, "[A-Za-z]+(?:-[A-Za-z]+)+"))
+    return F.array_union(without(found(folded, TERM), STOPWORDS), found(folded, PHRASE))
 
 
 def pairs(tokens: Column) -> Column:
@@ -59,7 +59,7 @@ def pairs(tokens: Column) -> Column:
 
 
 def answer_tokens(c: Column) -> Column:
-    return found(F.lower(text(c)), "[A-Za-zÀ-ÿ0-9]{3,}")
+    return found(F.lower(text(c)), ANSWER_TOKEN)
 
 
 def answer_pairs(c: Column) -> Column:
@@ -67,7 +67,7 @@ def answer_pairs(c: Column) -> Column:
 
 
 def question_pairs(c: Column) -> Column:
-    return pairs(without(found(F.lower(text(c)), "[A-Za-zÀ-ÿ]{4,}"), STOPWORDS))
+    return pairs(without(found(F.lower(text(c)), CONTENT_WORD), STOPWORDS))
 
 
 def overlap(a: Column, b: Column) -> Column:
@@ -81,7 +81,7 @@ def keywords(c: Column, k: int = 8) -> Column:
 
     One array expression per text: no shuffle, and nothing that grows beyond the text.
     """
-    tokens = without(found(F.lower(text(c)), "[A-Za-zÀ-ÿ][A-Za-zÀ-ÿ0-9_-]{3,}"), STOPWORDS)
+    tokens = without(found(F.lower(text(c)), KEYWORD), STOPWORDS)
 
     def ranked(ordered: Column) -> Column:
         n = F.size(ordered)
@@ -106,7 +106,7 @@ def cosine(a: Column, b: Column) -> Column:
 def sentences(c: Column) -> Column:
     """Sentences of a text, split before a capital or digit; those that end in . ! ? or a bracket."""
     flat = F.replace(collapse_space(c), F.lit("\n"), F.lit(" "))
-    parts = F.transform(F.split(flat, "(?<=[.!?])\\s+(?=[\"'(\\[]?[A-Z0-9])"), F.trim)
+    parts = F.transform(F.split(flat, NEXT_SENTENCE), F.trim)
     return F.filter(parts, lambda s: s.rlike("[.!?)]$"))
 
 

@@ -54,9 +54,41 @@ JOINED_WORDS = (
     ("pricebased", "price-based"),
     ("timeseries", "time-series"),
 )
-# Characters that a wrong decoding as Windows-1252 doubles, and the one exception to that rule.
-MISREAD = "–—“‘’θαβγδσμλ∈∑√≤≥±·"
-MISREAD_PAIRS = tuple((c.encode().decode("cp1252"), c) for c in MISREAD) + (("â€Ž", "”"), (" ", " "), ("\u0000", ""))
+# What a wrong decoding as Windows-1252 makes of characters, in the order of replacement.
+MISREAD_PAIRS = (
+    ("â€“", "–"),
+    ("â€”", "—"),
+    ("â€œ", "“"),
+    ("â€Ž", "”"),
+    ("â€˜", "‘"),
+    ("â€™", "’"),
+    ("Î¸", "θ"),
+    ("Î±", "α"),
+    ("Î²", "β"),
+    ("Î³", "γ"),
+    ("Î´", "δ"),
+    ("Ïƒ", "σ"),
+    ("Î¼", "μ"),
+    ("Î»", "λ"),
+    ("âˆˆ", "∈"),
+    ("âˆ‘", "∑"),
+    ("âˆš", "√"),
+    ("â‰¤", "≤"),
+    ("â‰¥", "≥"),
+    ("Â±", "±"),
+    ("Â·", "·"),
+    ("\u00a0", " "),
+    ("\u0000", ""),
+)
+# What decoding wrongly twice makes of dashes and quotes, in the order of replacement.
+TWICE_MISREAD = (
+    ("Ã¢â‚¬â€", " - "),
+    ("Ã¢â‚¬â€œ", " - "),
+    ("Ã¢â‚¬Ëœ", "'"),
+    ("Ã¢â‚¬â„¢", "'"),
+    ('Ã¢â‚¬Å"', '"'),
+    ("Ã¢â‚¬Â", '"'),
+)
 # Signs of such text that was not repaired.
 MISREAD_PATTERN = "â€|Î[¸±²³´µ¼»]|Ïƒ|âˆˆ|Ã¢"
 # Openings of answers in the authors' voice and their replacement.
@@ -65,8 +97,15 @@ VOICE = (
     ("Our results ", "The paper's results "),
     ("Our study ", "The study "),
     ("Our paper ", "The paper "),
-    *((f"We {verb} ", f"The paper {verb}s ") for verb in ("analyze", "analyse", "evaluate", "examine", "find", "show", "propose", "present")),
     ("We assess ", "The paper assesses "),
+    ("We analyze ", "The paper analyzes "),
+    ("We analyse ", "The paper analyses "),
+    ("We evaluate ", "The paper evaluates "),
+    ("We examine ", "The paper examines "),
+    ("We find ", "The paper finds "),
+    ("We show ", "The paper shows "),
+    ("We propose ", "The paper proposes "),
+    ("We present ", "The paper presents "),
 )
 # Item, gate, judge and retrieval enumerations.
 TYPES = ("factual", "conceptual", "inference", "compare", "definition")

@@ -5,38 +5,49 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import collapse_space, fold, last_index, strip, text, truncate
+from ..functions.text import collapse_space, last_index, strip, text, truncate
 from ..functions.tokens import found, is_in, let
-from ..lexicon import LANGUAGES
+from ..lexicon import LANGUAGES, folded_letters
 
 
 def chunk_array(raw: Column, size: int = 3500, overlap: int = 350) -> Column:
     """Chunks of a text: windows of ``size`` characters every ``size - overlap``, cut at white space where a word would
-    be split late in the window, stripped, those of 120 characters or more."""
+    be split late in the window, stripped, those of 120 characters or more.
+
+    The text is cut into steps in one pass, and a window is put together from the steps that it covers, so the work grows
+    with the text and not with its square.
+    """
     step = max(1, size - overlap)
+    reach = -(-(size + 1) // step)
 
-    def windows(clean: Column) -> Column:
+    def windows(clean: Column, steps: Column) -> Column:
         n = F.length(clean)
         last = F.greatest(F.ceil((n - size) / F.lit(step)), F.lit(0).cast("long")).cast("int")
 
         def window(k: Column) -> Column:
-            start = k * step
-            part = F.substring(clean, start + 1, F.lit(size))
-            inside = (start + size < n) & F.substring(clean, start + size, F.lit(1)).rlike("[\\p{L}\\p{N}]") & F.substring(clean, start + size + 1, F.lit(1)).rlike("[\\p{L}\\p{N}]")
+            covered = F.array_join(F.slice(steps, k + 1, reach), "")
+            part = F.substring(covered, F.lit(1), F.lit(size))
+            inside = (k * step + size < n) & F.substring(covered, size, 2).rlike("^[\\p{L}\\p{N}]{2}$")
             edge = last_index(F.translate(part, "\n", " "), " ")
             return strip(F.when(inside & (edge >= max(step, int(size * 0.6))), F.substring(part, F.lit(1), edge)).otherwise(part))
 
         return F.filter(F.transform(F.sequence(F.lit(0), last), window), lambda c: F.length(c) >= 120)
 
-    return let(collapse_space(raw), windows)
+    return let(collapse_space(raw), lambda clean: windows(clean, found(clean, f"(?s).{{1,{step}}}")))
+
 
+def chunk_documents(docs: DataFrame, size: int = 3500, overlap: int = 350, most: int | None = None, document: str = "doc_id", raw: str = "text", counted: bool = False, stem: str | None = None) -> DataFrame:
+    """(document, chunk_id, chunk_index, text); chunk_id is ``{stem}-chunk-{0000}``, by default of the document. One pass, no shuffle.
 
-def chunk_documents(docs: DataFrame, size: int = 3500, overlap: int = 350, most: int | None = None, document: str = "doc_id", raw: str = "text") -> DataFrame:
-    """(document, chunk_id, chunk_index, text); chunk_id is ``{document}-chunk-{0000}``. One pass, no shuffle."""
+    With ``counted`` also chunk_count, the document's chunks, so that nobody has to count them by a shuffle.
+    """
     chunks = chunk_array(F.col(raw), size, overlap)
     chunks = chunks if most is None else F.slice(chunks, 1, most)
-    rows = docs.select(F.col(document).cast("string").alias("document"), F.posexplode(chunks).alias("chunk_index", "text"))
-    return rows.select("document", F.format_string("%s-chunk-%04d", "document", "chunk_index").alias("chunk_id"), "chunk_index", "text")
+    columns = ["document", F.format_string("%s-chunk-%04d", "stem", "chunk_index").alias("chunk_id"), "chunk_index", "text"]
+    rows = docs.select(F.col(document).cast("string").alias("document"), F.col(stem or document).cast("string").alias("stem"), chunks.alias("chunks"))
+    if counted:
+        rows, columns = rows.withColumn("chunk_count", F.size("chunks")), [*columns, "chunk_count"]
+    return rows.select("*", F.posexplode("chunks").alias("chunk_index", "text")).select(*columns)
 
 
 def representative_chunks(chunks: DataFrame, budget: int = 110_000) -> DataFrame:
@@ -50,17 +61,25 @@ def representative_chunks(chunks: DataFrame, budget: int = 110_000) -> DataFrame
 
 
 def language_scores(raw: Column) -> Column:
-    """map of language to score: marker words among the first 60,000 characters, and bonuses for tell-tale letters."""
+    """map of language to score: marker words among the first 60,000 characters, and bonuses for tell-tale letters.
+
+    The words are found and folded once for all languages.
+    """
     sample = F.lower(collapse_space(F.substring(text(raw), 1, 60_000)))
-    tokens = F.transform(found(sample, "[a-zÀ-ÿ]{2,}"), fold)
-    bonus = {
-        "es": F.when(sample.rlike("[ñ¿¡]"), 8).otherwise(0),
-        "fr": F.when(sample.rlike(" l'| d'| qu'|[àèç]"), 4).otherwise(0),
-        "ca": F.when(sample.rlike(" l'| d'| qu'|[àèç]"), 2).otherwise(0),
-        "pt": F.when(sample.rlike("ção|ões|ã|õ"), 6).otherwise(0),
-    }
-    entries = [x for code, _, marks in LANGUAGES for x in (F.lit(code), F.size(F.filter(tokens, is_in(marks))) + bonus.get(code, F.lit(0)))]
-    return F.create_map(*entries)
+    marked, plain = folded_letters()
+
+    def scores(s: Column) -> Column:
+        bonus = {
+            "es": F.when(s["sample"].rlike("[ñ¿¡]"), 8).otherwise(0),
+            "fr": F.when(s["sample"].rlike(" l'| d'| qu'|[àèç]"), 4).otherwise(0),
+            "ca": F.when(s["sample"].rlike(" l'| d'| qu'|[àèç]"), 2).otherwise(0),
+            "pt": F.when(s["sample"].rlike("ção|ões|ã|õ"), 6).otherwise(0),
+        }
+        return F.create_map(*[x for code, _, marks in LANGUAGES for x in (F.lit(code), F.size(F.filter(s["words"], is_in(marks))) + bonus.get(code, F.lit(0)))])
+
+    every = [w for _, _, marks in LANGUAGES for w in marks]
+    words = lambda s: F.filter(F.split(F.translate(F.array_join(found(s, "[a-zÀ-ÿ]{2,}"), " "), marked, plain), " "), is_in(every))
+    return let(let(sample, lambda s: F.struct(s.alias("sample"), words(s).alias("words"))), scores)
 
 
 def best_language(scores: Column) -> Column:
@@ -76,3 +95,26 @@ def prompt_language(requested: str | None, raw: Column) -> Column:
     code = best_language(language_scores(raw))
     names = F.create_map(*[x for code_, name, _ in LANGUAGES for x in (F.lit(code_), F.lit(name))])
     return F.concat(names[code], F.lit(" ("), code, F.lit("), the same language as the source document"))
+
+
+def document_language(requested: str | None, raw: Column) -> Column:
+    """The language that items are marked with: the one asked for, or the document's own by code."""
+    if requested and requested.strip().lower() != "auto":
+        return F.lit(requested.strip())
+    return best_language(language_scores(raw))
+
+
+def representative_context(chunks: DataFrame, budget: int = 18_000) -> DataFrame:
+    """(document, sample): the representative chunks of each document as one text of at most ``budget`` characters.
+
+    Each block is the chunk's marker and its share; a block that overflows is cut if 500 characters are left, and
+    nothing follows it.
+    """
+    by = Window.partitionBy("document").orderBy("chunk_index")
+    rows = representative_chunks(chunks, budget).withColumn("block", F.concat(F.lit("["), "chunk_id", F.lit("]\n"), "text"))
+    rows = rows.withColumn("upto", F.sum(F.length("block")).over(by)).withColumn("left", F.lit(budget) - F.col("upto") + F.length("block"))
+    first_over = F.min(F.when(F.col("upto") > budget, F.col("chunk_index"))).over(Window.partitionBy("document"))
+    rows = rows.withColumn("over", first_over).where((F.col("upto") <= budget) | (F.col("chunk_index") == F.col("over")) & (F.col("left") >= 500))
+    block = F.when(F.col("upto") <= budget, F.col("block")).otherwise(truncate(F.col("block"), F.col("left").cast("int")))
+    ordered = F.array_sort(F.collect_list(F.struct("chunk_index", block.alias("block"))))  # five at most
+    return rows.groupBy("document").agg(F.array_join(F.transform(ordered, lambda b: b["block"]), "\n\n").alias("sample"))

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import signature
+from ..functions.text import signature, text
 from ..functions.tokens import content_terms, overlap, question_pairs
+from ..store import written
 
 # Measure, threshold and the reason it gives, in the order of the checks.
 MEASURES = (
@@ -33,10 +33,13 @@ def with_sets(items: DataFrame) -> DataFrame:
 
 
 def exact_duplicates(rows: DataFrame, key: Column, seq: str = "seq") -> DataFrame:
-    """``rows`` with duplicate: whether an earlier row has the same non-empty signature, or the signature is empty."""
+    """``rows`` with duplicate: whether an earlier row has the same non-empty signature, or the signature is empty.
+
+    The first of each signature are met again by ``seq``, so a signature of very many rows is no task of its own.
+    """
     keyed = rows.withColumn("duplicate_key", signature(key))
-    first = F.row_number().over(Window.partitionBy("duplicate_key").orderBy(seq))
-    return keyed.withColumn("duplicate", (F.col("duplicate_key") == "") | (first > 1)).drop("duplicate_key")
+    firsts = keyed.where("duplicate_key <> ''").groupBy("duplicate_key").agg(F.min(seq).alias("first_seq")).select("first_seq")
+    return keyed.join(firsts, F.col(seq) == F.col("first_seq"), "left").withColumn("duplicate", F.col("first_seq").isNull()).drop("duplicate_key", "first_seq")
 
 
 def similar_pairs(rows: DataFrame, column: str, least: float, seq: str = "seq") -> DataFrame:
@@ -58,46 +61,85 @@ def similar_pairs(rows: DataFrame, column: str, least: float, seq: str = "seq")
     return pairs.join(a, "earlier").join(b, "later").select("earlier", "later", overlap(F.col("sa"), F.col("sb")).alias("similarity")).where(F.col("similarity") >= least)
 
 
-def duplicate_links(items: DataFrame, seq: str = "seq") -> DataFrame:
-    """(earlier, later, place, reason): for each pair the first check by which the later would fall to the earlier."""
-    sets = with_sets(items)
+#: Rules by equal signatures: column, its least length, place among the checks, and reason.
+EXACT = (("question_signature", 1, 1, "duplicate_exact"), ("answer_signature", 12, 2, "duplicate_semantic_answer"))
+
+
+def similar_links(sets: DataFrame, seq: str = "seq") -> DataFrame:
+    """(earlier, later, place, reason) of similar rows, once for each measure."""
     links = None
     for place, (column, least, reason) in enumerate(MEASURES, 3):
         pairs = similar_pairs(sets, column, least, seq).select("earlier", "later", F.lit(place).alias("place"), F.lit(reason).alias("reason"))
         links = pairs if links is None else links.unionByName(pairs)
-    for place, (key, condition, reason) in enumerate((("question_signature", F.col("k") != "", "duplicate_exact"), ("answer_signature", F.length("k") >= 12, "duplicate_semantic_answer")), 1):
-        keyed = sets.select(F.col(seq).alias("later"), F.col(key).alias("k")).where(condition)
+    return links
+
+
+def duplicate_links(items: DataFrame, seq: str = "seq") -> DataFrame:
+    """(earlier, later, place, reason): for each pair the first check by which the later would fall to the earlier.
+
+    Every pair of equal signatures is a row; ``deduplicate_items`` needs none of those.
+    """
+    sets = with_sets(items)
+    links = similar_links(sets, seq)
+    for key, least, place, reason in EXACT:
+        keyed = sets.select(F.col(seq).alias("later"), F.col(key).alias("k")).where(F.length("k") >= least)
         same = keyed.join(keyed.select(F.col("later").alias("earlier"), "k"), "k").where("earlier < later")
         links = links.unionByName(same.select("earlier", "later", F.lit(place).alias("place"), F.lit(reason).alias("reason")))
     return links.groupBy("earlier", "later").agg(F.min(F.struct("place", "reason")).alias("x")).select("earlier", "later", "x.place", "x.reason")
 
 
-def ordered_choice(links: DataFrame) -> DataFrame:
-    """(later, reason) of the rows that fall: a row falls to an earlier one that itself stays.
+def ordered_choice(links: DataFrame, groups: DataFrame) -> DataFrame:
+    """(node, reason) of the rows that fall: a row falls to an earlier one that itself stays.
 
-    The choice depends on order and is not transitive, so rows are settled in rounds: one without open earlier
-    neighbours stays, and its later neighbours fall. Each round is a join; no row meets the driver.
+    ``links`` (earlier, later, place, reason) are pairs; ``groups`` (node, key, place, reason) are rows of which each links with
+    every later one of its key. The choice depends on order and is not transitive, so rows are settled in rounds: one
+    without open earlier neighbours stays, and its later neighbours fall. A round joins tables in the shared folder; a
+    group is told by its least open and least staying row, and no row meets the driver.
     """
     spark = links.sparkSession
-    links = links.persist()
+    links, groups = written(links, "dedup-links"), written(groups, "dedup-groups")
     fallen = spark.createDataFrame([], "node long, reason string")
-    left = links
-    while not left.isEmpty():
-        waiting = left.select(F.col("later").alias("node")).distinct()
-        stays = left.select(F.col("earlier").alias("node")).distinct().join(waiting, "node", "left_anti")
-        hit = left.join(stays.withColumnRenamed("node", "earlier"), "earlier").groupBy("later").agg(F.min(F.struct("place", "reason")).alias("x"))
-        now = hit.select(F.col("later").alias("node"), "x.reason").checkpoint() if spark.sparkContext.getCheckpointDir() else hit.select(F.col("later").alias("node"), "x.reason").persist()
+    while not (links.isEmpty() and groups.isEmpty()):
+        firsts = groups.groupBy("key").agg(F.min("node").alias("first"))
+        heads = groups.join(firsts, "key")
+        waits = links.select(F.col("later").alias("node")).unionByName(heads.where("node > first").select("node")).distinct()
+        open_rows = links.select(F.col("earlier").alias("node")).unionByName(groups.select("node")).distinct()
+        stays = written(open_rows.join(waits, "node", "left_anti"), "dedup-stays")
+        by_link = links.join(stays.withColumnRenamed("node", "earlier"), "earlier").select(F.col("later").alias("node"), "place", "reason")
+        kept_keys = groups.join(stays, "node", "left_semi").select("key", F.col("node").alias("kept"))
+        by_group = groups.join(kept_keys, "key").where("node > kept").select("node", "place", "reason")
+        now = written(by_link.unionByName(by_group).groupBy("node").agg(F.min(F.struct("place", "reason")).alias("x")).select("node", "x.reason"), "dedup-fallen")
         fallen = fallen.unionByName(now)
-        gone = now.select("node")
-        left = left.join(gone, F.col("later") == F.col("node"), "left_anti").join(gone, F.col("earlier") == F.col("node"), "left_anti")
-        left = left.join(stays, F.col("earlier") == F.col("node"), "left_anti")
-        left = left.checkpoint() if spark.sparkContext.getCheckpointDir() else left.persist()
+        settled = written(now.select("node").unionByName(stays), "dedup-settled")
+        links = links.join(settled.withColumnRenamed("node", "later"), "later", "left_anti").join(settled.withColumnRenamed("node", "earlier"), "earlier", "left_anti")
+        links, groups = written(links, "dedup-links"), written(groups.join(settled, "node", "left_anti"), "dedup-groups")
     return fallen
 
 
 def deduplicate_items(items: DataFrame, seq: str = "seq") -> DataFrame:
-    """``items`` with duplicate_reason, null where the item stays; compared in the order of ``seq`` with those that stay."""
-    blank = items.where(signature(F.col("question")) == "").select(F.col(seq).alias("node"), F.lit("duplicate_exact").alias("reason"))
-    rest = items.where(signature(F.col("question")) != "")
-    fallen = ordered_choice(duplicate_links(rest, seq)).unionByName(blank)
-    return items.join(fallen.withColumnRenamed("reason", "duplicate_reason"), F.col(seq) == F.col("node"), "left").drop("node")
+    """``items`` with duplicate_reason, null where the item stays; compared in the order of ``seq`` with those that stay.
+
+    Items whose question and answer are the same text are one to all others and fall together or to their first, so only
+    the first is compared; items that share a signature are a group and not pairs.
+    """
+    sets = with_sets(items.select(seq, text(F.col("question")).alias("question"), text(F.col("answer")).alias("answer")))
+    sets = written(sets.withColumn("same", F.md5(F.concat_ws("\u0000", "question", "answer"))), "dedup-sets")
+    firsts = sets.groupBy("same").agg(F.min(seq).alias("first"))
+    blank = sets.where("question_signature = ''").select(F.col(seq).alias("node"), F.lit("duplicate_exact").alias("reason"))
+    heads = written(sets.where("question_signature <> ''").join(firsts.select(F.col("first").alias(seq)), seq, "left_semi"), "dedup-heads")
+    groups = None
+    for key, least, place, reason in EXACT:
+        rows = heads.where(F.length(key) >= least).select(F.col(seq).alias("node"), F.concat(F.lit(f"{place}:"), key).alias("key"), F.lit(place).alias("place"), F.lit(reason).alias("reason"))
+        groups = rows if groups is None else groups.unionByName(rows)
+    several = groups.groupBy("key").count().where("count > 1").select("key")
+    fallen = ordered_choice(similar_links(heads, seq), groups.join(several, "key", "left_semi"))
+    again = sets.where("question_signature <> ''").join(firsts.withColumnRenamed("same", "of"), (F.col("same") == F.col("of")) & (F.col(seq) > F.col("first"))).select(F.col(seq).alias("node"), "first")
+    reasons = fallen.select(F.col("node").alias("first"), "reason")
+    copies = again.join(reasons, "first", "left").select("node", F.coalesce("reason", F.lit("duplicate_exact")).alias("reason"))
+    every = written(fallen.unionByName(copies).unionByName(blank), "dedup-reasons")
+    return items.join(every.withColumnRenamed("reason", "duplicate_reason"), F.col(seq) == F.col("node"), "left").drop("node")
+
+
+def duplicate_counts(deduplicated: DataFrame) -> DataFrame:
+    """(reason, items) of the items that fell, by reason."""
+    return deduplicated.where("duplicate_reason IS NOT NULL").groupBy(F.col("duplicate_reason").alias("reason")).agg(F.count(F.lit(1)).alias("items"))

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .. import prompts
 from ..functions.text import collapse_space, text, truncate
 from ..functions.tokens import answer_pairs, answer_tokens, let
 from ..lexicon import BLOCKING_REASONS, DECISIONS, MISREAD_PATTERN, REASONS
+from ..sources.models import Model, replies
+from ..store import written
+from .generation import json_object
 from .quality import has_marker
 
 PAYLOAD = "context_quality string, answer_support string, question_quality string, overall_score string, score string, decision string, reasons array<string>, explanation string"
@@ -131,6 +137,18 @@ def judge_items(items: DataFrame, reply: Column, model: str = "stub") -> DataFra
     return rows.select(*items.columns, "j.*", F.col("raw").alias("judge_raw_content"))
 
 
+def judge_by_document(items: DataFrame, model: Model, name: str = "stub", seed: int = 42, seq: str = "seq", save: Callable[[DataFrame], DataFrame] = written) -> DataFrame:
+    """``items`` with the judge columns. Each document's items are judged in the order of ``seq`` with seeds from ``seed`` on; those
+    that a check settles are not asked, and a model's reply is saved before it is read. Items are known by ``id``."""
+    by = Window.partitionBy("document").orderBy(seq)
+    checked = precheck(F.col("answer"), F.col("context_source"))
+    asked = items.withColumn("seed", F.lit(seed) + F.row_number().over(by) - 1).where(checked.isNull())
+    asked = asked.select("id", text(F.col("question")).alias("question"), text(F.col("answer")).alias("answer"), text(F.col("context_source")).alias("context_source"), "seed")
+    told = save(replies(asked, model, prompts.judgement, temperature=0.0))
+    rows = items.join(told.select("id", json_object(F.col("reply")).alias("judge_reply")), "id", "left")
+    return judge_items(rows, F.col("judge_reply"), name).drop("judge_reply")
+
+
 def judge_stats(judged: DataFrame) -> DataFrame:
     """One row: judged items, each decision's count and the four averages to four places; 0 without items."""
     average = {f"average_{name}": F.coalesce(F.bround(F.avg(f"judge_{name}"), 4), F.lit(0.0)) for name in ("score", "context_quality", "answer_support", "question_quality")}

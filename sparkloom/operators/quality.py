@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.text import MARKER, collapse_space, strip, text
 from ..functions.tokens import answer_pairs, content_terms, content_words, found, is_in, let, letter_share, terms
 from ..lexicon import BAD_ENDINGS, DOMAINS, GENERIC_TERMS, MISREAD_PATTERN
-from .retrieval import direct_hits
+from .retrieval import CUT_WORD, TABLE_RULE
 
 # The traces that reject an item, over the lower-case text of all its parts.
 TRACES = (
@@ -75,7 +75,7 @@ def has_artifact(question: Column, answer: Column, source: Column, context: Colu
     return (
         any_of(F.lower(F.concat_ws(" ", question, answer, source, context, topic)), TRACES)
         | F.lower(context).rlike("\\b(?:references|bibliography)\\b")
-        | source.rlike("(?:^|\\s)(?:---\\s*){2,}")
+        | source.rlike(TABLE_RULE)
         | F.contains(F.lower(source), F.lit("forthcoming"))
         | F.endswith(F.lower(strip(topic)), F.lit("references"))
         | F.concat_ws(" ", source, answer, question).rlike(MISREAD_PATTERN)
@@ -90,7 +90,7 @@ def truncated(raw: Column) -> Column:
     c = collapse_space(raw)
     ending = F.regexp_extract(F.lower(c), "([A-Za-z]+)[^\\p{L}\\p{N}_]*$", 1)
     return (c != "") & (
-        c.rlike("^[^\\s\\p{Lu}]*\\p{Ll}[^\\s\\p{Lu}]*\\s+\\p{Lu}")
+        c.rlike(CUT_WORD)
         | c.rlike("(?U)^[a-z]{3,}\\b")
         | (F.length(c) > 120) & ~c.rlike("[.;:!?)\\]]$")
         | (F.length(c) > 40) & ending.isin(BAD_ENDINGS)
@@ -241,32 +241,30 @@ def layout_noise(c: Column) -> Column:
     low = F.lower(c)
     return (
         low.rlike("\\b(?:references|bibliography|acknowledg(?:e)?ments)\\b|\\b(?:fig|figure|table)\\.?\\s*\\d+\\b|\\b(?:isbn|doi|arxiv|copyright|permission from)\\b")
-        | c.rlike("(?:^|\\s)(?:---\\s*){2,}|\\b[\\w.-]+@[\\w.-]+\\b")
+        | c.rlike(TABLE_RULE + "|\\b[\\w.-]+@[\\w.-]+\\b")
         | (F.length(c) >= 120) & (letter_share(c) < 0.45)
     )
 
 
-def usable_evidence(window: Column, topic: Column) -> Column:
+def usable_evidence(window: Column) -> Column:
+    """Whether a window can stand as evidence, whatever the topic (see ``closing_topic``)."""
     return (
         (F.length(window) >= 60)
         & (F.size(found(window, "[A-Za-zÀ-ÿ]{3,}")) >= 10)
         & ~layout_noise(window)
         & ~truncated(window)
-        & ~has_artifact(F.lit("placeholder question"), F.lit("placeholder answer"), window, window, topic)
+        & ~has_artifact(F.lit("placeholder question"), F.lit("placeholder answer"), window, window, F.lit(""))
     )
 
 
-def rank_evidence(windows: DataFrame, used: DataFrame | None = None, most: int = 80) -> DataFrame:
-    """The ``most`` best usable windows of each topic (document, topic_id, name, summary, keywords, score, window, ..).
+def closing_topic(topic: Column) -> Column:
+    """Whether a topic's name rejects all its evidence: a reference list, or a name with a trace of extraction."""
+    return any_of(F.lower(F.concat(F.lit(" "), topic)), TRACES) | F.endswith(F.lower(strip(topic)), F.lit("references"))
 
-    ``score`` is the window's lexical score; a quarter is added for each phrase of the topic that it holds. ``used``
-    (document, window) is left out, whatever its case.
-    """
-    rows = windows.where(usable_evidence(F.col("window"), F.col("name")))
-    if used is not None:
-        gone = used.select("document", F.lower(collapse_space(F.col("window"))).alias("gone")).distinct()
-        rows = rows.join(gone, (rows["document"] == gone["document"]) & (F.lower(rows["window"]) == gone["gone"]), "left_anti")
-    rows = rows.withColumn("score", F.col("score") + F.lit(0.25) * direct_hits(F.col("window"), F.col("name"), F.col("summary"), F.col("keywords")))
-    order = Window.partitionBy("document", "topic_id").orderBy(F.col("score").desc(), "chunk_index", "sentence_start", "sentence_count")
-    rows = rows.withColumn("evidence_rank", F.row_number().over(order)).where(F.col("evidence_rank") <= most)
-    return rows.withColumn("evidence_id", F.format_string("%s-sent-%04d-%d", "chunk_id", "sentence_start", "sentence_count"))
+
+def rank_evidence(windows: DataFrame, most: int = 80) -> DataFrame:
+    """The ``most`` best windows of each topic (document, topic_id, chunk_id, rank, sentence_start, sentence_count, score, ..), with
+    evidence_rank and evidence_id; ties by the chunk's place in the context, then by the window's in the chunk."""
+    order = Window.partitionBy("document", "topic_id").orderBy(F.col("score").desc(), "rank", "sentence_start", "sentence_count")
+    rows = windows.withColumn("evidence_rank", F.row_number().over(order)).where(F.col("evidence_rank") <= most)
+    return rows.withColumn("evidence_id", F.format_string("%s-sent-%04d-%d", F.coalesce("chunk_id", F.lit("context")), "sentence_start", "sentence_count"))

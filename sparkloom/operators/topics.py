@@ -8,11 +8,18 @@ from pyspark.sql import functions as F
 from ..functions.text import collapse_space, distinct_in_order, strip, text, truncate
 from ..functions.tokens import found, keywords, let
 from ..lexicon import BLOCKED_HEADINGS, GENERIC_NAMES
+from ..store import numbered
+
+
+# Line ends, the summary of a section's topic, and the name of a topic without words.
+LINE_END = "\\r\\n|[\\n\\r\\x0b\\x0c\\x1c-\\x1e\\x85\\u2028\\u2029]"
+SECTION_SUMMARY = ("Questions grounded in the '", "' section of the document.")
+UNNAMED = "Topico "
 
 
 def headings(raw: Column) -> Column:
     """Short lines of a text that read like section headings, the first of those that differ only in case."""
-    lines = F.transform(F.split(text(raw), "\\r\\n|[\\n\\r\\x0b\\x0c\\x1c-\\x1e\\x85\\u2028\\u2029]"), lambda s: F.replace(collapse_space(s), F.lit("Histor y"), F.lit("History")))
+    lines = F.transform(F.split(text(raw), LINE_END), lambda s: F.replace(collapse_space(s), F.lit("Histor y"), F.lit("History")))
 
     def reads(line: Column) -> Column:
         tokens = F.split(F.regexp_replace(line, "\\s+", " "), " ")
@@ -43,7 +50,7 @@ def section_topics(docs: DataFrame, count: int = 8, document: str = "doc_id", ra
         F.format_string("topic-%02d", "topic_index").alias("topic_id"),
         "topic_index",
         "name",
-        F.concat(F.lit("Questions grounded in the '"), F.col("name"), F.lit("' section of the document.")).alias("summary"),
+        F.concat(F.lit(SECTION_SUMMARY[0]), F.col("name"), F.lit(SECTION_SUMMARY[1])).alias("summary"),
         keywords(F.col("name")).alias("keywords"),
     )
 
@@ -70,6 +77,11 @@ def topic_map_quality(topics: DataFrame, by: str = "document") -> DataFrame:
     return counted.select("*", (F.col("general") >= floor).alias("too_general"), (F.col("invalid") >= floor).alias("mostly_invalid"))
 
 
+def title_case(c: Column) -> Column:
+    """Each run of letters with its first in upper case."""
+    return F.array_join(F.transform(found(c, "\\p{L}+|[^\\p{L}]+"), lambda run: F.concat(F.upper(F.substring(run, 1, 1)), F.substring(run, F.lit(2), F.length(run)))), "")
+
+
 def name_from_chunk(chunk: Column, index: Column) -> Column:
     """A readable name: a heading-like first line, else the first sentence of four words, else words, else a number."""
     return let(collapse_space(chunk), lambda clean: _name_from(chunk, clean, index))
@@ -78,7 +90,7 @@ def name_from_chunk(chunk: Column, index: Column) -> Column:
 def _name_from(chunk: Column, clean: Column, index: Column) -> Column:
     long = F.filter(F.transform(F.split(chunk, "\\R"), lambda s: F.regexp_replace(strip(s), "^[-*#]+|[-*#]+$", "")), lambda s: F.length(s) >= 8)
     first = F.get(long, F.lit(0))
-    title = F.initcap(F.array_join(keywords(clean, 4), " / "))
+    title = title_case(F.array_join(keywords(clean, 4), " / "))
     whole = F.transform(F.split(clean, "(?<=[.!?])\\s+"), lambda s: F.struct(strip(s).alias("s"), found(s, "[\\p{L}\\p{N}_-]+").alias("w")))
     sentence = F.get(F.filter(whole, lambda x: F.size(x["w"]) >= 4), F.lit(0))
     cut = F.when(F.length(sentence["s"]) > 90, F.array_join(F.slice(sentence["w"], 1, 10), " ")).otherwise(sentence["s"])
@@ -88,37 +100,53 @@ def _name_from(chunk: Column, clean: Column, index: Column) -> Column:
         .when(sentence.isNotNull() & sentence["s"].rlike("^\\p{Ll}") & (title != ""), title)
         .when(sentence.isNotNull(), F.rtrim(truncate(cut, 90), F.lit(" .,:;")))
         .when(F.size(tokens) > 0, F.array_join(tokens, " "))
-        .otherwise(F.concat(F.lit("Topic "), (index + 1).cast("string")))
+        .otherwise(F.concat(F.lit(UNNAMED), (index + 1).cast("string")))
     )
 
 
 def fallback_topics(chunks: DataFrame, count: int = 8) -> DataFrame:
-    """(document, topic_id, topic_index, name, summary, keywords) from chunks at even steps through each document."""
-    n = F.count(F.lit(1)).over(Window.partitionBy("document"))
+    """(document, topic_id, topic_index, name, summary, keywords) from chunks at even steps through each document.
+
+    One pass where the chunks come with chunk_count; else they are counted by a shuffle.
+    """
+    n = F.col("chunk_count").cast("long") if "chunk_count" in chunks.columns else F.count(F.lit(1)).over(Window.partitionBy("document"))
     want = F.greatest(F.lit(1).cast("long"), F.least(F.lit(count).cast("long"), n))
     step = F.greatest(F.lit(1).cast("long"), F.floor(n / want))
     rows = chunks.withColumns({"want": want, "step": step}).where((F.col("chunk_index") % F.col("step") == 0) & (F.col("chunk_index") / F.col("step") < F.col("want")))
     rows = rows.withColumn("topic_index", (F.col("chunk_index") / F.col("step")).cast("int"))
-    return rows.select(
-        "document",
-        F.format_string("topic-%02d", "topic_index").alias("topic_id"),
-        "topic_index",
-        name_from_chunk(F.col("text"), F.col("topic_index")).alias("name"),
-        F.replace(truncate(F.col("text"), 220), F.lit("\n"), F.lit(" ")).alias("summary"),
-        keywords(F.col("text"), 8).alias("keywords"),
-    )
+    return rows.select("document", F.format_string("topic-%02d", "topic_index").alias("topic_id"), "topic_index", *[c.alias(k) for k, c in topic_of(F.col("text"), F.col("topic_index")).items()])
+
+
+def topic_of(chunk: Column, index: Column) -> dict[str, Column]:
+    """What a chunk's text gives a topic: name, summary and keywords."""
+    return {"name": name_from_chunk(chunk, index), "summary": F.replace(truncate(chunk, 220), F.lit("\n"), F.lit(" ")), "keywords": keywords(chunk, 8)}
+
+
+def fallback_chunks(chunks: Column, count: int = 8) -> Column:
+    """(topic_index, text) of the chunks of one document's array from which ``fallback_topics`` makes its topics."""
+    n = F.size(chunks)
+    want = F.least(F.lit(count), n)
+    step = F.greatest(F.lit(1), F.floor(n / F.greatest(want, F.lit(1)))).cast("int")
+    places = F.sequence(F.lit(0), F.greatest(want - 1, F.lit(0)))
+    return F.when(n > 0, F.transform(places, lambda i: F.struct(i.alias("topic_index"), F.get(chunks, i * step).alias("text")))).otherwise(F.array().cast("array<struct<topic_index:int,text:string>>"))
 
 
 def first_topics(sources: list[DataFrame]) -> DataFrame:
-    """The topics of the first of several frames that has any for a document, with the place of that frame."""
-    tagged = [df.withColumn("strategy", F.lit(i)) for i, df in enumerate(sources)]
-    every = tagged[0]
-    for df in tagged[1:]:
-        every = every.unionByName(df)
-    return every.withColumn("least", F.min("strategy").over(Window.partitionBy("document"))).where("strategy = least").drop("least")
+    """The topics of the first of several frames that has any for a document."""
+    every = None
+    for i, df in enumerate(sources):
+        tagged = df.withColumn("__order", F.lit(i))
+        every = tagged if every is None else every.unionByName(tagged)
+    return every.withColumn("__least", F.min("__order").over(Window.partitionBy("document"))).where("__order = __least").drop("__order", "__least")
+
+
+def given_topics(docs: DataFrame, given: list) -> DataFrame:
+    """Each document with each of the user's topics, a file's few, in their order."""
+    each = F.array(*[F.struct(F.lit(t["topic_id"]).alias("topic_id"), F.lit(t["topic_index"]).cast("int").alias("topic_index"), F.lit(t["name"]).alias("name"), F.lit(t["summary"]).alias("summary"), F.array(*map(F.lit, t["keywords"])).cast("array<string>").alias("keywords")) for t in given])
+    return docs.select("document", F.inline(each))
 
 
 def question_topics(questions: DataFrame, question: str = "question", seq: str = "seq") -> DataFrame:
-    """Each seed question as a topic of its own."""
-    place = F.row_number().over(Window.orderBy(seq)) - 1
-    return questions.select(F.format_string("seed-%02d", place).alias("topic_id"), F.col(question).alias("name"), F.col(question).alias("summary"), keywords(F.col(question), 6).alias("keywords"))
+    """Each seed question as a topic of its own, numbered in the order of ``seq``."""
+    rows = numbered(questions, seq, name="topic_index").withColumn("topic_index", F.col("topic_index").cast("int"))
+    return rows.select(F.format_string("seed-%02d", "topic_index").alias("topic_id"), "topic_index", F.col(question).alias("name"), F.col(question).alias("summary"), keywords(F.col(question), 6).alias("keywords"))

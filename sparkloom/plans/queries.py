@@ -7,14 +7,19 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..functions import tokens as tk
-from ..lexicon import LANGUAGES, MISREAD_PATTERN
+from ..config import Settings
+from ..lexicon import BLOCKED_HEADINGS, LANGUAGES, MISREAD_PAIRS, MISREAD_PATTERN
 from ..operators import chunking, dedup, judge, quality, retrieval, splits, topics
+from ..operators.topics import SECTION_SUMMARY
+from ..store import written
 from . import oracle as o
 from . import pipeline
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
 SIZE, OVERLAP = 1200, 150
+#: Labels whose centroids stand in a plan.
+MOST_LABELS = 1000
 
 
 def query(sql: str | None = None):
@@ -43,8 +48,13 @@ def topics_of(spark: SparkSession, folder: str) -> DataFrame:
     return spark.sql(o.ITEM_TOPICS, benchmark=table(spark, folder, "benchmark"))
 
 
-def chunks_of(spark: SparkSession, folder: str) -> DataFrame:
-    return chunking.chunk_documents(docs_of(spark, folder), SIZE, OVERLAP)
+def chunks_of(spark: SparkSession, folder: str, counted: bool = False) -> DataFrame:
+    return chunking.chunk_documents(docs_of(spark, folder), SIZE, OVERLAP, counted=counted)
+
+
+def saved_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    """Chunks, computed once for a query that reads them several times."""
+    return written(chunks_of(spark, folder, counted=True), "chunks")
 
 
 CHUNKS = "WITH " + o.chunks_cte(SIZE, OVERLAP)
@@ -96,7 +106,8 @@ _LANGUAGES = (
 
 
 def _languages(spark, folder):
-    rows = docs_of(spark, folder).select("doc_id", "lang", chunking.language_scores(F.col("text")).alias("scores"))
+    scores = F.array(F.struct(chunking.language_scores(F.col("text")).alias("scores")))
+    rows = docs_of(spark, folder).select("doc_id", "lang", F.inline(scores))  # a generator's columns are not computed again where they are used
     return rows.withColumn("detected", chunking.best_language(F.col("scores")))
 
 
@@ -116,8 +127,8 @@ def language_confusion(spark, folder):
     "SELECT doc_id, string_agg(w, ',' ORDER BY place) AS keywords FROM r WHERE place <= 8 GROUP BY doc_id"
 )
 def keywords_topk(spark, folder):
-    rows = docs_of(spark, folder).select("doc_id", F.array_join(tk.keywords(F.col("text")), ",").alias("keywords"))
-    return rows.where("keywords <> ''")
+    found = F.array(F.struct(F.array_join(tk.keywords(F.col("text")), ",").alias("keywords")))
+    return docs_of(spark, folder).select("doc_id", F.inline(F.filter(found, lambda x: x["keywords"] != "")))
 
 
 @query(f"SELECT conv_id, turn, {o.signature('text')} AS signature FROM conversations")
@@ -151,10 +162,25 @@ def clean_generated(spark, folder):
     return table(spark, folder, "conversations").select("conv_id", "turn", tx.clean_generated(F.col("text")).alias("clean"))
 
 
-@query(f"SELECT doc_id, regexp_matches(text, '{MISREAD_PATTERN}') AS misread, regexp_matches(text, '{MISREAD_PATTERN}') AS after FROM documents")
+_DAMAGED = "coalesce(text, '') || ' ' || [" + ", ".join(o.quoted(bad) if bad != "\x00" else "chr(0)" for bad, _ in MISREAD_PAIRS) + f"][1 + (coalesce(doc_id, 0) % {len(MISREAD_PAIRS)})::INT] || ' ' || chr(7)"
+_REPAIRED = "damaged"
+for _bad, _good in MISREAD_PAIRS:
+    _REPAIRED = f"replace({_REPAIRED}, {o.quoted(_bad) if _bad != chr(0) else 'chr(0)'}, {o.quoted(_good)})"
+_REPAIRED = o.sub(_REPAIRED, ("[\\x01-\\x08\\x0b\\x0c\\x0e-\\x1f\\x7f]", ""))
+
+
+@query(
+    f"WITH d AS (SELECT doc_id, {_DAMAGED} AS damaged FROM documents), r AS (SELECT doc_id, damaged, {_REPAIRED} AS repaired FROM d) "
+    f"SELECT doc_id, regexp_matches(damaged, '{MISREAD_PATTERN}') AS misread, regexp_matches(repaired, '{MISREAD_PATTERN}') AS after, md5(repaired) AS digest FROM r"
+)
 def misread_text(spark, folder):
-    c = F.col("text")
-    return docs_of(spark, folder).select("doc_id", c.rlike(MISREAD_PATTERN).alias("misread"), tx.repair_encoding(c).rlike(MISREAD_PATTERN).alias("after"))
+    """Every text with one wrongly decoded character and a control character behind it, before and after repair."""
+    traces = F.array(*[F.lit(bad) for bad, _ in MISREAD_PAIRS])
+    trace = F.get(traces, (F.coalesce("doc_id", F.lit(0)) % len(MISREAD_PAIRS)).cast("int"))
+    damaged = F.concat(F.coalesce("text", F.lit("")), F.lit(" "), trace, F.lit(" \x07"))
+    rows = docs_of(spark, folder).select("doc_id", damaged.alias("damaged"))
+    repaired = tx.repair_encoding(F.col("damaged"))
+    return rows.select("doc_id", F.col("damaged").rlike(MISREAD_PATTERN).alias("misread"), repaired.rlike(MISREAD_PATTERN).alias("after"), F.md5(repaired).alias("digest"))
 
 
 _CUT = "(CASE WHEN strpos(reverse(substr(text, 1, 400)), ' .') > 0 THEN 400 - strpos(reverse(substr(text, 1, 400)), ' .') - 1 ELSE -1 END)"
@@ -172,12 +198,27 @@ def token_sets(spark, folder):
     return table(spark, folder, "conversations").select("conv_id", "turn", F.array_sort(tk.content_terms(c)).alias("content"), F.array_sort(tk.terms(c)).alias("terms"), F.array_sort(tk.answer_pairs(c)).alias("pairs"))
 
 
-@query()
+_HEADINGS = f"""
+WITH lines AS (SELECT doc_id, list_transform(regexp_split_to_array(coalesce(text, ''), '\\r\\n|[\\n\\r\\x0b\\x0c\\x1c-\\x1e\\x{{85}}\\x{{2028}}\\x{{2029}}]'), lambda x: replace({o.collapse_space("x")}, 'Histor y', 'History')) AS ls FROM documents),
+words AS (SELECT doc_id, list_transform(ls, lambda x: {{'h': x, 'w': regexp_split_to_array(x, '\\s+')}}) AS ws FROM lines),
+kept AS (SELECT doc_id, list_transform(list_filter(ws, lambda x: length(x.h) BETWEEN 3 AND 80 AND NOT regexp_matches(x.h, 'https?://|ISBN|\\[\\d+\\]|\\d{{4}}|@') AND NOT regexp_matches(x.h, '^\\d[A-Za-z]')
+  AND len(x.w) <= 8 AND regexp_matches(x.h, '[A-Za-z]') AND NOT regexp_matches(x.h, '[.,]$') AND NOT regexp_matches(x.h, '(?i)\\b(?:University|Department|Institute|Laboratory|College|School)\\b')
+  AND len(list_filter(x.w, lambda w: regexp_matches(w, '^\\p{{Ll}}') AND lower(w) NOT IN ('and', 'or', 'of', 'in', 'for', 'to', 'the'))) <= greatest(1, len(x.w) // 2)), lambda x: x.h) AS hs FROM words),
+headings AS (SELECT doc_id, list_filter(hs, lambda h, i: list_position(list_transform(hs, lambda y: lower(y)), lower(h)) = i) AS hs FROM kept)"""
+
+
+@query(_HEADINGS + " SELECT doc_id, unnest(hs) AS heading FROM headings")
 def headings(spark, folder):
     return docs_of(spark, folder).select("doc_id", F.explode(topics.headings(F.col("text"))).alias("heading"))
 
 
-@query()
+@query(
+    _HEADINGS
+    + f", useful AS (SELECT doc_id::VARCHAR AS document, list_filter(hs, lambda h: NOT list_contains({o.listed(BLOCKED_HEADINGS)}, lower(h)) AND NOT starts_with(lower(h), 'list of ')) AS hs FROM headings)"
+    + ", spread AS (SELECT document, CASE WHEN len(hs) <= 8 THEN hs ELSE list_transform(range(0, 8), lambda i: hs[(i * len(hs) // 8) + 1]) END AS hs FROM useful)"
+    + ", placed AS (SELECT document, unnest(hs) AS name, (generate_subscripts(hs, 1) - 1)::INT AS topic_index FROM spread)"
+    + f" SELECT document, format('topic-{{:02d}}', topic_index) AS topic_id, topic_index, name, '{SECTION_SUMMARY[0].replace(chr(39), chr(39) * 2)}' || name || '{SECTION_SUMMARY[1].replace(chr(39), chr(39) * 2)}' AS summary, {o.keywords('name')} AS keywords FROM placed"
+)
 def section_topics(spark, folder):
     return topics.section_topics(docs_of(spark, folder))
 
@@ -205,13 +246,13 @@ _FALLBACK = (
 
 @query(_FALLBACK + " SELECT document, format('topic-{:02d}', topic_index) AS topic_id, topic_index, array_to_string(" + o.keywords("text") + ", ',') AS keywords FROM picked")
 def fallback_topics(spark, folder):
-    rows = topics.fallback_topics(chunks_of(spark, folder))
+    rows = topics.fallback_topics(chunks_of(spark, folder, counted=True))
     return rows.select("document", "topic_id", "topic_index", F.array_join("keywords", ",").alias("keywords"))
 
 
 @query()
 def fallback_names(spark, folder):
-    return topics.fallback_topics(chunks_of(spark, folder)).select("document", "topic_id", "name", "summary")
+    return topics.fallback_topics(chunks_of(spark, folder, counted=True)).select("document", "topic_id", "name", "summary")
 
 
 @query(CHUNKS + f" SELECT document, chunk_index, {o.noisy('text')} AS noisy FROM chunks")
@@ -228,20 +269,24 @@ _SCORED = _RAW + (
 )
 
 
-def own_topics(spark, folder):
-    rows = topics.fallback_topics(chunks_of(spark, folder)).where("topic_index < 4")
-    keys = F.slice("keywords", 1, 4)
-    return rows.select("document", "topic_id", "topic_index", F.array_join(keys, " ").alias("name"), F.lit("").alias("summary"), keys.alias("keywords"))
+def own_pairs(spark, folder) -> DataFrame:
+    """Every chunk with four topics of its document, named by four keywords each: a document's chunks and topics are one row, so
+    they meet without a shuffle."""
 
+    def topic(t):
+        keys = F.slice(tk.keywords(t["text"]), 1, 4)
+        return tk.let(keys, lambda k: retrieval.prepared_topic(t["topic_index"], F.format_string("topic-%02d", t["topic_index"]), F.array_join(k, " "), F.lit(""), k))
 
-def whole_topics(spark, folder):
-    """Up to eight topics for every document, with names, summaries and eight keywords."""
-    return topics.fallback_topics(chunks_of(spark, folder))
+    chosen = lambda c: F.filter(topics.fallback_chunks(c), lambda t: t["topic_index"] < 4)
+    both = tk.let(chunking.chunk_array(F.col("text"), SIZE, OVERLAP), lambda c: F.struct(c.alias("chunks"), F.transform(chosen(c), topic).alias("topics")))
+    rows = docs_of(spark, folder).select(F.col("doc_id").cast("string").alias("document"), F.inline(F.array(both)))
+    rows = rows.select("document", "topics", F.posexplode("chunks").alias("chunk_index", "text"))
+    return retrieval.scored_topics(rows.withColumn("chunk_id", F.format_string("%s-chunk-%04d", "document", "chunk_index")))
 
 
 @query(_SCORED + " SELECT document, chunk_index, topic_id, raw, score FROM final")
 def lexical_score(spark, folder):
-    return retrieval.lexical_scores(chunks_of(spark, folder), own_topics(spark, folder)).select("document", "chunk_index", "topic_id", "raw", "score")
+    return own_pairs(spark, folder).select("document", "chunk_index", "topic_id", "raw", "score")
 
 
 @query(
@@ -251,14 +296,14 @@ def lexical_score(spark, folder):
     + " SELECT document, topic_id, rank::INT AS rank, chunk_index FROM running WHERE upto <= 6000"
 )
 def budget_context(spark, folder):
-    scored = retrieval.lexical_scores(chunks_of(spark, folder), own_topics(spark, folder)).withColumn("name", F.lit(""))
-    return retrieval.topic_contexts(scored, 6000).select("document", "topic_id", "rank", "chunk_index")
+    return retrieval.selected_chunks(own_pairs(spark, folder).withColumn("name", F.lit("")), 6000).select("document", "topic_id", "rank", "chunk_index")
 
 
 @query()
 def literal_context(spark, folder):
-    rows = whole_topics(spark, folder)
-    return retrieval.topic_contexts(retrieval.lexical_scores(retrieval.usable_chunks(chunks_of(spark, folder)), rows)).select("document", "topic_id", "rank", "chunk_id")
+    chunks = saved_chunks(spark, folder)
+    scored = retrieval.lexical_scores(retrieval.usable_chunks(chunks), topics.fallback_topics(chunks))
+    return retrieval.selected_chunks(scored).select("document", "topic_id", "rank", "chunk_id")
 
 
 _CENTRES = "centres AS (SELECT label, list(m ORDER BY i) AS centre FROM (SELECT label, i, avg(v::DOUBLE) AS m FROM (SELECT label, unnest(embedding) AS v, generate_subscripts(embedding, 1) AS i FROM embeddings) GROUP BY label, i) GROUP BY label)"
@@ -270,10 +315,15 @@ def centres_of(spark, folder):
     return means.groupBy("label").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "m"))), lambda s: s["m"]).alias("centre"))  # one entry per dimension
 
 
-@query("WITH " + _CENTRES + " SELECT e.vec_id, c.label AS topic, round(list_cosine_similarity(e.embedding::DOUBLE[], c.centre), 6) AS similarity FROM embeddings e, centres c WHERE e.label = c.label")
+@query("WITH " + _CENTRES + " SELECT e.vec_id, c.label AS topic, round(list_cosine_similarity(e.embedding::DOUBLE[], c.centre), 6) AS similarity FROM embeddings e, centres c")
 def cosine_to_topic(spark, folder):
-    rows = table(spark, folder, "embeddings").join(centres_of(spark, folder), "label")
-    return rows.select("vec_id", F.col("label").alias("topic"), F.round(tk.cosine(F.col("embedding"), F.col("centre")), 6).alias("similarity"))
+    """Every vector with the centroid of every label: a label is one row, and the few of them are one literal of the plan."""
+    centres = centres_of(spark, folder).orderBy("label").limit(MOST_LABELS + 1).collect()
+    if len(centres) > MOST_LABELS:
+        raise ValueError(f"more than {MOST_LABELS} labels")
+    each = F.array(*[F.struct(F.lit(r["label"]).alias("topic"), F.array(*map(F.lit, r["centre"])).alias("centre")) for r in centres])
+    rows = table(spark, folder, "embeddings").select("vec_id", "embedding", F.inline(each))
+    return rows.select("vec_id", "topic", F.round(tk.cosine(F.col("embedding"), F.col("centre")), 6).alias("similarity"))
 
 
 @query()
@@ -282,36 +332,46 @@ def hybrid_score(spark, folder):
     vectors = table(spark, folder, "embeddings").select(F.col("vec_id").cast("string").alias("document"), F.col("embedding").alias("chunk_vector"))
     place = F.row_number().over(Window.orderBy("label")) - 1  # a few labels
     centres = centres_of(spark, folder).select(place.alias("topic_index"), F.col("centre").alias("of_place"))
-    scored = retrieval.lexical_scores(chunks_of(spark, folder), whole_topics(spark, folder))
+    chunks = saved_chunks(spark, folder)
+    scored = retrieval.lexical_scores(chunks, topics.fallback_topics(chunks))
     scored = scored.join(vectors, "document", "left").join(F.broadcast(centres), "topic_index", "left")
     scored = scored.withColumn("topic_vector", F.when(F.col("chunk_vector").isNotNull(), F.col("of_place")))
     return retrieval.semantic_scores(scored, hybrid=True).select("document", "topic_id", "chunk_index", F.round("score", 6).alias("score"))
 
 
-@query()
+_SENTENCES = f"WITH flat AS (SELECT conv_id, turn, replace({o.collapse_space('text')}, chr(10), ' ') AS t FROM conversations), parts AS (SELECT conv_id, turn, list_filter(list_transform(string_split(regexp_replace(t, '([.!?])\\s+([\"''(\\[]?[A-Z0-9])', '\\1' || chr(1) || '\\2', 'g'), chr(1)), lambda x: trim(x)), lambda x: regexp_matches(x, '[.!?)]$')) AS p FROM flat)"
+
+
+@query(_SENTENCES + " SELECT conv_id, turn, unnest(p) AS sentence, (generate_subscripts(p, 1) - 1)::INT AS place FROM parts")
 def sentences(spark, folder):
     return table(spark, folder, "conversations").select("conv_id", "turn", F.posexplode(tk.sentences(F.col("text"))).alias("place", "sentence"))
 
 
 @query()
 def evidence(spark, folder):
-    return pipeline.evidence(chunks_of(spark, folder), whole_topics(spark, folder)).select("document", "topic_id", "evidence_id", "evidence_rank", "score")
+    chunks = saved_chunks(spark, folder)
+    return pipeline.evidence(chunks, topics.fallback_topics(chunks), Settings(retrieval="lexical")).select("document", "topic_id", "evidence_id", "evidence_rank", "score")
 
 
 @query("SELECT d.doc_id, b.item_id FROM documents d JOIN benchmark b ON contains(lower(" + o.collapse_space("d.text") + "), lower(" + o.collapse_space("b.text") + ")) WHERE length(b.text) >= 20")
 def verified_source(spark, folder):
-    """Passages meet texts on their rarest kind of key, a run of words, and only then as a whole."""
+    """Passages meet texts on a hash of four words in a row, or of one word where they have fewer, and only then as a whole."""
     text = F.lower(tx.collapse_space(F.col("text")))
+    runs = lambda c: F.filter(F.split(c, "[^\\p{L}\\p{N}]+"), lambda w: w != "")
     passages = table(spark, folder, "benchmark").select("item_id", text.alias("passage")).where("passage <> ''")
-    docs = docs_of(spark, folder).select("doc_id", text.alias("body"))
-    runs = F.filter(F.split(F.col("passage"), "[^\\p{L}\\p{N}]+"), lambda w: w != "")
-    inner = F.slice(runs, F.lit(2), F.lit(4))
-    passages = passages.withColumn("run", F.when(F.size(runs) >= 6, F.array_join(inner, " ")))
-    words = F.filter(F.split(F.col("body"), "[^\\p{L}\\p{N}]+"), lambda w: w != "")
-    grams = tk.let(words, lambda ws: F.when(F.size(ws) >= 4, F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.size(ws) - 3, F.lit(1))), lambda i: F.array_join(F.slice(ws, i, 4), " ")))).otherwise(F.array().cast("array<string>")))
-    long, short = passages.where("run IS NOT NULL"), passages.where("run IS NULL")
-    hits = docs.withColumn("run", F.explode(grams)).join(long, "run").where(F.contains(F.col("body"), F.col("passage")))
-    few = docs.join(short, F.contains(F.col("body"), F.col("passage")))
+    passages = written(passages.select("item_id", "passage", runs(F.col("passage")).alias("w")), "passages")
+    whole = F.slice("w", F.lit(2), F.greatest(F.size("w") - 2, F.lit(0)))  # the first and the last word may stand within others
+    grams = passages.select("item_id", F.when(F.size("w") >= 6, F.xxhash64(F.array_join(F.slice(whole, 1, 4), " "))).when(F.size("w") >= 3, F.xxhash64(F.array_max(F.transform(whole, lambda x: F.struct(F.length(x).alias("n"), x.alias("x"))))["x"])).alias("key"))
+
+    def keys(words):
+        n = F.size(words)
+        four = F.transform(F.sequence(F.lit(1), F.greatest(n - 3, F.lit(1))), lambda i: F.xxhash64(F.array_join(F.slice(words, i, 4), " ")))
+        return F.array_distinct(F.concat(F.when(n >= 4, four).otherwise(F.array().cast("array<bigint>")), F.transform(words, lambda x: F.xxhash64(x))))
+
+    docs = docs_of(spark, folder)
+    near = docs.select("doc_id", F.explode(tk.let(runs(text), keys)).alias("key")).join(grams.where("key IS NOT NULL"), "key").select("doc_id", "item_id").distinct()
+    hits = docs.select("doc_id", text.alias("body")).join(near, "doc_id").join(passages.select("item_id", "passage"), "item_id").where(F.contains("body", "passage"))
+    few = docs.select("doc_id", text.alias("body")).join(passages.where(F.size("w") < 3).select("item_id", "passage"), F.contains("body", "passage"))
     return hits.select("doc_id", "item_id").unionByName(few.select("doc_id", "item_id")).distinct()
 
 
@@ -428,7 +488,20 @@ def split_sizes(spark, folder):
     return splits.split_rows(items_of(spark, folder)).groupBy("split").agg(F.count(F.lit(1)).alias("items"))
 
 
-@query()
+_H = "md5('{}:' || {})".format
+_SPLIT = "WITH " + o.ITEMS_CTE + f"""
+, n AS (SELECT count(*) AS n, floor(count(*) * 0.8)::BIGINT AS tr, floor(count(*) * 0.1)::BIGINT AS nv, count(*) - floor(count(*) * 0.8)::BIGINT - floor(count(*) * 0.1)::BIGINT AS nt FROM items)
+, per AS (SELECT topic_id, count(*) AS c, arg_min(id, {_H(42, "id")}) AS a, arg_min(id, {_H(44, "id")}) AS b, arg_max(id, {_H(44, "id")}) AS z FROM items GROUP BY topic_id)
+, vals AS (SELECT topic_id, a FROM (SELECT topic_id, a, row_number() OVER (ORDER BY {_H(42, "topic_id")}, topic_id) AS p FROM per WHERE c >= 3), n WHERE p <= nv)
+, tests AS (SELECT CASE WHEN took AND a = b THEN z ELSE b END AS id FROM (SELECT per.*, v.topic_id IS NOT NULL AS took, row_number() OVER (ORDER BY {_H(42, "per.topic_id")}, per.topic_id) AS p
+  FROM per LEFT JOIN vals v USING (topic_id) WHERE c - CASE WHEN v.topic_id IS NULL THEN 0 ELSE 1 END >= 2), n WHERE p <= nt)
+, firsts AS (SELECT a AS id, 'val' AS split FROM vals UNION ALL SELECT id, 'test' FROM tests)
+, rest AS (SELECT id, row_number() OVER (ORDER BY {_H(43, "id")}, id) - 1 AS p FROM items WHERE id NOT IN (SELECT id FROM firsts))
+, more AS (SELECT nv - (SELECT count(*) FROM firsts WHERE split = 'val') AS mv, nt - (SELECT count(*) FROM firsts WHERE split = 'test') AS mt FROM n)
+, placed AS (SELECT id, split FROM firsts UNION ALL SELECT id, CASE WHEN p < mv THEN 'val' WHEN p < mv + mt THEN 'test' ELSE 'train' END FROM rest, more)"""
+
+
+@query(_SPLIT + " SELECT i.id, i.topic_id, p.split FROM items i JOIN placed p ON i.id = p.id")
 def split_members(spark, folder):
     return splits.split_rows(items_of(spark, folder)).select("id", "topic_id", "split")
 
@@ -446,7 +519,7 @@ def audit_topics(spark, folder):
 
 
 @query(
-    _AUDIT + " SELECT count(*) AS topics, count(*) FILTER (accepted = 0) AS empty_topics, count(*) FILTER (accepted = 1) AS low_topics, sum(accepted)::BIGINT AS accepted_rows, round_even(count(*) FILTER (accepted > 0) / count(*), 4) AS coverage_ratio, sum(accepted) > 0 AND count(*) FILTER (accepted = 0) <= greatest(1, count(*) // 5) AS pipeline_success FROM audit"
+    _AUDIT + " SELECT count(*) AS topics, count(*) FILTER (accepted = 0) AS empty_topics, count(*) FILTER (accepted = 1) AS low_topics, sum(accepted)::BIGINT AS accepted_rows, round_even(count(*) FILTER (accepted > 0) / count(*), 4) AS coverage_ratio, count(*) > 0 AND count(*) FILTER (accepted = 0) <= greatest(1, count(*) // 5) AS pipeline_success FROM audit"
 )
 def coverage(spark, folder):
     return splits.coverage(audit_of(spark, folder))
@@ -457,11 +530,17 @@ def backfill_deficit(spark, folder):
     return splits.deficits(gated_items(spark, folder).where("rejection_reason IS NULL"), topics_of(spark, folder))
 
 
-@query("WITH " + o.ITEMS_CTE + f" SELECT i.id FROM items i WHERE {o.signature('i.question')} NOT IN (SELECT {o.signature('question')} FROM items WHERE seq % 300 < 100)")
+@query(
+    "WITH " + o.ITEMS_CTE + f", asked AS (SELECT concat('conv-', conv_id % 10) AS document, {o.signature('text')} AS s, conv_id * 100 + turn AS seq FROM conversations WHERE role = 'user')"
+    + f" SELECT i.id FROM items i WHERE NOT EXISTS (SELECT 1 FROM asked a WHERE a.document = i.document AND a.s = {o.signature('i.question')} AND a.seq < i.seq)"
+)
 def anti_existing(spark, folder):
+    """Items whose question has not been asked before in their document, by any user's turn of the whole table."""
     items = items_of(spark, folder).withColumn("s", tx.signature(F.col("question")))
-    known = items.where("seq % 300 < 100").select(F.col("s").alias("k"))
-    return items.join(known, F.col("s") == F.col("k"), "left_anti").select("id")
+    turns = table(spark, folder, "conversations").where("role = 'user'")
+    asked = turns.select(F.concat(F.lit("conv-"), F.col("conv_id") % 10).alias("d"), tx.signature(F.col("text")).alias("k"), (F.col("conv_id") * 100 + F.col("turn")).alias("at"))
+    first = asked.groupBy("d", "k").agg(F.min("at").alias("first"))
+    return items.join(first, (F.col("document") == F.col("d")) & (F.col("s") == F.col("k")) & (F.col("first") < F.col("seq")), "left_anti").select("id")
 
 
 _A, _C = o.answer_tokens("answer"), o.answer_tokens("context_source")

@@ -7,7 +7,9 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import clean_markup, repair_encoding
 from ..functions.tokens import keywords
+from ..store import path_exists
 
 TOPIC = "topic_id string, topic_index int, name string, summary string, keywords array<string>"
 ITEM = (
@@ -19,6 +21,8 @@ ITEM = (
 
 def pdf_files(spark: SparkSession, folder: str) -> DataFrame:
     """(path, name, stem, content) of the PDF files directly in a folder, whatever the suffix's case, by path."""
+    if not path_exists(spark, folder):
+        raise FileNotFoundError(f"no folder {folder}")
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.[pP][dD][fF]").load(folder)
     name = F.element_at(F.split("path", "/"), -1)
     return files.select("path", name.alias("name"), F.regexp_replace(name, "\\.[^.]*$", "").alias("stem"), "content").orderBy("path")
@@ -41,12 +45,24 @@ def only_documents(files: DataFrame, wanted: str | None) -> DataFrame:
 def extracted(files: DataFrame, extract: Callable[[bytes], str] | None = None) -> DataFrame:
     """(document, document_stem, raw_text); a file that cannot be read gives an empty text.
 
-    ``extract`` turns a file's bytes into text; the default needs pypdf.
+    ``extract`` turns a file's bytes into text; by default the text as markdown where pymupdf4llm is there and can read the
+    file, else the pages that pypdf can read. Wrongly decoded characters are repaired and markup is cleaned away.
     """
 
+    def marked_down(content: bytes) -> str:
+        import pymupdf
+        import pymupdf4llm
+
+        with pymupdf.open(stream=content, filetype="pdf") as document:
+            return pymupdf4llm.to_markdown(document)
+
     def default(content: bytes) -> str:
         import io
 
+        try:
+            return marked_down(content)
+        except Exception:  # noqa: BLE001  absent, or a file that it cannot read
+            pass
         import pypdf
 
         pages = []
@@ -72,7 +88,8 @@ def extracted(files: DataFrame, extract: Callable[[bytes], str] | None = None) -
             yield pdf.assign(raw_text=texts)[["document", "document_stem", "raw_text"]]
 
     picked = files.select(F.col("name").alias("document"), F.col("stem").alias("document_stem"), "content")
-    return picked.mapInPandas(run, "document string, document_stem string, raw_text string")
+    rows = picked.mapInPandas(run, "document string, document_stem string, raw_text string")
+    return rows.withColumn("raw_text", clean_markup(repair_encoding(F.col("raw_text"))))
 
 
 def text_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -114,16 +131,21 @@ def questions_file(spark: SparkSession, path: str) -> DataFrame:
 
 
 def checkpoint_items(spark: SparkSession, path: str) -> DataFrame:
-    """Items of earlier runs from JSON lines; lines that are no JSON are left out."""
+    """Items of earlier runs from JSON lines; lines that are no JSON are left out; none where there is no file or an empty one."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], ITEM).drop("_corrupt")
     rows = spark.read.schema(ITEM).option("columnNameOfCorruptRecord", "_corrupt").json(path)
     return rows.where("_corrupt IS NULL").drop("_corrupt")
 
 
-def resume_counts(items: DataFrame, debug: DataFrame | None = None) -> DataFrame:
-    """(document, chunks, topics) from a debug table (document, chunk_count, topic_count), else from the items."""
-    chunks = items.select("document", F.explode_outer("source_chunk_ids").alias("c")).groupBy("document").agg(F.countDistinct("c").alias("seen_chunks"))
+def resume_counts(items: DataFrame, debug: DataFrame | None = None, chunks: DataFrame | None = None) -> DataFrame:
+    """(document, chunks, topics) of documents with items: from a debug table (document, chunk_count, topic_count) where it
+    counts any, else from ``chunks`` (document) made anew, else from what the items name."""
+    seen = items.select("document", F.explode_outer("source_chunk_ids").alias("c")).groupBy("document").agg(F.countDistinct(F.nullif(F.trim("c"), F.lit(""))).alias("seen_chunks"))
     topics = items.groupBy("document").agg(F.countDistinct(F.nullif(F.trim("topic_id"), F.lit(""))).alias("seen_topics"))
-    rows = chunks.join(topics, "document")
-    if debug is None:
-        return rows.select("document", F.col("seen_chunks").alias("chunks"), F.col("seen_topics").alias("topics"))
-    return rows.join(debug, "document", "left").select("document", F.coalesce("chunk_count", "seen_chunks").alias("chunks"), F.coalesce("topic_count", "seen_topics").alias("topics"))
+    rows, none = seen.join(topics, "document"), F.lit(None).cast("long")
+    rows = rows.join(debug.select("document", "chunk_count", "topic_count"), "document", "left") if debug is not None else rows.withColumns({"chunk_count": none, "topic_count": none})
+    made = None if chunks is None else chunks.groupBy("document").agg(F.count(F.lit(1)).alias("made"))
+    rows = rows.withColumn("made", none) if made is None else rows.join(made, "document", "left")
+    positive = lambda c: F.when(F.col(c) > 0, F.col(c))
+    return rows.select("document", F.coalesce(positive("chunk_count"), "made", "seen_chunks").alias("chunks"), F.coalesce(positive("topic_count"), "seen_topics").alias("topics"))
