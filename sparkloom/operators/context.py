@@ -89,7 +89,7 @@ def anchored_excerpt(context: Column, fragment: Column, most: int = 500) -> Colu
     def anchored(x: Column) -> Column:
         whole = x["context"]
         start = F.when(x["fragment"] == "", -1).otherwise(place_of(whole, F.substring(x["fragment"], 1, PROBE)))
-        span = F.element_at(F.filter(x["spans"], lambda s: s["start"] <= start), -1)
+        span = F.try_element_at(F.filter(x["spans"], lambda s: s["start"] <= start), F.lit(-1))
         return let(F.struct(start.alias("at"), F.coalesce(span["start"], F.lit(0)).alias("start"), F.coalesce(span["body"], F.lit(0)).alias("body")), lambda p: built(whole, p))
 
     def built(whole: Column, p: Column) -> Column:

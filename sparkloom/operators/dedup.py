@@ -89,55 +89,60 @@ def duplicate_links(items: DataFrame, seq: str = "seq") -> DataFrame:
 
 
 def ordered_choice(links: DataFrame, groups: DataFrame) -> DataFrame:
-    """(node, reason) of the rows that fall: a row falls to an earlier one that itself stays.
+    """(node) of the rows that fall: a row falls to an earlier one that itself stays.
 
-    ``links`` (earlier, later, place, reason) are pairs; ``groups`` (node, key, place, reason) are rows of which each links with
-    every later one of its key. The choice depends on order and is not transitive, so rows are settled in rounds: one
-    without open earlier neighbours stays, and its later neighbours fall. A round joins tables in the shared folder; a
-    group is told by its least open and least staying row, and no row meets the driver.
+    ``links`` (earlier, later, ..) are pairs; ``groups`` (node, key, ..) are rows of which each links with every later one of its
+    key. The choice depends on order and is not transitive, so rows are settled in rounds: one without open earlier
+    neighbours stays, and its later neighbours fall. A round joins tables in the shared folder; a group is told by its
+    least open and its staying row, and no row meets the driver.
     """
-    spark = links.sparkSession
-    links, groups = written(links, "dedup-links"), written(groups, "dedup-groups")
-    fallen = spark.createDataFrame([], "node long, reason string")
+    fallen = links.sparkSession.createDataFrame([], "node long")
     while not (links.isEmpty() and groups.isEmpty()):
         firsts = groups.groupBy("key").agg(F.min("node").alias("first"))
-        heads = groups.join(firsts, "key")
-        waits = links.select(F.col("later").alias("node")).unionByName(heads.where("node > first").select("node")).distinct()
+        waits = links.select(F.col("later").alias("node")).unionByName(groups.join(firsts, "key").where("node > first").select("node")).distinct()
         open_rows = links.select(F.col("earlier").alias("node")).unionByName(groups.select("node")).distinct()
         stays = written(open_rows.join(waits, "node", "left_anti"), "dedup-stays")
-        by_link = links.join(stays.withColumnRenamed("node", "earlier"), "earlier").select(F.col("later").alias("node"), "place", "reason")
+        by_link = links.join(stays.withColumnRenamed("node", "earlier"), "earlier", "left_semi").select(F.col("later").alias("node"))
         kept_keys = groups.join(stays, "node", "left_semi").select("key", F.col("node").alias("kept"))
-        by_group = groups.join(kept_keys, "key").where("node > kept").select("node", "place", "reason")
-        now = written(by_link.unionByName(by_group).groupBy("node").agg(F.min(F.struct("place", "reason")).alias("x")).select("node", "x.reason"), "dedup-fallen")
+        by_group = groups.join(kept_keys, "key").where("node > kept").select("node")
+        now = written(by_link.unionByName(by_group).distinct(), "dedup-fallen")
         fallen = fallen.unionByName(now)
-        settled = written(now.select("node").unionByName(stays), "dedup-settled")
+        settled = written(now.unionByName(stays), "dedup-settled")
         links = links.join(settled.withColumnRenamed("node", "later"), "later", "left_anti").join(settled.withColumnRenamed("node", "earlier"), "earlier", "left_anti")
         links, groups = written(links, "dedup-links"), written(groups.join(settled, "node", "left_anti"), "dedup-groups")
-    return fallen
+    return written(fallen, "dedup-all-fallen")
 
 
 def deduplicate_items(items: DataFrame, seq: str = "seq") -> DataFrame:
     """``items`` with duplicate_reason, null where the item stays; compared in the order of ``seq`` with those that stay.
 
-    Items whose question and answer are the same text are one to all others and fall together or to their first, so only
-    the first is compared; items that share a signature are a group and not pairs.
+    Items whose question and answer are the same text are one to all others, and the later ones fall whatever becomes of the
+    first, so only the first is compared; items that share a signature are a group and not pairs. An item's reason is the
+    first check that any earlier staying item meets.
     """
     sets = with_sets(items.select(seq, text(F.col("question")).alias("question"), text(F.col("answer")).alias("answer")))
     sets = written(sets.withColumn("same", F.md5(F.concat_ws("\u0000", "question", "answer"))), "dedup-sets")
-    firsts = sets.groupBy("same").agg(F.min(seq).alias("first"))
-    blank = sets.where("question_signature = ''").select(F.col(seq).alias("node"), F.lit("duplicate_exact").alias("reason"))
-    heads = written(sets.where("question_signature <> ''").join(firsts.select(F.col("first").alias(seq)), seq, "left_semi"), "dedup-heads")
+    firsts = written(sets.groupBy("same").agg(F.min(seq).alias("head")), "dedup-firsts")
+    named = written(sets.where("question_signature <> ''").join(firsts, "same").select(F.col(seq).alias("node"), "head"), "dedup-named")
+    heads = written(sets.join(named.where("node = head").select(F.col("node").alias(seq)), seq, "left_semi"), "dedup-heads")
     groups = None
     for key, least, place, reason in EXACT:
         rows = heads.where(F.length(key) >= least).select(F.col(seq).alias("node"), F.concat(F.lit(f"{place}:"), key).alias("key"), F.lit(place).alias("place"), F.lit(reason).alias("reason"))
         groups = rows if groups is None else groups.unionByName(rows)
-    several = groups.groupBy("key").count().where("count > 1").select("key")
-    fallen = ordered_choice(similar_links(heads, seq), groups.join(several, "key", "left_semi"))
-    again = sets.where("question_signature <> ''").join(firsts.withColumnRenamed("same", "of"), (F.col("same") == F.col("of")) & (F.col(seq) > F.col("first"))).select(F.col(seq).alias("node"), "first")
-    reasons = fallen.select(F.col("node").alias("first"), "reason")
-    copies = again.join(reasons, "first", "left").select("node", F.coalesce("reason", F.lit("duplicate_exact")).alias("reason"))
-    every = written(fallen.unionByName(copies).unionByName(blank), "dedup-reasons")
-    return items.join(every.withColumnRenamed("reason", "duplicate_reason"), F.col(seq) == F.col("node"), "left").drop("node")
+    several = written(groups.groupBy("key").count().where("count > 1").select("key"), "dedup-keys")
+    groups, links = written(groups.join(several, "key"), "dedup-groups"), written(similar_links(heads, seq), "dedup-links")
+    fallen = ordered_choice(links, groups)
+    kept = written(named.where("node = head").join(fallen, "node", "left_anti").select(F.col("node").alias("kept")), "dedup-kept")
+
+    asked = named.join(kept, F.col("node") == F.col("kept"), "left_anti")
+    both = links.select(F.col("later").alias("head"), F.col("earlier").alias("kept"), "place", "reason").unionByName(links.select(F.col("earlier").alias("head"), F.col("later").alias("kept"), "place", "reason"))
+    by_link = asked.join(both.join(kept, "kept", "left_semi"), "head").where("kept < node").select("node", "place", "reason")
+    kept_keys = groups.join(kept, F.col("node") == F.col("kept")).select("key", "kept")
+    by_group = asked.join(groups.withColumnRenamed("node", "head"), "head").join(kept_keys, "key").where("kept < node").select("node", "place", "reason")
+    by_head = asked.join(kept, F.col("head") == F.col("kept"), "left_semi").select("node", F.lit(1).alias("place"), F.lit("duplicate_exact").alias("reason"))
+    told = by_link.unionByName(by_group).unionByName(by_head).groupBy("node").agg(F.min(F.struct("place", "reason")).alias("x")).select("node", F.col("x.reason").alias("duplicate_reason"))
+    blank = sets.where("question_signature = ''").select(F.col(seq).alias("node"), F.lit("duplicate_exact").alias("duplicate_reason"))
+    return items.join(written(told.unionByName(blank), "dedup-reasons"), F.col(seq) == F.col("node"), "left").drop("node")
 
 
 def duplicate_counts(deduplicated: DataFrame) -> DataFrame:

@@ -131,8 +131,13 @@ def topics_from_reply(rows: DataFrame, reply: str = "reply", most: int | None =
     none = F.array().cast("array<string>")
     is_text = F.schema_of_variant("v") == "STRING"
     plain = F.when(is_text, F.nullif(F.trim(F.try_variant_get("v", "$", "string")), F.lit("")))
-    lists_given = [F.nullif(F.try_variant_get("v", f"$['{k}']", "array<string>"), none) for k in KEYWORD_KEYS]
-    given = F.coalesce(*lists_given, F.split(first(KEYWORD_KEYS), ","), none)
+
+    def keywords_under(k: str) -> Column:
+        listed = F.startswith(F.schema_of_variant(F.try_variant_get("v", f"$['{k}']", "variant")), F.lit("ARRAY"))
+        parts = F.split(F.nullif(F.trim(F.try_variant_get("v", f"$['{k}']", "string")), F.lit("")), ",")
+        return F.when(listed, F.nullif(F.try_variant_get("v", f"$['{k}']", "array<string>"), none)).otherwise(parts)
+
+    given = F.coalesce(*map(keywords_under, KEYWORD_KEYS), none)
     named = entries.select("document", "topic_index", F.coalesce(plain, first(NAME_KEYS)).alias("name"), F.coalesce(plain, first(SUMMARY_KEYS)).alias("summary"), F.slice(distinct_in_order(given), 1, 12).alias("keywords"))
     named = named.where("name IS NOT NULL").withColumn("once", F.row_number().over(Window.partitionBy("document", F.lower("name")).orderBy("topic_index"))).where("once = 1").drop("once")
     if most is not None:

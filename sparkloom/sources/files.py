@@ -15,7 +15,7 @@ TOPIC = "topic_id string, topic_index int, name string, summary string, keywords
 ITEM = (
     "id string, question string, answer string, type string, difficulty string, context_source string, context_source_verified boolean, "
     "topic string, topic_id string, topic_keywords array<string>, document string, document_language string, source_chunk_ids array<string>, "
-    "created_at string, context_excerpt string, topic_summary string, rejection_reason string, _corrupt string"
+    "created_at string, context_excerpt string, topic_summary string, rejection_reason string"
 )
 
 
@@ -133,9 +133,10 @@ def questions_file(spark: SparkSession, path: str) -> DataFrame:
 def checkpoint_items(spark: SparkSession, path: str) -> DataFrame:
     """Items of earlier runs from JSON lines; lines that are no JSON are left out; none where there is no file or an empty one."""
     if not path_exists(spark, path):
-        return spark.createDataFrame([], ITEM).drop("_corrupt")
-    rows = spark.read.schema(ITEM).option("columnNameOfCorruptRecord", "_corrupt").json(path)
-    return rows.where("_corrupt IS NULL").drop("_corrupt")
+        return spark.createDataFrame([], ITEM)
+    lines = spark.read.text(path)
+    is_object = F.startswith(F.schema_of_variant(F.try_parse_json("value")), F.lit("OBJECT"))
+    return lines.where(is_object).select(F.from_json("value", ITEM).alias("x")).select("x.*")
 
 
 def resume_counts(items: DataFrame, debug: DataFrame | None = None, chunks: DataFrame | None = None) -> DataFrame:
