@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
+import itertools
 import json
 import os
-import re
-import struct
 import zlib
 from collections.abc import Iterator
 
@@ -15,19 +14,23 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..store import written
-from .tokens import KEPT, tidy
+from .tokens import KEPT, LOWER, NOT_ALNUM, PLAIN, SPACE, Slice, mix, separators, slices, span_hashes, tidy
 
-#: Words and stems of words whose ids a worker remembers; the memory is emptied when it is full.
-REMEMBERED = 900_000
-#: Words that the tokenizer encodes at once; its results take much more room than their ids.
+#: Units that a worker remembers by 64-bit hashes; the memory is emptied when it is full.
+REMEMBERED = 2_000_000
+#: Units that the tokenizer encodes at once; its results take much more room than their ids.
 BATCH = 2_000
-#: What is cut from a word's end before its stem is looked up. Without quotes, which begin contractions, and without
-#: the signs that end special tokens.
-CLOSING = b".,;:!?*#$%&|"
+#: What is cut from a word's end, a unit of its own. Without quotes, which begin contractions, and without the signs that
+#: end special tokens.
+CLOSING = separators(b".,;:!?*#$%&|")
+#: Letters and digits of ASCII and all bytes beyond.
+ALNUM = ~NOT_ALNUM
 #: Whole texts that another tokenizer encodes at once.
 WHOLE = 64
-#: Words of ASCII and the letters of Latin-1 in UTF-8.
-LATIN = re.compile(rb"(?:[\x00-\x7f]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])*").fullmatch
+#: The second bytes of the letters of Latin-1 in UTF-8, whose first is LATIN.
+LATIN, LATIN_LETTERS = 0xC3, separators(bytes(x for x in range(0x80, 0xC0) if x not in (0x97, 0xB7)))
+#: Tells units that are hashed as they stand from those hashed in lower case.
+AS_IT_STANDS = np.uint64(0x517CC1B727220A95)
 #: The steps of a tokenizer file whose ids are those of the words one after the other.
 NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
 PRE_TOKENIZER = {
@@ -41,13 +44,45 @@ PRE_TOKENIZER = {
 RANK_PARTS = 256
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # executors share a machine
-_known: dict[bytes, bytes] = {}
 _encoder: dict[str, tuple] = {}
 OWNER = "packing"
 
 
+class Memory:
+    """Ids of units by hash: sorted keys, and where each unit's ids begin and how many there are in one array of ids."""
+
+    def __init__(self):
+        self.clear()
+
+    def clear(self) -> None:
+        self.keys, self.first, self.count = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids, self.used = np.zeros(1 << 16, "<u4"), 0
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Places of sorted keys, -1 for those that are not there."""
+        if not len(self.keys):
+            return np.full(len(keys), -1)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, at, -1)
+
+    def add(self, keys: np.ndarray, found: list[list[int]]) -> None:
+        """Sorted new keys and their ids."""
+        count = np.fromiter(map(len, found), np.int64, len(found))
+        total = int(count.sum())
+        if self.used + total > len(self.ids):
+            self.ids = np.concatenate([self.ids[: self.used], np.zeros(max(total, len(self.ids)), "<u4")])
+        self.ids[self.used : self.used + total] = np.fromiter(itertools.chain.from_iterable(found), "<u4", total)
+        first = self.used + np.cumsum(count) - count
+        self.used += total
+        at = np.searchsorted(self.keys, keys)
+        self.keys, self.first, self.count = np.insert(self.keys, at, keys), np.insert(self.first, at, first), np.insert(self.count, at, count)
+
+
+_memory = Memory()
+
+
 def forget() -> None:
-    _known.clear()
+    _memory.clear()
     _encoder.clear()
 
 
@@ -79,46 +114,81 @@ def by_words(path: str) -> bool:
     return plain and steps["model"]["type"] == "BPE" and not steps["model"]["dropout"] and steps["normalizer"] == NORMALIZER and steps["pre_tokenizer"] == PRE_TOKENIZER
 
 
-def parts_of(word: bytes) -> tuple[bytes, bytes]:
-    """The word in lower case as far as ASCII goes, and what is cut from its end: a run of CLOSING after a letter or digit.
+def units_of(part: Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends, rows and keys of the units of a slice: its words, each without its closing signs, and these.
 
-    The tokenizer gives such a run a pre-token of its own. Only words of ASCII and Latin-1 letters are changed: no letter of
-    theirs composes with another, and each has one letter as its lower case. All others, and those that may hold special
-    tokens, stay as they are.
+    The tokenizer gives a run of CLOSING after a letter or digit a pre-token of its own. Only words of ASCII and Latin-1
+    letters are cut and known by their lower case: no letter of theirs composes with another, and each has one letter as its
+    lower case. All others, and those that may hold special tokens, are units as they stand.
     """
-    if b"<|" in word or not (word.isascii() or LATIN(word)):
-        return word, b""
-    word = word.lower()
-    stem = word.rstrip(CLOSING)
-    if stem and len(stem) < len(word) and (stem[-1] > 127 or stem[-1:].isalnum()):
-        return stem, word[len(stem) :]
-    return word, b""
-
-
-def encode(texts: list[bytes], path: str) -> list[bytes]:
-    """Token ids of each text as little-endian unsigned 32-bit integers.
-
-    Where the tokenizer works within words (see ``by_words``) the ids of a text are those of its words one after the other.
-    White space neither composes with what follows it nor lets marks change places across it, so a word's ids do not
-    depend on its neighbours; a word's parts are encoded once and remembered.
+    data = part.data
+    starts, ends, rows = part.spans(SPACE)
+    if not len(starts):
+        return starts, ends, rows, np.zeros(0, np.uint64)
+    follows = np.append(data[1:], np.uint8(0))
+    letter = (data == LATIN) & LATIN_LETTERS[follows]
+    other = (data > 127) & ~letter & ~np.append(False, letter[:-1])
+    other |= (data == ord("<")) & (follows == ord("|"))
+    bad = np.zeros(len(data) + 1, np.int32)
+    np.cumsum(other, out=bad[1:])
+    plain = bad[ends] == bad[starts]
+    last = np.maximum.accumulate(np.where(CLOSING[data], -1, np.arange(len(data))))[ends - 1] + 1
+    cut = plain & (last > starts) & (last < ends)
+    cut[cut] = ALNUM[data[last[cut] - 1]]
+    tails = np.flatnonzero(cut)
+    at = np.arange(len(starts)) + np.cumsum(cut) - cut  # a word's unit, with its tail behind it
+    n = len(starts) + len(tails)
+    unit_starts, unit_ends, unit_rows, lower = np.empty(n, np.int64), np.empty(n, np.int64), np.empty(n, np.int64), np.ones(n, bool)
+    unit_starts[at], unit_ends[at], unit_rows[at], lower[at] = starts, np.where(cut, last, ends), rows, plain
+    unit_starts[at[tails] + 1], unit_ends[at[tails] + 1], unit_rows[at[tails] + 1] = last[tails], ends[tails], rows[tails]
+    keys = span_hashes(data, unit_starts, unit_ends, LOWER)
+    rest = np.flatnonzero(~lower)
+    if len(rest):
+        keys[rest] = mix(span_hashes(data, unit_starts[rest], unit_ends[rest], PLAIN) ^ AS_IT_STANDS)
+    return unit_starts, unit_ends, unit_rows, keys
+
+
+def slice_ids(part: Slice, path: str, end: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """The token ids of a slice's texts, ``end`` after each, one after the other, and where each text's begin and the last's end.
+
+    Where the tokenizer works within words (see ``by_words``) the ids of a text are those of its units one after the other.
+    White space neither composes with what follows it nor lets marks change places across it, so a unit's ids do not
+    depend on its neighbours; they are encoded once and remembered.
     """
     model, within = encoder(path)
+    encode = lambda some: [found.ids for found in model.encode_batch_fast(some, add_special_tokens=False)]
+    content = part.data.tobytes()
     if not within:
-        return [np.array(found.ids, "<u4").tobytes() for at in range(0, len(texts), WHOLE) for found in model.encode_batch_fast([t.decode() for t in texts[at : at + WHOLE]], add_special_tokens=False)]
-    split = [t.split() for t in texts]
-    if len(_known) > REMEMBERED:
-        _known.clear()
-    words = list(set().union(*split).difference(_known))
-    parts = list(map(parts_of, words))
-    new = list({x for pair in parts for x in pair}.difference(_known))
-    for at in range(0, len(new), BATCH):
-        some = new[at : at + BATCH]
-        for part, found in zip(some, model.encode_batch_fast([w.decode() for w in some], add_special_tokens=False), strict=True):
-            ids = found.ids
-            _known[part] = struct.pack(f"<{len(ids)}I", *ids)
-    for word, (stem, tail) in zip(words, parts, strict=True):
-        _known[word] = _known[stem] + _known[tail] if tail else _known[stem]
-    return [b"".join(map(_known.__getitem__, words)) for words in split]
+        texts = [content[a:b].decode() for a, b in zip(part.offsets[:-1], part.offsets[1:], strict=True)]
+        found = [ids + end for at in range(0, len(texts), WHOLE) for ids in encode(texts[at : at + WHOLE])]
+        return np.fromiter(itertools.chain.from_iterable(found), "<u4"), np.cumsum([0, *map(len, found)])
+    starts, ends, rows, keys = units_of(part)
+    known, first, back = np.unique(keys, return_index=True, return_inverse=True)
+    if len(_memory.keys) > REMEMBERED:
+        _memory.clear()
+    new = np.flatnonzero(_memory.find(known) < 0)
+    if len(new):
+        units = [content[a:b].decode() for a, b in zip(starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)]
+        _memory.add(known[new], [ids for at in range(0, len(units), BATCH) for ids in encode(units[at : at + BATCH])])
+    place = _memory.find(known)
+    begin, count = (_memory.first[place][back], _memory.count[place][back]) if len(place) else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+    before = np.cumsum(count) - count
+    ids = _memory.ids[np.repeat(begin - before, count) + np.arange(int(count.sum()))]
+    stops = np.searchsorted(rows, np.arange(part.rows), side="right")
+    edges = np.append(0, np.cumsum(count))[np.append(0, stops)]
+    if end:
+        ids = np.insert(ids, np.repeat(edges[1:], len(end)), np.tile(np.array(end, "<u4"), part.rows))
+        edges = edges + np.arange(part.rows + 1) * len(end)
+    return ids, edges
+
+
+def encode(texts: list[bytes], path: str) -> list[bytes]:
+    """Token ids of each text as little-endian unsigned 32-bit integers."""
+    out = []
+    for part in slices(pa.array(texts, pa.large_binary())):
+        ids, edges = slice_ids(part, path, [])
+        out += [ids[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)]
+    return out
 
 
 def default_tokenizer() -> str:
@@ -132,20 +202,19 @@ def document_pieces(docs: DataFrame, capacity: int, end_id: int, tokenizer: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         path = tokenizer or default_tokenizer()
-        end = int(end_id).to_bytes(4, "little")
         for batch in batches:
-            column = batch.column(1).cast(pa.large_binary())
-            for first in range(0, batch.num_rows, 500):
-                ids = [i + end for i in encode([t or b"" for t in column.slice(first, 500).to_pylist()], path)]
-                rows = []
-                for n, content in enumerate(ids):
-                    total = len(content) // 4
-                    for start in range(0, total, capacity):
-                        piece = content[4 * start : 4 * (start + capacity)]
-                        rows.append((n, start, len(piece) // 4, zlib.crc32(piece), total))
-                at, start, length, crc, total = np.array(rows, np.int64).reshape(-1, 5).T
+            for part in slices(batch.column(1)):
+                ids, edges = slice_ids(part, path, [int(end_id)])
+                totals = np.diff(edges)
+                pieces = -(-totals // capacity)
+                row = np.repeat(np.arange(part.rows), pieces)
+                start = (np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces)) * capacity
+                length = np.minimum(totals[row] - start, capacity)
+                content, at = memoryview(ids.tobytes()), 4 * (edges[row] + start)
+                crc = [zlib.crc32(content[a:b]) for a, b in zip(at.tolist(), (at + 4 * length).tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, 500).take(pa.array(at)), *map(pa.array, (start, length, crc, total))], ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
+                    [batch.column(0).slice(part.first, part.rows).take(pa.array(row)), *map(pa.array, (start, length, np.array(crc, np.int64), totals[row]))],
+                    ["doc_id", "start", "length", "ids_crc32", "doc_tokens"],
                 )
 
     picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
