@@ -11,14 +11,18 @@ from ..store import drop_path, scratch_path, written
 
 #: A node's links are dealt over so many tasks by their other ends.
 SALTS = 64
+#: Of so few links even those of one node are a small task: they are not dealt.
+FEW_LINKS = 500_000
 
 
-def with_least(links: DataFrame) -> DataFrame:
+def with_least(links: DataFrame, few: bool = False) -> DataFrame:
     """``links`` (u, v) with m, the least v of each u.
 
     Minima are taken by (u, salt of v) first, and meet the links again by both: a hub's links are never in one task, and
-    at most SALTS rows of a node are.
+    at most SALTS rows of a node are. ``few`` links are joined without the salt.
     """
+    if few:
+        return links.join(links.groupBy("u").agg(F.min("v").alias("m")), "u")
     salted = links.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)))
     parts = salted.groupBy("u", "salt").agg(F.min("v").alias("m"))
     whole = parts.groupBy("u").agg(F.min("m").alias("m"))
@@ -50,8 +54,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
     links, path, mark = save(links)
     while mark[0]:
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = with_least(both).where("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v")).distinct()
-        small = with_least(large).select("u", "v", "m")
+        few = mark[0] <= FEW_LINKS
+        large = with_least(both, few).where("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v")).distinct()
+        small = with_least(large, few).select("u", "v", "m")
         moved = small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         following, at, now = save(moved.unionByName(small.select("u", F.col("m").alias("v"))).distinct())
         drop_path(spark, path)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import itertools
 import json
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -109,9 +110,16 @@ def by_words(path: str) -> bool:
     for special tokens that are found as they stand and hold ``<|`` and no white space. Others encode whole texts.
     """
     with open(path, encoding="utf-8") as f:
-        steps = json.load(f)
-    plain = all("<|" in t["content"] and not t["content"].split()[1:] and not any(t[k] for k in ("normalized", "single_word", "lstrip", "rstrip")) for t in steps["added_tokens"])
-    return plain and steps["model"]["type"] == "BPE" and not steps["model"]["dropout"] and steps["normalizer"] == NORMALIZER and steps["pre_tokenizer"] == PRE_TOKENIZER
+        content = f.read()
+
+    def step(name: str):  # the vocabulary is not parsed: its objects would take many times its size
+        found = re.search(rf'"{name}"\s*:\s*', content)
+        return json.JSONDecoder().raw_decode(content, found.end())[0] if found else None
+
+    head = re.search(r'"model"\s*:\s*\{(.*?)"vocab"', content, re.DOTALL)
+    model = json.loads("{" + head[1].rstrip().rstrip(",") + "}") if head else {}
+    plain = all("<|" in t["content"] and not t["content"].split()[1:] and not any(t[k] for k in ("normalized", "single_word", "lstrip", "rstrip")) for t in step("added_tokens") or [])
+    return plain and model.get("type") == "BPE" and not model.get("dropout") and step("normalizer") == NORMALIZER and step("pre_tokenizer") == PRE_TOKENIZER
 
 
 def units_of(part: Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:

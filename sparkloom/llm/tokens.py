@@ -149,7 +149,8 @@ def group_edges(table: pa.Table, keys: list[str]) -> np.ndarray:
 
 
 def give_back() -> None:
-    """Returns freed memory to the system."""
+    """Returns freed memory to the system, the tables of powers too, which are soon made again."""
+    _powers["up"] = _powers["down"] = np.ones(1, np.uint64)
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):  # another C library
         ctypes.CDLL(None).malloc_trim(0)

@@ -3,13 +3,15 @@ import random
 import numpy as np
 import pytest
 
-from sparkloom.llm import blocks, embedding_dedup, ngram_join
+from sparkloom.llm import blocks, components, embedding_dedup, ngram_join
 from sparkloom.llm.components import connected_components, spanning_labels
 
 from . import cases
 
 
-def test_components_of_paths_stars_and_cliques(spark):
+@pytest.mark.parametrize("few", [0, 500_000])
+def test_components_of_paths_stars_and_cliques(spark, monkeypatch, few):
+    monkeypatch.setattr(components, "FEW_LINKS", few)
     rng = random.Random(4)
     edges = [(i, i + 1) for i in range(60)] + [(1000, 1001 + i) for i in range(50)] + [(7, 7), (None, 3)]
     edges += [(2000 + a, 2000 + b) for a in range(6) for b in range(a)] + [(rng.randrange(3000, 3200), rng.randrange(3000, 3200)) for _ in range(120)]
