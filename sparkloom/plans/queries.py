@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..config import Settings
 from ..functions import text as tx
 from ..functions import tokens as tk
-from ..config import Settings
 from ..lexicon import BLOCKED_HEADINGS, LANGUAGES, MISREAD_PAIRS, MISREAD_PATTERN
 from ..operators import chunking, dedup, judge, quality, retrieval, splits, topics
 from ..operators.topics import SECTION_SUMMARY
@@ -269,6 +269,11 @@ _SCORED = _RAW + (
 )
 
 
+def whole_topics(spark, folder):
+    """Up to eight topics for every document, with names, summaries and eight keywords."""
+    return topics.fallback_topics(chunks_of(spark, folder, counted=True))
+
+
 def own_pairs(spark, folder) -> DataFrame:
     """Every chunk with four topics of its document, named by four keywords each: a document's chunks and topics are one row, so
     they meet without a shuffle."""
