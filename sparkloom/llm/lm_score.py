@@ -177,25 +177,32 @@ class LogBilinear:
         def step(name: str, rows, grad: np.ndarray, scale: np.float32) -> None:
             grad = grad / scale
             table, square = getattr(self, name), squares[name]
-            power = square[rows] + grad * grad
-            square[rows] = power
-            table[rows] += np.float32(RATE) * grad / (np.sqrt(power) + np.float32(1e-6))
+            power = grad * grad
+            power += square if rows is None else square.take(rows, axis=0)
+            square[... if rows is None else rows] = power
+            np.sqrt(power, out=power)
+            power += np.float32(1e-6)
+            grad *= np.float32(RATE)
+            grad /= power
+            if rows is None:
+                table += grad
+            else:
+                table[rows] = table.take(rows, axis=0) + grad
 
         for i in range(0, len(word), BATCH):
             a, b, w = one[i : i + BATCH], two[i : i + BATCH], word[i : i + BATCH]
             scale = np.float32(len(w)) ** np.float32(0.5)
-            ra, rb = self.before[a], self.before[b]
+            ra, rb = self.before.take(a, axis=0), self.before.take(b, axis=0)
             q = ra @ self.first + rb @ self.second
             dq, steps = np.zeros_like(q), []
             for level, (after, bias) in enumerate(self.levels):
                 vectors, offsets, chance = getattr(self, after), getattr(self, bias), chances[level]
                 node = w // self.branch**level
                 noise = np.minimum(np.searchsorted(cumulative[level], rng.random(NOISE)), len(chance) - 1)
-                own, other = vectors[node], vectors[noise]
-                true = np.einsum("ij,ij->i", q, own) + offsets[node] - chance[node]
+                own, other = vectors.take(node, axis=0), vectors[noise]
+                true = np.einsum("ij,ij->i", q, own) + offsets.take(node) - chance.take(node)
                 false = q @ other.T + (offsets[noise] - chance[noise])
-                up = 1 / (1 + np.exp(np.clip(true, -30, 30)))
-                down = -1 / (1 + np.exp(np.clip(-false, -30, 30)))
+                up, down = sigmoid(-true), -sigmoid(false)
                 dq += up[:, None] * own + down @ other
                 grad = np.empty((len(w) + NOISE, DIM + 1), np.float32)
                 np.multiply(up[:, None], q, out=grad[: len(w), :DIM])
@@ -206,7 +213,7 @@ class LogBilinear:
                 steps += [(after, rows, grad[:, :DIM]), (bias, rows, grad[:, DIM])]
             rows, grad, times = summed(np.concatenate([a, b]), np.concatenate([dq @ self.first.T, dq @ self.second.T]))
             self.used["before"][rows] += times
-            for x in (*steps, ("before", rows, grad), ("first", slice(None), ra.T @ dq), ("second", slice(None), rb.T @ dq)):
+            for x in (*steps, ("before", rows, grad), ("first", None, ra.T @ dq), ("second", None, rb.T @ dq)):
                 step(*x, scale)
             self.seen += len(w)
 
@@ -225,21 +232,23 @@ class LogBilinear:
         """Natural logs of the probabilities of outputs after the two before: at each level, of a node among its brothers."""
         order = np.argsort(word, kind="stable")
         leaf = word[order]
-        q = self.before[one[order]] @ self.first + self.before[two[order]] @ self.second
-        logs = np.zeros(len(leaf))
+        q = self.before.take(one[order], axis=0) @ self.first + self.before.take(two[order], axis=0) @ self.second
+        q = np.ascontiguousarray(q.T)  # a column for each token: what is summed lies side by side
+        logs, places = np.zeros(len(leaf)), np.arange(BATCH)
         for level, (after, bias) in enumerate(self.levels):
             node = leaf // self.branch**level
             family = node // self.branch
             edges = np.r_[0, np.flatnonzero(np.diff(family)) + 1, len(leaf)] if len(leaf) else np.zeros(1, np.int64)
             for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
                 base = int(family[lo]) * self.branch
-                vectors, offsets = getattr(self, after)[base : base + self.branch].T, getattr(self, bias)[base : base + self.branch]
+                vectors, offsets = getattr(self, after)[base : base + self.branch], getattr(self, bias)[base : base + self.branch, None]
                 for i in range(lo, hi, BATCH):
                     j = min(i + BATCH, hi)
-                    z = q[i:j] @ vectors + offsets
-                    z -= z.max(axis=1)[:, None]
-                    own = z[np.arange(j - i), node[i:j] - base]
-                    logs[i:j] += own - np.log(np.exp(z, out=z).sum(axis=1))
+                    z = vectors @ q[:, i:j]
+                    z += offsets
+                    z -= z.max(axis=0)
+                    own = z[node[i:j] - base, places[: j - i]]
+                    logs[i:j] += own - np.log(np.exp(z, out=z).sum(axis=0))
         out = np.empty_like(logs)
         out[order] = logs
         return out
@@ -266,11 +275,26 @@ class LogBilinear:
             place += width
 
 
+def sigmoid(x: np.ndarray) -> np.ndarray:
+    """1 / (1 + exp(-x)), which cannot overflow in this form."""
+    half = np.tanh(x * np.float32(0.5))
+    half += 1
+    half *= np.float32(0.5)
+    return half
+
+
 def summed(index: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The different indices, the sums of their rows, and how many these are."""
-    order = np.argsort(index, kind="stable")
-    used, first = np.unique(index[order], return_index=True)
-    return used, np.add.reduceat(values[order], first, axis=0), np.diff(np.r_[first, len(index)])
+    """The different indices, the sums of their rows, and how many these are. Indices are below 2**40, rows fewer than 2**23."""
+    both = np.sort(index << 23 | np.arange(len(index)))  # equal indices stay in their order
+    order, index = both & ((1 << 23) - 1), both >> 23
+    first = np.flatnonzero(np.r_[True, index[1:] != index[:-1]])
+    times = np.diff(np.r_[first, len(index)])
+    sums = values.take(order.take(first), axis=0)
+    several = times > 1
+    n = times[several]
+    if len(n):
+        sums[several] = np.add.reduceat(values.take(order[np.repeat(several, times)], axis=0), np.cumsum(n) - n, axis=0)
+    return index[first], sums, times
 
 
 def contexts(word: np.ndarray, edges: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
