@@ -260,8 +260,8 @@ def noisy_chunks(spark, folder):
     return chunks_of(spark, folder).select("document", "chunk_index", retrieval.noisy(F.col("text")).alias("noisy"))
 
 
-#: Four topics for every document, from its own keywords, so that retrieval has work on all of them.
-_OWN = _FALLBACK + ", topics AS (SELECT document, format('topic-{:02d}', topic_index) AS topic_id, topic_index, " + o.keywords("text", 4) + " AS keywords FROM picked WHERE topic_index < 4)"
+#: All topics of every document, named by their keywords, which SQL can say.
+_OWN = _FALLBACK + ", topics AS (SELECT document, format('topic-{:02d}', topic_index) AS topic_id, topic_index, " + o.keywords("text") + " AS keywords FROM picked)"
 _RAW = _OWN + ", scored AS (SELECT c.document, c.chunk_index, c.text, t.topic_id, array_to_string(t.keywords, ' ') AS name, " + o.mentions("lower(c.text) || ' ' || lower(c.document)", "list_concat([array_to_string(t.keywords, ' '), ''], t.keywords)") + " AS raw FROM chunks c JOIN topics t ON c.document = t.document)"
 _SCORED = _RAW + (
     ", sibling AS (SELECT a.document, a.chunk_index, a.topic_id, max(b.raw) AS best FROM scored a LEFT JOIN scored b ON a.document = b.document AND a.chunk_index = b.chunk_index AND a.topic_id <> b.topic_id GROUP BY ALL)"
@@ -275,15 +275,13 @@ def whole_topics(spark, folder):
 
 
 def own_pairs(spark, folder) -> DataFrame:
-    """Every chunk with four topics of its document, named by four keywords each: a document's chunks and topics are one row, so
+    """Every chunk with all topics of its document, named by their keywords: a document's chunks and topics are one row, so
     they meet without a shuffle."""
 
     def topic(t):
-        keys = F.slice(tk.keywords(t["text"]), 1, 4)
-        return tk.let(keys, lambda k: retrieval.prepared_topic(t["topic_index"], F.format_string("topic-%02d", t["topic_index"]), F.array_join(k, " "), F.lit(""), k))
+        return tk.let(tk.keywords(t["text"]), lambda k: retrieval.prepared_topic(t["topic_index"], F.format_string("topic-%02d", t["topic_index"]), F.array_join(k, " "), F.lit(""), k))
 
-    chosen = lambda c: F.filter(topics.fallback_chunks(c), lambda t: t["topic_index"] < 4)
-    both = tk.let(chunking.chunk_array(F.col("text"), SIZE, OVERLAP), lambda c: F.struct(c.alias("chunks"), F.transform(chosen(c), topic).alias("topics")))
+    both = tk.let(chunking.chunk_array(F.col("text"), SIZE, OVERLAP), lambda c: F.struct(c.alias("chunks"), F.transform(topics.fallback_chunks(c), topic).alias("topics")))
     rows = docs_of(spark, folder).select(F.col("doc_id").cast("string").alias("document"), F.inline(F.array(both)))
     rows = rows.select("document", "topics", F.posexplode("chunks").alias("chunk_index", "text"))
     return retrieval.scored_topics(rows.withColumn("chunk_id", F.format_string("%s-chunk-%04d", "document", "chunk_index")))
@@ -358,7 +356,7 @@ def evidence(spark, folder):
     return pipeline.evidence(chunks, topics.fallback_topics(chunks), Settings(retrieval="lexical")).select("document", "topic_id", "evidence_id", "evidence_rank", "score")
 
 
-@query("SELECT d.doc_id, b.item_id FROM documents d JOIN benchmark b ON contains(lower(" + o.collapse_space("d.text") + "), lower(" + o.collapse_space("b.text") + ")) WHERE length(b.text) >= 20")
+@query("SELECT d.doc_id, b.item_id FROM documents d JOIN benchmark b ON contains(lower(" + o.collapse_space("d.text") + "), lower(" + o.collapse_space("b.text") + ")) WHERE " + o.collapse_space("b.text") + " <> ''")
 def verified_source(spark, folder):
     """Passages meet texts on a hash of four words in a row, or of one word where they have fewer, and only then as a whole."""
     text = F.lower(tx.collapse_space(F.col("text")))

@@ -18,7 +18,7 @@ def folder(spark, tmp_path_factory):
     return at
 
 
-@pytest.mark.parametrize("name", ["q_literal_context", "q_hybrid_score", "q_evidence"])
+@pytest.mark.parametrize("name", ["q_lexical_score", "q_budget_context", "q_literal_context", "q_hybrid_score", "q_evidence"])
 def test_queries_take_all_eight_topics(spark, folder, name):
     got = queries.QUERIES[name](spark, folder).where("document = '1'").select("topic_id").distinct().collect()
     assert sorted(r.topic_id for r in got) == [f"topic-{i:02d}" for i in range(8)]
