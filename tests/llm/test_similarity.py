@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pytest
 
+from sparkloom import store
 from sparkloom.llm import blocks, components, embedding_dedup, ngram_join
 from sparkloom.llm.components import connected_components, spanning_labels
 
@@ -34,6 +35,21 @@ def test_components_of_paths_stars_and_cliques(spark, monkeypatch, few):
     assert {r.node: r.component for r in words} == dict.fromkeys("abc", "a")
 
 
+def test_few_links_take_no_rounds(spark, monkeypatch):
+    """Links within FEW_LINKS are two tables, the links and what they connect, however long the path; others once rounds leave so few."""
+    tags = []
+    monkeypatch.setattr(components, "written", lambda df, tag="step", path=None: tags.append(tag) or store.written(df, tag, path))
+    path = [(f"n{i:02}", f"n{i + 1:02}") for i in range(90)] + [("a", "n05"), ("y", "z")]
+    got = connected_components(spark.createDataFrame(path, "u string, v string")).collect()
+    assert sorted((r.node, r.component) for r in got) == sorted([(f"n{i:02}", "a") for i in range(91)] + [("a", "a"), ("y", "y"), ("z", "y")])
+    assert tags == ["components", "components-solved"]
+    tags.clear()
+    monkeypatch.setattr(components, "FEW_LINKS", 50)
+    got = connected_components(spark.createDataFrame([(a, b) for a in range(15) for b in range(a)], "u long, v long")).collect()
+    assert sorted((r.node, r.component) for r in got) == [(a, 0) for a in range(15)]
+    assert tags[-1] == "components-solved" and tags.count("components") > 1
+
+
 def brute_vectors(rows, least=0.95):
     n = len(rows)
     sound = [v is not None and v[1] is not None and v[0] is not None and len(v[1]) > 0 and None not in v[1] and bool(np.isfinite(v[1]).all()) and any(v[1]) for v in rows]
