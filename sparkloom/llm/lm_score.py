@@ -29,6 +29,10 @@ HELD = 2_000_000
 CLOSING = separators(b".,;:!?")
 WIDE = separators(bytes(range(128, 256)))
 LN10 = float(np.log(10))
+#: Frequent words are looked up from where their keys' first bits begin among them.
+KEY_BITS = 18
+#: The size of a logit up to which its exp is a normal float32 either way.
+SAFE = 80.0
 #: So many models are averaged by one task, and so many averages again.
 RADIX = 64
 
@@ -113,6 +117,7 @@ class Vocabulary:
         self.place = np.empty(len(counts), np.int64)
         self.place[order] = np.arange(len(counts))
         self.bucket_at = np.where(order >= len(self.head), order - len(self.head), -1)
+        self.begins = np.searchsorted(self.head, np.arange(1 << KEY_BITS, dtype=np.uint64) << np.uint64(64 - KEY_BITS))
 
     @property
     def outputs(self) -> int:
@@ -120,7 +125,12 @@ class Vocabulary:
 
     def known(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Outputs of tokens, and their training counts; -1 where a token is not among the frequent."""
-        at = np.minimum(np.searchsorted(self.head, keys), len(self.head) - 1)
+        last = len(self.head) - 1
+        at = np.minimum(self.begins.take(keys >> np.uint64(64 - KEY_BITS)), last)
+        late = np.flatnonzero(self.head.take(at) < keys)
+        while len(late := late[at[late] < last]):
+            at[late] += 1
+            late = late[self.head[at[late]] < keys[late]]
         own = self.head[at] == keys
         bucket = len(self.head) + (keys & np.uint64(BUCKETS - 1)).astype(np.int64)
         return self.place[np.where(own, at, bucket)], np.where(own, self.head_counts[at], -1)
@@ -201,8 +211,10 @@ class LogBilinear:
                 noise = np.minimum(np.searchsorted(cumulative[level], rng.random(NOISE)), len(chance) - 1)
                 own, other = vectors.take(node, axis=0), vectors[noise]
                 true = np.einsum("ij,ij->i", q, own) + offsets.take(node) - chance.take(node)
-                false = q @ other.T + (offsets[noise] - chance[noise])
-                up, down = sigmoid(-true), -sigmoid(false)
+                false = q @ other.T
+                false += offsets[noise] - chance[noise]
+                up, down = sigmoid(-true), sigmoid(false)
+                np.negative(down, out=down)
                 dq += up[:, None] * own + down @ other
                 grad = np.empty((len(w) + NOISE, DIM + 1), np.float32)
                 np.multiply(up[:, None], q, out=grad[: len(w), :DIM])
@@ -229,26 +241,36 @@ class LogBilinear:
         return s1.astype(np.float32), s2.astype(np.float32), norm
 
     def log_chances(self, one: np.ndarray, two: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """Natural logs of the probabilities of outputs after the two before: at each level, of a node among its brothers."""
+        """Natural logs of the probabilities of outputs after the two before: at each level, of a node among its brothers.
+
+        Biases count from the family's largest. Where the lengths of the vectors bound the rest by SAFE, a softmax needs no
+        largest logit taken off: none overflows, and the sum does not vanish.
+        """
         order = np.argsort(word, kind="stable")
         leaf = word[order]
-        q = self.before.take(one[order], axis=0) @ self.first + self.before.take(two[order], axis=0) @ self.second
-        q = np.ascontiguousarray(q.T)  # a column for each token: what is summed lies side by side
-        logs, places = np.zeros(len(leaf)), np.arange(BATCH)
+        q = self.first.T @ self.before.take(one[order], axis=0).T  # a column for each token: what is summed lies side by side
+        q += self.second.T @ self.before.take(two[order], axis=0).T
+        lengths = np.sqrt(np.einsum("ij,ij->j", q, q))
+        logs, places, ones = np.zeros(len(leaf)), np.arange(BATCH), np.ones(self.branch, np.float32)
         for level, (after, bias) in enumerate(self.levels):
             node = leaf // self.branch**level
             family = node // self.branch
             edges = np.r_[0, np.flatnonzero(np.diff(family)) + 1, len(leaf)] if len(leaf) else np.zeros(1, np.int64)
-            for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            table = getattr(self, after)
+            longest = np.sqrt(np.maximum.reduceat(np.einsum("ij,ij->i", table, table), np.arange(0, len(table), self.branch)))
+            reach = np.maximum.reduceat(lengths, edges[:-1]) * longest[family[edges[:-1]]] if len(leaf) else lengths
+            for lo, hi, far in zip(edges[:-1].tolist(), edges[1:].tolist(), reach.tolist(), strict=True):
                 base = int(family[lo]) * self.branch
-                vectors, offsets = getattr(self, after)[base : base + self.branch], getattr(self, bias)[base : base + self.branch, None]
+                vectors, offsets = table[base : base + self.branch], getattr(self, bias)[base : base + self.branch, None]
+                offsets = offsets - offsets.max()
                 for i in range(lo, hi, BATCH):
                     j = min(i + BATCH, hi)
                     z = vectors @ q[:, i:j]
                     z += offsets
-                    z -= z.max(axis=0)
+                    if not far < SAFE:
+                        z -= z.max(axis=0)
                     own = z[node[i:j] - base, places[: j - i]]
-                    logs[i:j] += own - np.log(np.exp(z, out=z).sum(axis=0))
+                    logs[i:j] += own - np.log(ones[: len(z)] @ np.exp(z, out=z))
         out = np.empty_like(logs)
         out[order] = logs
         return out
@@ -276,11 +298,11 @@ class LogBilinear:
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
-    """1 / (1 + exp(-x)), which cannot overflow in this form."""
-    half = np.tanh(x * np.float32(0.5))
-    half += 1
-    half *= np.float32(0.5)
-    return half
+    """1 / (1 + exp(-x)); below -SAFE, where it is 0 to 34 digits, as at -SAFE, so that it cannot overflow."""
+    out = np.minimum(-x, np.float32(SAFE))
+    np.exp(out, out=out)
+    out += 1
+    return np.reciprocal(out, out=out)
 
 
 def summed(index: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -184,6 +184,37 @@ def test_model_scores_equal_brute_force(spark, monkeypatch):
         assert got[doc] == pytest.approx(total, rel=1e-4)
 
 
+def test_frequent_words_are_found_without_a_search_for_each_token(monkeypatch):
+    rng = np.random.default_rng(4)
+    head = np.unique(np.r_[rng.integers(0, 1 << 63, 3000).astype(np.uint64) << np.uint64(1), np.arange(5, 400, 7).astype(np.uint64), np.uint64(2**64 - 9)])
+    known = lm_score.Vocabulary(10, 10, head, np.arange(1, len(head) + 1), np.ones(lm_score.BUCKETS, np.int64), np.ones(lm_score.BUCKETS, np.int64))
+    keys = np.r_[head, head + np.uint64(1), head - np.uint64(1), np.array([0, 2**64 - 1, 2**64 - 8], np.uint64)]
+    place = {k: i for i, k in enumerate(head.tolist())}
+    monkeypatch.setattr(np, "searchsorted", None)
+    out, count = known.known(keys)
+    assert count.tolist() == [place.get(k, -2) + 1 for k in keys.tolist()]
+    assert out.tolist() == [known.place[place.get(k, len(head) + k % lm_score.BUCKETS)] for k in keys.tolist()]
+
+
+@pytest.mark.parametrize("size", [0.5, 3.0, 40.0])
+def test_chances_of_short_and_long_vectors_equal_a_softmax(size):
+    """Beyond SAFE the largest logit is taken off; up to it nothing is, and both are the softmax in double precision."""
+    rng = np.random.default_rng(6)
+    model = lm_score.LogBilinear(np.arange(60.0, 0, -1), depth=3)
+    for name in ("before", *[a for a, _ in model.levels]):
+        setattr(model, name, (rng.standard_normal(getattr(model, name).shape) * size).astype(np.float32))
+    one, two, word = rng.integers(0, 61, 500), rng.integers(0, 61, 500), rng.integers(0, 60, 500)
+    want = np.zeros(500)
+    q = model.before[one].astype(float) @ model.first + model.before[two].astype(float) @ model.second
+    for level, (after, bias) in enumerate(model.levels):
+        z = q @ getattr(model, after).T.astype(float) + getattr(model, bias)
+        for i, node in enumerate(word // model.branch**level):
+            base = node // model.branch * model.branch
+            z_i = z[i, base : base + model.branch]
+            want[i] += z[i, node] - z_i.max() - np.log(np.exp(z_i - z_i.max()).sum())
+    assert model.log_chances(one, two, word) == pytest.approx(want, rel=1e-4, abs=1e-3 * max(1, size))
+
+
 def test_model_is_normalised_and_learns():
     rng = np.random.default_rng(0)
     counts = np.array([50.0, 30, 20, 10, 5])
