@@ -7,6 +7,7 @@ from sparkloom.config import Settings
 from sparkloom.functions import text as tx
 from sparkloom.functions import tokens as tk
 from sparkloom.operators import chunking, dedup, judge, quality, splits, topics
+from sparkloom.plans import oracle
 
 
 def one(spark, column, *values):
@@ -72,6 +73,14 @@ def test_gate(spark, changes, reason):
     assert quality.quality_gate(rows, "off").first()["rejection_reason"] is None
 
 
+@pytest.mark.parametrize("answer", ["Ouré une enè", "We-based", "our", "Oure", "Wełna", "Weekly"])
+def test_first_person_reads_edges_of_words_as_its_sql(spark, answer):
+    duckdb = pytest.importorskip("duckdb")
+    rule = oracle.rules()["first_person_answer"].replace("coalesce(answer, '')", "?")
+    want = duckdb.connect().execute(f"SELECT {rule}", [answer]).fetchall()[0][0]
+    assert one(spark, quality.first_person, answer) == want
+
+
 def test_deduplication_keeps_the_first_and_is_ordered(spark):
     rows = [
         (1, "What does the central kernel schedule first?", "Processes wait inside several queues until dispatch"),
