@@ -2,61 +2,48 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import collapse_space, last_index, strip, text, truncate
+from ..functions import plain
+from ..functions.text import collapse_space, text, truncate
 from ..functions.tokens import found, is_in, let
 from ..lexicon import LANGUAGES, folded_letters
 
 
-def chunk_array(raw: Column, size: int = 3500, overlap: int = 350) -> Column:
-    """Chunks of a text: windows of ``size`` characters every ``size - overlap``, cut at white space where a word would
-    be split late in the window, stripped, those of 120 characters or more.
-
-    The text is cut into steps in one pass, and a window is put together from the steps that it covers, so the work grows
-    with the text and not with its square.
-    """
-    step = max(1, size - overlap)
-    reach = -(-(size + 1) // step)
-
-    def windows(clean: Column, steps: Column) -> Column:
-        n = F.length(clean)
-        last = F.greatest(F.ceil((n - size) / F.lit(step)), F.lit(0).cast("long")).cast("int")
-
-        def window(k: Column) -> Column:
-            covered = F.array_join(F.slice(steps, k + 1, reach), "")
-            part = F.substring(covered, F.lit(1), F.lit(size))
-            inside = (k * step + size < n) & F.substring(covered, size, 2).rlike("^[\\p{L}\\p{N}]{2}$")
-            edge = last_index(F.translate(part, "\n", " "), " ")
-            return strip(F.when(inside & (edge >= max(step, int(size * 0.6))), F.substring(part, F.lit(1), edge)).otherwise(part))
-
-        return F.filter(F.transform(F.sequence(F.lit(0), last), window), lambda c: F.length(c) >= 120)
-
-    return let(collapse_space(raw), lambda clean: windows(clean, found(clean, f"(?s).{{1,{step}}}")))
+def chunk_count(raw: Column, size: int = 3500, overlap: int = 350, most: int | None = None) -> Column:
+    """How many chunks a text has."""
+    return plain.applied(lambda s: len(plain.chunks(s, size, overlap, most)), "int", pa.int32(), raw.cast("string"))
 
 
 def chunk_documents(docs: DataFrame, size: int = 3500, overlap: int = 350, most: int | None = None, document: str = "doc_id", raw: str = "text", counted: bool = False, stem: str | None = None) -> DataFrame:
     """(document, chunk_id, chunk_index, text); chunk_id is ``{stem}-chunk-{0000}``, by default of the document. One pass, no shuffle.
 
-    With ``counted`` also chunk_count, the document's chunks, so that nobody has to count them by a shuffle.
+    Chunks are windows of ``size`` characters every ``size - overlap`` (see ``plain.chunks``). With ``counted`` also
+    chunk_count, the document's chunks, so that nobody has to count them by a shuffle.
     """
-    chunks = chunk_array(F.col(raw), size, overlap)
-    chunks = chunks if most is None else F.slice(chunks, 1, most)
-    columns = ["document", F.format_string("%s-chunk-%04d", "stem", "chunk_index").alias("chunk_id"), "chunk_index", "text"]
-    rows = docs.select(F.col(document).cast("string").alias("document"), F.col(stem or document).cast("string").alias("stem"), chunks.alias("chunks"))
-    if counted:
-        rows, columns = rows.withColumn("chunk_count", F.size("chunks")), [*columns, "chunk_count"]
-    return rows.select("*", F.posexplode("chunks").alias("chunk_index", "text")).select(*columns)
+
+    def each(whole: str | None) -> list[dict]:
+        found = plain.chunks(whole, size, overlap, most)
+        return [{"text": c, "n": len(found)} for c in found]
+
+    kind = pa.list_(pa.struct([("text", pa.string()), ("n", pa.int32())]))
+    chunks = plain.applied(each, "array<struct<text:string,n:int>>", kind, F.col(raw).cast("string"))
+    rows = docs.select(F.col(document).cast("string").alias("document"), F.col(stem or document).cast("string").alias("stem"), F.posexplode(chunks).alias("chunk_index", "chunk"))
+    columns = ["document", F.format_string("%s-chunk-%04d", "stem", "chunk_index").alias("chunk_id"), "chunk_index", F.col("chunk.text").alias("text")]
+    return rows.select(*columns, F.col("chunk.n").alias("chunk_count")) if counted else rows.select(*columns)
 
 
 def representative_chunks(chunks: DataFrame, budget: int = 110_000) -> DataFrame:
-    """The first two, the middle and the last two chunks of each document (all of up to three), each cut to its share."""
-    by = Window.partitionBy("document")
-    counted = chunks.withColumn("n", F.count(F.lit(1)).over(by))
+    """The first two, the middle and the last two chunks of each document (all of up to three), each cut to its share.
+
+    A document of n chunks keeps n of them and 5 at most. One pass where the chunks come with chunk_count; else they are counted by a shuffle.
+    """
+    counted = chunks.withColumn("n", F.col("chunk_count") if "chunk_count" in chunks.columns else F.count(F.lit(1)).over(Window.partitionBy("document")))
     middle = F.floor(F.col("n") / 2)
     chosen = counted.where((F.col("n") <= 3) | F.col("chunk_index").isin(0, 1) | (F.col("chunk_index") == middle) | (F.col("chunk_index") >= F.col("n") - 2))
-    share = F.greatest(F.lit(1200), F.floor(F.lit(budget) / F.count(F.lit(1)).over(by))).cast("int")
+    share = F.greatest(F.lit(1200), F.floor(F.lit(budget) / F.least("n", F.lit(5)))).cast("int")
     return chosen.withColumn("text", truncate(F.col("text"), share)).drop("n")
 
 

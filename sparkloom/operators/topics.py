@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import collapse_space, distinct_in_order, strip, text, truncate
-from ..functions.tokens import found, keywords, let
+from ..functions import plain
+from ..functions.text import collapse_space, distinct_in_order, text, truncate
+from ..functions.tokens import found, keywords
 from ..lexicon import BLOCKED_HEADINGS, GENERIC_NAMES
 from ..store import numbered
 
@@ -77,31 +79,9 @@ def topic_map_quality(topics: DataFrame, by: str = "document") -> DataFrame:
     return counted.select("*", (F.col("general") >= floor).alias("too_general"), (F.col("invalid") >= floor).alias("mostly_invalid"))
 
 
-def title_case(c: Column) -> Column:
-    """Each run of letters with its first in upper case."""
-    return F.array_join(F.transform(found(c, "\\p{L}+|[^\\p{L}]+"), lambda run: F.concat(F.upper(F.substring(run, 1, 1)), F.substring(run, F.lit(2), F.length(run)))), "")
-
-
 def name_from_chunk(chunk: Column, index: Column) -> Column:
     """A readable name: a heading-like first line, else the first sentence of four words, else words, else a number."""
-    return let(collapse_space(chunk), lambda clean: _name_from(chunk, clean, index))
-
-
-def _name_from(chunk: Column, clean: Column, index: Column) -> Column:
-    long = F.filter(F.transform(F.split(chunk, "\\R"), lambda s: F.regexp_replace(strip(s), "^[-*#]+|[-*#]+$", "")), lambda s: F.length(s) >= 8)
-    first = F.get(long, F.lit(0))
-    title = title_case(F.array_join(keywords(clean, 4), " / "))
-    whole = F.transform(F.split(clean, "(?<=[.!?])\\s+"), lambda s: F.struct(strip(s).alias("s"), found(s, "[\\p{L}\\p{N}_-]+").alias("w")))
-    sentence = F.get(F.filter(whole, lambda x: F.size(x["w"]) >= 4), F.lit(0))
-    cut = F.when(F.length(sentence["s"]) > 90, F.array_join(F.slice(sentence["w"], 1, 10), " ")).otherwise(sentence["s"])
-    tokens = F.slice(found(clean, "[\\p{L}\\p{N}_-]+"), 1, 8)
-    return (
-        F.when(first.isNotNull() & (F.length(first) <= 90) & valid_name(first), first)
-        .when(sentence.isNotNull() & sentence["s"].rlike("^\\p{Ll}") & (title != ""), title)
-        .when(sentence.isNotNull(), F.rtrim(truncate(cut, 90), F.lit(" .,:;")))
-        .when(F.size(tokens) > 0, F.array_join(tokens, " "))
-        .otherwise(F.concat(F.lit(UNNAMED), (index + 1).cast("string")))
-    )
+    return plain.applied(lambda c, i: plain.name_from_chunk(c or "", i, UNNAMED), "string", pa.string(), chunk, index.cast("int"))
 
 
 def fallback_topics(chunks: DataFrame, count: int = 8) -> DataFrame:
@@ -122,15 +102,6 @@ def topic_of(chunk: Column, index: Column) -> dict[str, Column]:
     return {"name": name_from_chunk(chunk, index), "summary": F.replace(truncate(chunk, 220), F.lit("\n"), F.lit(" ")), "keywords": keywords(chunk, 8)}
 
 
-def fallback_chunks(chunks: Column, count: int = 8) -> Column:
-    """(topic_index, text) of the chunks of one document's array from which ``fallback_topics`` makes its topics."""
-    n = F.size(chunks)
-    want = F.least(F.lit(count), n)
-    step = F.greatest(F.lit(1), F.floor(n / F.greatest(want, F.lit(1)))).cast("int")
-    places = F.sequence(F.lit(0), F.greatest(want - 1, F.lit(0)))
-    return F.when(n > 0, F.transform(places, lambda i: F.struct(i.alias("topic_index"), F.get(chunks, i * step).alias("text")))).otherwise(F.array().cast("array<struct<topic_index:int,text:string>>"))
-
-
 def first_topics(sources: list[DataFrame]) -> DataFrame:
     """The topics of the first of several frames that has any for a document."""
     every = None

@@ -24,8 +24,7 @@ def dry_run(docs: DataFrame, settings: Settings = Settings(), document: str = "d
 
     ``given`` topics of the user take the place of those that a model would be asked for.
     """
-    chunks = chunking.chunk_array(F.col(raw), settings.chunk_size, settings.chunk_overlap)
-    count = F.size(chunks) if settings.max_chunks is None else F.least(F.size(chunks), F.lit(settings.max_chunks))
+    count = chunking.chunk_count(F.col(raw), settings.chunk_size, settings.chunk_overlap, settings.max_chunks)
     measured = docs.select(F.length(F.coalesce(F.col(raw), F.lit(""))).alias("chars"), count.alias("chunks"))
     total = measured.agg(F.count(F.lit(1)).alias("documents"), F.sum("chars").alias("chars"), F.sum("chunks").alias("chunks"))
     wanted = F.col("documents") * (settings.topics if given is None else given)
@@ -144,12 +143,6 @@ def evidence_rows(contexts: DataFrame, topic_rows: DataFrame, used: DataFrame |
     return rows.withColumn("usable", usable).drop("sound")
 
 
-def evidence(chunks: DataFrame, topic_rows: DataFrame, settings: Settings = Settings(), vectors: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
-    """Ranked evidence windows of each topic's context."""
-    scored = scored_chunks(chunks, topic_rows, settings.retrieval, vectors)
-    return quality.rank_evidence(evidence_rows(contexts_of(scored, chunks, None, settings), topic_rows).where("usable"))
-
-
 def asked_rows(ranked: DataFrame, docs: DataFrame) -> DataFrame:
     """Ranked evidence as ``generate_items`` takes it."""
     rows = ranked.select("document", "topic_id", "topic_index", F.col("name").alias("topic"), F.col("summary").alias("topic_summary"), F.col("keywords").alias("topic_keywords"), "evidence_id", "chunk_id", "evidence_rank", F.col("window").alias("evidence"), "literal")

@@ -31,6 +31,7 @@ def test_tokens(spark):
     assert one(spark, lambda c: tk.keywords(c, 2), "beta alpha beta gamma alpha what") == ["beta", "alpha"]
     assert one(spark, tk.keywords, "") == []
     assert one(spark, tk.sentences, "First one. Second two! and more? No end") == ["First one.", "Second two! and more?"]
+    assert one(spark, tk.sentences, "0 is first. 1 is second! 2nd? 33 (3)") == ["0 is first.", "1 is second!", "2nd?", "33 (3)"]
     rows = spark.createDataFrame([([1.0, 0.0], [1.0, 0.0, 5.0]), ([0.0], [1.0])], "a array<double>, b array<double>")
     assert [round(r[0], 3) for r in rows.select(tk.cosine(F.col("a"), F.col("b"))).collect()] == [round(1 / 26**0.5, 3), 0.0]
 
