@@ -93,6 +93,32 @@ def test_deduplication_keeps_the_first_and_is_ordered(spark):
     assert {r.seq: r.duplicate_reason for r in got} == {1: None, 2: "duplicate_exact", 3: None, 4: "duplicate_exact"}
 
 
+def test_equal_sets_are_compared_as_one(spark, monkeypatch):
+    monkeypatch.setattr(dedup, "BLOCK", 7)
+    words = ["kernel", "memory", "pages", "queue", "thread", "socket", "driver", "cache"]
+    answers = ["Processes wait inside several queues until dispatch.", "processes wait inside several queues until dispatch", "Until dispatch processes wait inside several queues", "short"]
+    rows = [(i, f"{words[i % 8]} {words[i // 8]} asked{i // 3} number{i}", answers[i % 4]) for i in range(60)] + [(60, "", answers[0]), (61, None, None)]
+    items = spark.createDataFrame(rows, "seq long, question string, answer string")
+    sets = dedup.with_sets(items).cache()
+    links, groups = dedup.similar_links(sets)
+    assert links.where("place = 6").isEmpty() and groups.where("place = 6").count() == 61
+    held = {r.seq: r for r in sets.collect()}
+    near = lambda a, b, least: bool(a and b) and len(set(a) & set(b)) / min(len(a), len(b)) >= least
+
+    def place(x, y):
+        if x.question_signature and x.question_signature == y.question_signature:
+            return 1
+        if len(x.answer_signature) >= 12 and x.answer_signature == y.answer_signature:
+            return 2
+        return next((i for i, (c, least, _) in enumerate(dedup.MEASURES, 3) if near(x[c], y[c], least)), None)
+
+    want = {(i, j): place(held[i], held[j]) for i in held for j in held if i < j}
+    got = dedup.duplicate_links(items).collect()
+    assert len(got) > 400 and {(r.earlier, r.later): r.place for r in got} == {k: v for k, v in want.items() if v} and len(got) == len({(r.earlier, r.later) for r in got})
+    pairs = [tuple(r) for r in dedup.similar_pairs(sets, "answer_terms", 0.78).collect()]
+    assert len(pairs) == len(set(pairs)) and set(pairs) == {k for k in want if near(held[k[0]].answer_terms, held[k[1]].answer_terms, 0.78)}
+
+
 def test_split_covers_topics(spark):
     rows = [(f"i{n}", f"t{t}") for t, k in enumerate((5, 4, 3)) for n in range(t * 10, t * 10 + k)]
     out = splits.split_rows(spark.createDataFrame(rows, "id string, topic_id string"), "0.7,0.15,0.15").collect()
